@@ -25,16 +25,29 @@ MAX_BROADCAST_ROWS = 500_000
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    passed, so the check costs at most ``max_rows + 1`` rows of I/O however
-    large the input is.
+    ``limit(max_rows + 1).count()`` reads no columns; every partition stops
+    after ``max_rows + 1`` rows and only (empty) rows are counted, so the
+    check is bounded per task however large the input is.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, size_source: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only when the (source of the) frame fits the row bound."""
-    return F.broadcast(df) if fits_broadcast(size_source if size_source is not None else df, max_rows) else df
+def checked_broadcast(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    size_source: DataFrame | None = None,
+    known_rows: int | None = None,
+) -> DataFrame:
+    """Broadcast hint only when the (source of the) frame fits the row bound.
+
+    ``known_rows`` is an upper bound the caller already holds (an in-memory
+    code book), which saves the counting job.
+    """
+    if known_rows is not None:
+        fits = known_rows <= max_rows
+    else:
+        fits = fits_broadcast(size_source if size_source is not None else df, max_rows)
+    return F.broadcast(df) if fits else df
 
 
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint")
@@ -58,6 +71,7 @@ def prepare_lookup(
     label: str = "label",
     key_type: str = "int",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Code book -> (``__code``, ``__label``), one row per code, size-checked broadcast."""
     reduced = (
@@ -69,7 +83,7 @@ def prepare_lookup(
         .groupBy("__code")
         .agg(F.min("__label").alias("__label"))
     )
-    return checked_broadcast(reduced, max_broadcast_rows, size_source=lookup)
+    return checked_broadcast(reduced, max_broadcast_rows, size_source=lookup, known_rows=known_rows)
 
 
 def _join_prepared(
@@ -88,7 +102,9 @@ def _join_prepared(
     joined = df.join(side, _key(F.col(f"`{code_col}`"), key_type, dtype) == F.col(k), "left")
     label = F.col(v) if default is None else F.coalesce(F.col(v), F.lit(default))
     joined = joined.withColumn(out, label).drop(k, v)
-    if not keep_code and code_col != out:
+    # Names resolve case-insensitively: when ``out`` equals the code column's
+    # name, withColumn above already replaced the code.
+    if not keep_code and code_col.lower() != out.lower():
         joined = joined.drop(code_col)
     return joined
 
@@ -105,6 +121,7 @@ def decode(
     default: str | None = None,
     keep_code: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Replace ``code_col`` by its label in ``out``.
 
@@ -113,7 +130,7 @@ def decode(
     normalised text (a port code like ``060`` must stay text), ``"raw"`` uses
     the values as they are. Unknown codes give null, or ``default`` when set.
     """
-    prepared = prepare_lookup(lookup, lookup_code, lookup_label, key_type, max_broadcast_rows)
+    prepared = prepare_lookup(lookup, lookup_code, lookup_label, key_type, max_broadcast_rows, known_rows)
     return _join_prepared(df, code_col, prepared, out, key_type, default, keep_code)
 
 
@@ -128,13 +145,14 @@ def decode_roles(
     default: str | None = None,
     keep_code: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """One code book playing several roles (citizenship and residence).
 
     The book is reduced and size-checked once; each role joins it under its
     own column names, so the self-join is never ambiguous.
     """
-    prepared = prepare_lookup(lookup, lookup_code, lookup_label, key_type, max_broadcast_rows)
+    prepared = prepare_lookup(lookup, lookup_code, lookup_label, key_type, max_broadcast_rows, known_rows)
     for code_col, out in roles.items():
         df = _join_prepared(df, code_col, prepared, out, key_type, default, keep_code)
     return df

@@ -18,7 +18,7 @@ from arrivals.operators.aggregate import group_avg_first
 from arrivals.operators.clean import drop_columns, drop_missing, filter_equals, rename_columns
 from arrivals.operators.decode import decode, decode_roles
 from arrivals.operators.quality import non_empty_report, require
-from arrivals.plans.codebooks import OTHER_STATE, mode_lookup, visa_lookup
+from arrivals.plans.codebooks import MODE_CODES, OTHER_STATE, VISA_CODES, mode_lookup, visa_lookup
 from arrivals.schemas import (
     AIRPORTS,
     ARRIVALS,
@@ -95,14 +95,15 @@ def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False,
     replace the port and state codes by their labels (state: unknown -> other).
     """
     spark = raw.sparkSession
-    mode = lookups.mode if lookups.mode is not None else mode_lookup(spark)
-    visa = lookups.visa if lookups.visa is not None else visa_lookup(spark)
+    # The fixed books are in memory and their size is known: no counting job.
+    mode, mode_rows = (lookups.mode, None) if lookups.mode is not None else (mode_lookup(spark), len(MODE_CODES))
+    visa, visa_rows = (lookups.visa, None) if lookups.visa is not None else (visa_lookup(spark), len(VISA_CODES))
 
     df = rename_columns(raw, ARRIVALS_RENAMES)
     df = drop_columns(df, UNUSED_ARRIVALS_COLUMNS)
     df = drop_missing(df, ["arrival_state"])
-    df = decode(df, "mode_code", mode, "Mode", key_type="int")
-    df = decode(df, "visa_code", visa, "visa", key_type="int")
+    df = decode(df, "mode_code", mode, "Mode", key_type="int", known_rows=mode_rows)
+    df = decode(df, "visa_code", visa, "visa", key_type="int", known_rows=visa_rows)
     df = df.withColumns({
         "ID": text_to_int("ID"),
         "year": text_to_int("year"),

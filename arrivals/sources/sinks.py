@@ -110,7 +110,7 @@ def refresh_months(
     df: DataFrame,
     path: str,
     partition_cols: Iterable[str] = ("year", "month"),
-    salt_buckets: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Idempotent refresh of the months present in ``df``.
 
@@ -118,15 +118,16 @@ def refresh_months(
     directories the new rows touch and leaves every other month alone, so a
     re-run of a month never duplicates it.
 
-    By default no shuffle is added: a monthly drop touches one month, so each
-    task writes one file per month it holds. For a multi-month backfill pass
-    ``salt_buckets`` to hash-spread each month over that many writer tasks
-    (a hot month is split instead of landing in a single task).
+    With ``rebalance`` (default) the rows are clustered by month through the
+    ``REBALANCE`` hint before writing: AQE sizes the writer partitions to the
+    advisory partition size and splits a month that holds far more rows than
+    the others, so each month is written as a few well-sized files instead of
+    one file per (task, month) pair, and a hot month never lands in a single
+    task.
     """
     cols = list(partition_cols)
-    if salt_buckets:
-        salt = F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % F.lit(salt_buckets)
-        df = df.repartition(*[F.col(c) for c in cols], salt)
+    if rebalance:
+        df = df.hint("rebalance", *cols)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
