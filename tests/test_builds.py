@@ -133,3 +133,29 @@ def test_publish_fails_on_empty_table(spark, built, tmp_path):
     tables["airports"] = built["airports"].where("ident = 'none'")
     with pytest.raises(ValueError, match="airports"):
         publish(spark, tables, str(tmp_path / "out2"))
+
+
+PORT_CSV = 'ID,Port\nNYC,"NEW YORK, NY"\nLOS,"LOS ANGELES, CA"\n'
+STATE_CSV = "Code,State\nNY,NEW YORK\nCA,CALIFORNIA\n99,All Other Codes\n"
+
+
+def test_run_etl_with_port_and_state_decodes(spark, write_text, tmp_path):
+    from arrivals.plans.etl import run_etl
+
+    inputs = RawInputs(
+        arrivals=write_text("arrivals.csv", ARRIVALS_CSV),
+        demographics=write_text("demographics.csv", DEMOGRAPHICS_CSV),
+        temperature=write_text("temperature.csv", TEMPERATURE_CSV),
+        airports=write_text("airports.csv", AIRPORTS_CSV),
+    )
+    lookups = Lookups.from_files(
+        spark,
+        country=write_text("country.csv", COUNTRY_CSV),
+        port=write_text("port.csv", PORT_CSV),
+        state=write_text("state.csv", STATE_CSV),
+    )
+    report = run_etl(spark, inputs, lookups, str(tmp_path / "out"), decode_port=True, decode_state=True)
+    assert all(r.passed for r in report.collect())
+    fact = spark.read.parquet(str(tmp_path / "out" / "immigration"))
+    got = sorted((r.ID, r.port_of_admission, r.arrival_state) for r in fact.collect())
+    assert got == [(1, "NEW YORK, NY", "NEW YORK"), (2, "LOS ANGELES, CA", "CALIFORNIA"), (4, None, "other")]
