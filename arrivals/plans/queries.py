@@ -277,9 +277,12 @@ def decode_role_playing(spark, sf_dir):
     o = T(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = T(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = T(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # Resolve order -> customer nation on the orders side first, so lineitem
+    # is shuffled once by order key (and once by supplier key) instead of
+    # once more by customer key; left joins keep every lineitem row either way.
+    order_nation = o.join(c, o.o_custkey == c.c_custkey, "left").select("o_orderkey", "c_nationkey")
     df = (
-        li.join(o, li.l_orderkey == o.o_orderkey, "left")
-        .join(c, F.col("o_custkey") == c.c_custkey, "left")
+        li.join(order_nation, li.l_orderkey == order_nation.o_orderkey, "left")
         .join(s, li.l_suppkey == s.s_suppkey, "left")
     )
     df = decode_roles(df, dt.country_lookup(spark, sf_dir), {"c_nationkey": "cust_nation", "s_nationkey": "supp_nation"})
