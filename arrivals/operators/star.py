@@ -55,6 +55,7 @@ def star_link(
     keep_dim_key: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     materialize_dim: bool = True,
+    size_source: DataFrame | None = None,
 ) -> DataFrame:
     """Left join a link-grain dimension onto the fact table.
 
@@ -63,9 +64,11 @@ def star_link(
     (``to_link_grain``), so fact rows are never multiplied. With
     ``materialize_dim`` the aggregated dimension is computed once (see
     ``materialize``) before its size is checked; pass False when ``dim`` is a
-    plain scan.
+    plain scan. ``size_source`` is a frame with at least as many rows as
+    ``dim`` (the table it was aggregated from, when that is a small table):
+    the bound is then checked on it and nothing is materialized.
     """
-    if materialize_dim:
+    if size_source is None and materialize_dim:
         dim = materialize(dim)
     tag = uuid.uuid4().hex[:8]
     k = f"__dk_{tag}"
@@ -74,6 +77,6 @@ def star_link(
     if normalise == "upper":
         fk, dk = F.upper(fk), F.upper(dk)
     side = dim.select(dk.alias(k), *[_c(c) for c in dim.columns if c != dim_key])
-    side = checked_broadcast(side, max_broadcast_rows, size_source=dim)
+    side = checked_broadcast(side, max_broadcast_rows, size_source=size_source if size_source is not None else dim)
     out = fact.join(side, fk == F.col(k), "left")
     return out.withColumnRenamed(k, dim_key) if keep_dim_key else out.drop(k)

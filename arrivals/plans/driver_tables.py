@@ -10,6 +10,7 @@ over whole tables and their work grows with the data. The SQL in
 from __future__ import annotations
 
 import datetime as _dt
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,15 @@ EPOCH = _dt.date(1960, 1, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _read(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+@lru_cache(maxsize=128)
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    # The driver tables are read-only inputs and a DataFrame is an immutable
+    # plan, so one handle per (session, path) saves re-listing the files and
+    # re-reading the footer for every query that uses the table.
+    return spark.read.parquet(path)
 
 
 def _s(c: Column) -> Column:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from arrivals.functions.columns import (
     day_number_to_date,
@@ -92,7 +93,9 @@ def arrivals_by_nation_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = T(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
     c = T(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     fact = o.join(c, o.o_custkey == c.c_custkey, "left")
-    fact = star_link(fact, "c_nationkey", nation_dimension(spark, sf_dir))
+    # The nation-grain dimension has at most one row per nation row: check the
+    # bound on the nation table itself instead of computing the join twice.
+    fact = star_link(fact, "c_nationkey", nation_dimension(spark, sf_dir), size_source=T(spark, sf_dir, "nation"))
     return fact.groupBy(
         "nation", "region",
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
@@ -177,7 +180,8 @@ def conform_schema(spark, sf_dir):
     shuffled = src.select(
         F.lit("ignored").alias("extra"), *[F.col(c).cast("string").alias(c) for c in reversed(src.columns)]
     )
-    contract = src.schema.add("c_comment", "string", True)
+    # A new StructType: ``StructType.add`` would mutate the frame's cached schema.
+    contract = StructType([*src.schema.fields, StructField("c_comment", StringType(), True)])
     return conform(shuffled, contract)
 
 
