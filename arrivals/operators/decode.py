@@ -101,12 +101,18 @@ def _join_prepared(
     dtype = df.schema[code_col].dataType.simpleString()
     joined = df.join(side, _key(F.col(f"`{code_col}`"), key_type, dtype) == F.col(k), "left")
     label = F.col(v) if default is None else F.coalesce(F.col(v), F.lit(default))
-    joined = joined.withColumn(out, label).drop(k, v)
-    # Names resolve case-insensitively: when ``out`` equals the code column's
-    # name, withColumn above already replaced the code.
-    if not keep_code and code_col.lower() != out.lower():
-        joined = joined.drop(code_col)
-    return joined
+    # One projection instead of withColumn + drop. Without keep_code the label
+    # takes the code column's place; with it the label is appended. A column
+    # already named like ``out`` is replaced (names resolve case-insensitively).
+    exprs = []
+    for c in df.columns:
+        if not keep_code and c.lower() == code_col.lower():
+            exprs.append(label.alias(out))
+        elif c.lower() != out.lower():
+            exprs.append(F.col(f"`{c}`"))
+    if keep_code or code_col.lower() not in {c.lower() for c in df.columns}:
+        exprs.append(label.alias(out))
+    return joined.select(*exprs)
 
 
 def decode(
