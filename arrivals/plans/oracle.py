@@ -246,6 +246,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT c_nationkey, count(*) AS n_segments, round(sum(acctbal), 2) AS acctbal
         FROM (SELECT c_nationkey, c_mktsegment, max(c_acctbal) AS acctbal FROM customer GROUP BY 1, 2)
         GROUP BY c_nationkey""",
+    "aggregate_race_by_state": """
+        SELECT c_nationkey, c_mktsegment, round(sum(c_acctbal), 2) AS c_acctbal FROM customer
+        GROUP BY c_nationkey, c_mktsegment""",
     "text_to_int": f"SELECT c_custkey, raw_text, {x1('raw_text')} AS as_int FROM ({MIXED_TEXT})",
     "numeric_day_to_date": f"""
         SELECT o.o_orderkey, CAST({DAYS} AS VARCHAR) || '.0' AS day_text, CAST(o.o_orderdate AS DATE) AS arrival_date

@@ -23,7 +23,13 @@ from arrivals.functions.columns import (
     text_to_int,
     upper_case,
 )
-from arrivals.operators.aggregate import aggregate_by_state, group_avg_first, null_profile, row_count
+from arrivals.operators.aggregate import (
+    aggregate_by_state,
+    group_avg_first,
+    null_profile,
+    row_count,
+    sum_by_state_and_group,
+)
 from arrivals.operators.clean import (
     drop_columns,
     drop_missing,
@@ -318,6 +324,11 @@ def aggregate_by_state_q(spark, sf_dir):
     return df.withColumn("acctbal", F.round("acctbal", 2))
 
 
+def aggregate_race_by_state_q(spark, sf_dir):
+    df = sum_by_state_and_group(T(spark, sf_dir, "customer"), "c_nationkey", "c_mktsegment", "c_acctbal")
+    return df.withColumn("c_acctbal", F.round("c_acctbal", 2))
+
+
 # --- scalar functions (X1-X7) ----------------------------------------------------
 
 def _mixed_number_text() -> "F.Column":
@@ -504,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "row_count": row_count_q,
     "null_profile": null_profile_q,
     "aggregate_by_state": aggregate_by_state_q,
+    "aggregate_race_by_state": aggregate_race_by_state_q,
     "text_to_int": text_to_int_q,
     "numeric_day_to_date": numeric_day_to_date_q,
     "recode_case": recode_case_q,
