@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from arrivals.plans.builds import Lookups, RawInputs, build_all, build_temperature, publish
@@ -159,3 +161,22 @@ def test_run_etl_with_port_and_state_decodes(spark, write_text, tmp_path):
     fact = spark.read.parquet(str(tmp_path / "out" / "immigration"))
     got = sorted((r.ID, r.port_of_admission, r.arrival_state) for r in fact.collect())
     assert got == [(1, "NEW YORK, NY", "NEW YORK"), (2, "LOS ANGELES, CA", "CALIFORNIA"), (4, None, "other")]
+
+
+def test_enriched_star_keeps_fact_rows(spark, built):
+    from arrivals.plans.star_views import arrivals_by_state_month, enriched_arrivals
+
+    demo = spark.createDataFrame(
+        [("Albany", "NY", 50, 40, 90, 1, 2, "White", 70), ("Albany", "NY", 50, 40, 90, 1, 2, "Asian", 20),
+         ("Buffalo", "NY", 100, 110, 210, 3, 4, "White", 210), ("LA", "CA", 5, 5, 10, 0, 1, "White", 10)],
+        "City string, State_code string, Male_population int, Female_population int, Total_population int, "
+        "Number_veterans int, Foreign_born int, Race string, Count int",
+    )
+    enriched = enriched_arrivals(built["immigration"], demo, built["airports"].union(
+        built["airports"].where("ident = '00A'").withColumn("state", F.lit("NY"))),
+        built["temperature"].union(spark.createDataFrame([("Mexico", 21.5, "19N", "99W")], built["temperature"].schema)))
+    rows = sorted((r.ID, r.arrival_state, r.Total_population, r.n_cities, r.n_airports, r.residence_temperature)
+                  for r in enriched.collect())
+    assert rows == [(1, "NY", 300, 2, 1, 21.5), (2, "CA", 10, 1, None, None), (4, "FL", None, None, None, 21.5)]
+    by_month = {(r.arrival_state, r.month): (r.n_arrivals, r.state_population) for r in arrivals_by_state_month(enriched).collect()}
+    assert by_month == {("NY", 4): (1, 300), ("CA", 4): (1, 10), ("FL", 4): (1, None)}
