@@ -13,6 +13,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for the cluster profile (about 100 TB of raw input, ~1000 executors).
+# AQE re-plans at run time: it coalesces the many shuffle partitions to the
+# advisory size, turns joins whose measured side is small into broadcast
+# joins, and splits skewed partitions of sort-merge joins and rebalanced
+# writes. Shuffle partitions are set high and left to AQE to coalesce.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Set the runtime SQL settings of the cluster profile on a session."""
+    for k, v in CLUSTER_CONF.items():
+        spark.conf.set(k, v)
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "arrivals") -> SparkSession:
     """A local session configured like the cluster profile (AQE on, UTC, no UI)."""
     return (

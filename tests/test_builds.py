@@ -178,5 +178,10 @@ def test_enriched_star_keeps_fact_rows(spark, built):
     rows = sorted((r.ID, r.arrival_state, r.Total_population, r.n_cities, r.n_airports, r.residence_temperature)
                   for r in enriched.collect())
     assert rows == [(1, "NY", 300, 2, 1, 21.5), (2, "CA", 10, 1, None, None), (4, "FL", None, None, None, 21.5)]
+    # Q4 on a star link: residence countries without a temperature row are reported, never dropped
+    from arrivals.operators.quality import unmatched_codes
+
+    q = unmatched_codes(enriched, {"residence_country": "residence_temperature"}).first()
+    assert (q.n_rows, q.n_null_code, q.n_unmatched) == (3, 0, 1)
     by_month = {(r.arrival_state, r.month): (r.n_arrivals, r.state_population) for r in arrivals_by_state_month(enriched).collect()}
     assert by_month == {("NY", 4): (1, 300), ("CA", 4): (1, 10), ("FL", 4): (1, None)}
