@@ -11,11 +11,17 @@ import duckdb
 from arrivals.plans.queries import TABLES
 
 
+# Digits doubles are rounded to before comparing; None compares exact values.
+FLOAT_DIGITS: int | None = 6
+
+
 def canon(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        if math.isnan(v):
+            return None
+        return v if FLOAT_DIGITS is None else round(v, FLOAT_DIGITS)
     if isinstance(v, (_dt.datetime, _dt.date)):
         return v.isoformat()
     if hasattr(v, "item"):
