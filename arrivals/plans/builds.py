@@ -34,6 +34,7 @@ from arrivals.schemas import (
 from arrivals.sources.readers import read_lookup, read_parquet, read_table
 from arrivals.sources.sinks import conform, refresh_months, write_parquet
 
+# Raw header name -> contract column name.
 ARRIVALS_RENAMES = {
     "cicid": "ID",
     "i94yr": "year",
@@ -46,6 +47,7 @@ ARRIVALS_RENAMES = {
     "i94bir": "age",
 }
 
+# Raw header name -> contract column name.
 DEMOGRAPHICS_RENAMES = {
     "Median Age": "Median_age",
     "Male Population": "Male_population",

@@ -150,7 +150,7 @@ def scan_csv_inferred(spark, sf_dir):
 
 def scan_lookup_quoted(spark, sf_dir):
     book = T(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("Code"), F.concat("n_name", F.lit(", PRC")).alias("I94CTRY")
+        F.col("n_nationkey").alias("Code"), F.concat("n_name", F.lit(", PRC")).alias("Country")
     )
     path = scratch_path(spark, "scan_lookup_quoted")
     book.write.option("header", "true").csv(path)

@@ -1,6 +1,6 @@
 """End-to-end run: raw files -> four checked parquet tables.
 
-    python -m arrivals.plans.etl --arrivals A --demographics D --temperature T \\
+    python -m arrivals.plans.run --arrivals A --demographics D --temperature T \\
         --airports P --country-lookup C --output OUT [--format csv] \\
         [--port-lookup P2 --state-lookup S] [--mode-lookup M --visa-lookup V]
 
@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument(f"--{name}")
     p.add_argument("--format", default="csv")
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("arrivals-etl").getOrCreate()
+    spark = SparkSession.builder.appName("arrivals-build").getOrCreate()
     lookups = Lookups.from_files(spark, country=a.country_lookup, mode=a.mode_lookup, visa=a.visa_lookup,
                                  port=a.port_lookup, state=a.state_lookup)
     inputs = RawInputs(a.arrivals, a.demographics, a.temperature, a.airports, a.format)

@@ -35,6 +35,8 @@ def text_schema(columns: list[str]) -> T.StructType:
 S, I, D, DT = T.StringType(), T.IntegerType(), T.DoubleType(), T.DateType()
 
 # --- raw inputs (all text) -------------------------------------------------
+# The header names of the raw files (their public data format)
+# and, below, the target table and column names of the warehouse contract.
 
 RAW_ARRIVALS_COLUMNS = [
     "cicid", "i94yr", "i94mon", "i94cit", "i94res", "i94port", "arrdate", "i94mode",

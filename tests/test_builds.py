@@ -19,7 +19,7 @@ ARRIVALS_CSV = """\
 3,4.0,2016.0,4.0,,582.0,SFR,20548.0,9.0,FL,20555.0,,2.0,1.0,20160401,,,G,O,,M,,10292016,F,,,3.0,,
 """
 
-COUNTRY_CSV = 'Code,I94CTRY\n582,"MEXICO"\n101,ALBANIA\n700,"INVALID: STATELESS"\n'
+COUNTRY_CSV = 'Code,Country\n582,"MEXICO"\n101,ALBANIA\n700,"INVALID: STATELESS"\n'
 
 DEMOGRAPHICS_CSV = """\
 City;State;Median Age;Male Population;Female Population;Total Population;Number of Veterans;Foreign-born;Average Household Size;State Code;Race;Count
@@ -142,7 +142,7 @@ STATE_CSV = "Code,State\nNY,NEW YORK\nCA,CALIFORNIA\n99,All Other Codes\n"
 
 
 def test_run_etl_with_port_and_state_decodes(spark, write_text, tmp_path):
-    from arrivals.plans.etl import run_etl
+    from arrivals.plans.run import run_etl
 
     inputs = RawInputs(
         arrivals=write_text("arrivals.csv", ARRIVALS_CSV),
