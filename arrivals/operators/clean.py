@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arrivals.schemas import field_type
+
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename; names that are not present are ignored."""
@@ -35,7 +37,7 @@ def _present(df: DataFrame, name: str, nan_is_missing: bool) -> Column:
     col = F.col(f"`{name}`")
     cond = col.isNotNull()
     if nan_is_missing:
-        dtype = df.schema[name].dataType
+        dtype = field_type(df.schema, name)
         if isinstance(dtype, (T.DoubleType, T.FloatType)):
             cond = cond & ~F.isnan(col)
     return cond

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.functions.columns import normalise_text, text_to_int
+from arrivals.schemas import field_type
 
 # Largest code book (rows, before de-duplication) that is shipped to every executor.
 MAX_BROADCAST_ROWS = 500_000
@@ -76,7 +77,7 @@ def prepare_lookup(
     """Code book -> (``__code``, ``__label``), one row per code, size-checked broadcast."""
     reduced = (
         lookup.select(
-            _key(F.col(f"`{code}`"), key_type, lookup.schema[code].dataType.simpleString()).alias("__code"),
+            _key(F.col(f"`{code}`"), key_type, field_type(lookup.schema, code).simpleString()).alias("__code"),
             F.col(f"`{label}`").alias("__label"),
         )
         .where(F.col("__code").isNotNull())
@@ -98,7 +99,7 @@ def _join_prepared(
     tag = uuid.uuid4().hex[:8]
     k, v = f"__k_{tag}", f"__v_{tag}"
     side = prepared.select(F.col("__code").alias(k), F.col("__label").alias(v))
-    dtype = df.schema[code_col].dataType.simpleString()
+    dtype = field_type(df.schema, code_col).simpleString()
     joined = df.join(side, _key(F.col(f"`{code_col}`"), key_type, dtype) == F.col(k), "left")
     label = F.col(v) if default is None else F.coalesce(F.col(v), F.lit(default))
     # One projection instead of withColumn + drop. Without keep_code the label

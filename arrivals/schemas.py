@@ -28,6 +28,14 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+def field_type(schema: T.StructType, name: str) -> T.DataType:
+    """Type of a column, resolved case-insensitively like Spark resolves names."""
+    for f in schema.fields:
+        if f.name.lower() == name.lower():
+            return f.dataType
+    raise ValueError(f"column {name!r} not found in {[f.name for f in schema.fields]}")
+
+
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 

@@ -35,3 +35,8 @@ def test_null_filter_reaches_parquet_scan(spark, tmp_path):
 def test_preview_is_deterministic_top_n(spark):
     df = spark.range(100).selectExpr("100 - id AS k")
     assert [r.k for r in preview(df, 3, ["k"]).collect()] == [1, 2, 3]
+
+
+def test_names_resolve_case_insensitively(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, 1.0)], "a int, D double")
+    assert [r.a for r in drop_missing(df, ["d"]).collect()] == [2]
