@@ -11,7 +11,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from arrivals.functions.columns import day_number_to_date, substring_from, text_to_int
 from arrivals.operators.aggregate import group_avg_first

@@ -58,7 +58,6 @@ from arrivals.plans.builds import (
     publish,
 )
 from arrivals.plans.codebooks import lookup_frame
-from arrivals.schemas import LOOKUP_SCHEMA
 from arrivals.session import scratch_path, unique_table_name
 from arrivals.sources.readers import read_delimited, read_inferred, read_lookup, read_parquet, read_table
 from arrivals.sources.sinks import (
