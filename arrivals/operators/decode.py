@@ -73,17 +73,19 @@ def prepare_lookup(
     key_type: str = "int",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     known_rows: int | None = None,
+    unique_codes: bool = False,
 ) -> DataFrame:
-    """Code book -> (``__code``, ``__label``), one row per code, size-checked broadcast."""
-    reduced = (
-        lookup.select(
-            _key(F.col(f"`{code}`"), key_type, field_type(lookup.schema, code).simpleString()).alias("__code"),
-            F.col(f"`{label}`").alias("__label"),
-        )
-        .where(F.col("__code").isNotNull())
-        .groupBy("__code")
-        .agg(F.min("__label").alias("__label"))
-    )
+    """Code book -> (``__code``, ``__label``), one row per code, size-checked broadcast.
+
+    ``unique_codes`` says the book already has one row per (converted) code,
+    as the fixed in-memory books do; the per-code reduction (a small shuffle)
+    is then skipped.
+    """
+    keyed = lookup.select(
+        _key(F.col(f"`{code}`"), key_type, field_type(lookup.schema, code).simpleString()).alias("__code"),
+        F.col(f"`{label}`").alias("__label"),
+    ).where(F.col("__code").isNotNull())
+    reduced = keyed if unique_codes else keyed.groupBy("__code").agg(F.min("__label").alias("__label"))
     return checked_broadcast(reduced, max_broadcast_rows, size_source=lookup, known_rows=known_rows)
 
 
@@ -129,6 +131,7 @@ def decode(
     keep_code: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     known_rows: int | None = None,
+    unique_codes: bool = False,
 ) -> DataFrame:
     """Replace ``code_col`` by its label in ``out``.
 
@@ -137,7 +140,7 @@ def decode(
     normalised text (a port code like ``060`` must stay text), ``"raw"`` uses
     the values as they are. Unknown codes give null, or ``default`` when set.
     """
-    prepared = prepare_lookup(lookup, lookup_code, lookup_label, key_type, max_broadcast_rows, known_rows)
+    prepared = prepare_lookup(lookup, lookup_code, lookup_label, key_type, max_broadcast_rows, known_rows, unique_codes)
     return _join_prepared(df, code_col, prepared, out, key_type, default, keep_code)
 
 

@@ -104,8 +104,9 @@ def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False,
     df = rename_columns(raw, ARRIVALS_RENAMES)
     df = drop_columns(df, UNUSED_ARRIVALS_COLUMNS)
     df = drop_missing(df, ["arrival_state"])
-    df = decode(df, "mode_code", mode, "Mode", key_type="int", known_rows=mode_rows)
-    df = decode(df, "visa_code", visa, "visa", key_type="int", known_rows=visa_rows)
+    # The fixed books have one row per code by construction.
+    df = decode(df, "mode_code", mode, "Mode", key_type="int", known_rows=mode_rows, unique_codes=mode_rows is not None)
+    df = decode(df, "visa_code", visa, "visa", key_type="int", known_rows=visa_rows, unique_codes=visa_rows is not None)
     df = df.withColumns({
         "ID": text_to_int("ID"),
         "year": text_to_int("year"),

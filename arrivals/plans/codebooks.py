@@ -29,6 +29,11 @@ OTHER_STATE = "other"
 
 
 def lookup_frame(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
+    """An in-memory code book; its codes must be unique (decodes may then skip
+    the per-code reduction)."""
+    codes = [c for c, _ in rows]
+    if len(set(codes)) != len(codes):
+        raise ValueError("in-memory code book has repeated codes")
     return spark.createDataFrame(rows, LOOKUP_SCHEMA)
 
 

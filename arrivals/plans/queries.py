@@ -278,7 +278,7 @@ def _decoded_events(spark, sf_dir, default=None) -> DataFrame:
     e = T(spark, sf_dir, "events").select("event_id", "event_type")
     book = lookup_frame(spark, EVENT_TYPE_CODES)
     return decode(e, "event_type", book, "event_label", key_type="string", default=default, keep_code=True,
-                  known_rows=len(EVENT_TYPE_CODES))
+                  known_rows=len(EVENT_TYPE_CODES), unique_codes=True)
 
 
 def decode_string_key(spark, sf_dir):
