@@ -320,6 +320,7 @@ ORACLE_SQL: dict[str, str] = {
     "build_dimension_state": BUILD_DIMENSION_STATE,
     "build_dimension_country": BUILD_DIMENSION_COUNTRY,
     "build_dimension_filtered": BUILD_DIMENSION_FILTERED,
+    "stream_monthly_drops": BUILD_FACT,
     "publish_report": " UNION ALL ".join([
         _non_empty("immigration", f"({BUILD_FACT})"),
         _non_empty("demographics", f"({BUILD_DIMENSION_STATE})"),

@@ -59,6 +59,7 @@ from arrivals.plans.builds import (
 )
 from arrivals.plans.codebooks import lookup_frame
 from arrivals.session import scratch_path, unique_table_name
+from arrivals.streaming.monthly import load_new_drops
 from arrivals.sources.readers import read_delimited, read_inferred, read_lookup, read_parquet, read_table
 from arrivals.sources.sinks import (
     append_by_name,
@@ -492,6 +493,17 @@ def build_dimension_filtered(spark, sf_dir):
     return build_airports(dt.raw_airports(spark, sf_dir))
 
 
+def stream_monthly_drops(spark, sf_dir):
+    """The incremental loader over whole tables: the raw arrivals rows are
+    dropped as CSV files, the file stream loads every new file and refreshes
+    the months they contain; the result is the fact table as stored."""
+    drops = scratch_path(spark, "drops")
+    dt.raw_arrivals(spark, sf_dir).write.option("header", "true").csv(drops)
+    target = scratch_path(spark, "drops_fact")
+    load_new_drops(spark, drops, _lookups(spark, sf_dir), target)
+    return read_parquet(spark, target)
+
+
 def publish_report(spark, sf_dir):
     tables = {
         "immigration": build_fact(spark, sf_dir),
@@ -552,4 +564,5 @@ QUERIES: dict[str, Query] = {
     "build_dimension_country": build_dimension_country,
     "build_dimension_filtered": build_dimension_filtered,
     "publish_report": publish_report,
+    "stream_monthly_drops": stream_monthly_drops,
 }
