@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.functions.columns import text_to_double
+from arrivals.schemas import sql_string
 
 
 def _c(name: str) -> Column:
@@ -93,5 +94,5 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
         F.count(F.lit(1)).alias("__rows"),
         *[F.count_if(_c(c).isNull()).alias(f"__n{i}") for i, c in enumerate(cols)],
     )
-    pairs = ", ".join(f"'{c}', __n{i}" for i, c in enumerate(cols))
+    pairs = ", ".join(f"{sql_string(c)}, __n{i}" for i, c in enumerate(cols))
     return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, null_count)", "__rows AS row_count")

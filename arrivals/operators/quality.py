@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrivals.schemas import Contract
+from arrivals.schemas import Contract, sql_string
 
 
 def _c(name: str) -> Column:
@@ -80,7 +80,7 @@ def unmatched_codes(
             F.count_if(_c(label).cast("string").startswith(invalid_prefix)).alias(f"__ni{i}"),
         ]
     wide = df.agg(*aggs)
-    parts = ", ".join(f"'{label}', __nc{i}, __nu{i}, __ni{i}" for i, (code, label) in enumerate(pairs))
+    parts = ", ".join(f"{sql_string(label)}, __nc{i}, __nu{i}, __ni{i}" for i, (code, label) in enumerate(pairs))
     return wide.selectExpr(
         f"stack({len(pairs)}, {parts}) AS (column_name, n_null_code, n_unmatched, n_invalid)",
         "__rows AS n_rows",
@@ -125,7 +125,7 @@ def schema_report(df: DataFrame, contract: Contract | T.StructType, convert=None
     wide = df.agg(*aggs)
 
     def lit(v):
-        return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+        return "NULL" if v is None else sql_string(v)
 
     parts = ", ".join(
         f"{lit(n)}, CAST({lit(a)} AS STRING), {lit(e)}, __v{i}, __b{i}" for i, (n, a, e) in enumerate(meta)

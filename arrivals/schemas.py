@@ -36,6 +36,11 @@ def field_type(schema: T.StructType, name: str) -> T.DataType:
     raise ValueError(f"column {name!r} not found in {[f.name for f in schema.fields]}")
 
 
+def sql_string(value: str) -> str:
+    """A Spark SQL string literal for arbitrary text (used for column names in stack())."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 

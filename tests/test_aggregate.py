@@ -57,3 +57,9 @@ def test_null_profile(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
     got = {r.column_name: (r.null_count, r.row_count) for r in null_profile(df).collect()}
     assert got == {"a": (1, 3), "b": (2, 3)}
+
+
+def test_null_profile_odd_column_names(spark):
+    df = spark.createDataFrame([(None, 1)], "`it's` int, `back\\\\slash` int")
+    got = {r.column_name: r.null_count for r in null_profile(df).collect()}
+    assert got == {"it's": 1, "back\\\\slash": 0}
