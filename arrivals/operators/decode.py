@@ -23,13 +23,24 @@ from arrivals.schemas import field_type
 MAX_BROADCAST_ROWS = 500_000
 
 
+# Up to this many (column-less) rows are fetched to prove a lookup small in one stage.
+_PROBE_ROWS = 10_000
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` reads no columns; every partition stops
-    after ``max_rows + 1`` rows and only (empty) rows are counted, so the
-    check is bounded per task however large the input is.
+    First ``take`` of up to 10 000 column-less rows: it scans partitions
+    incrementally and stops once it has them, so a typical code book is
+    proven small by one short stage. Only a larger frame goes on to
+    ``limit(max_rows + 1).count()``, which reads no columns and stops every
+    partition after ``max_rows + 1`` rows. Either way the work is bounded
+    however large the input is, and at most 10 000 empty rows reach the driver.
     """
+    probe = min(max_rows + 1, _PROBE_ROWS)
+    seen = len(df.select().take(probe))
+    if seen < probe:
+        return seen <= max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 
