@@ -14,3 +14,19 @@ def test_unique_table_names_and_cluster_profile():
     assert unique_table_name("t") != unique_table_name("t")
     assert CLUSTER_CONF["spark.sql.adaptive.enabled"] == "true"
     assert CLUSTER_CONF["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_cluster_profile_settings_are_valid(spark):
+    from arrivals.session import apply_cluster_conf
+
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        apply_cluster_conf(spark)
+        for k, v in CLUSTER_CONF.items():
+            assert spark.conf.get(k) == v
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
