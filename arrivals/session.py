@@ -57,8 +57,10 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is a distributed file system path every executor can
-    reach. Only when the session has none (a bare local test session) is a
-    private temporary folder created and registered as the checkpoint dir.
+    reach, and it must be configured: a machine-local folder would not
+    survive the loss of the machine. Only a local-mode session without one
+    (a test) gets a private temporary folder, registered as its checkpoint
+    dir.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -67,11 +69,13 @@ def scratch_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             base = None
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; set it to a shared folder (e.g. on HDFS or an object store)"
+            )
         base = tempfile.mkdtemp(prefix="arrivals-checkpoint-")
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:
-            pass
+        spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
