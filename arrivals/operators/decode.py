@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from arrivals.functions.columns import normalise_text, text_to_int
 from arrivals.schemas import field_type
+from arrivals.session import scratch_root
 
 # Largest code book (rows, before de-duplication) that is shipped to every executor.
 MAX_BROADCAST_ROWS = 500_000
@@ -44,22 +45,39 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a derived frame once into the reliable checkpoint folder.
+
+    The copy lives in ``spark.checkpoint.dir`` (a shared folder), so it
+    survives the loss of the executor that computed it, and later plans read
+    it instead of recomputing its lineage.
+    """
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checked_broadcast(
     df: DataFrame,
     max_rows: int = MAX_BROADCAST_ROWS,
     size_source: DataFrame | None = None,
     known_rows: int | None = None,
+    materialize_large: bool = False,
 ) -> DataFrame:
     """Broadcast hint only when the (source of the) frame fits the row bound.
 
     ``known_rows`` is an upper bound the caller already holds (an in-memory
-    code book), which saves the counting job.
+    code book), which saves the counting job. With ``materialize_large`` a
+    frame over the bound is checkpointed instead: its join then shuffles it
+    afresh, which lets AQE's skew join split a hot key on the other side
+    (a reused exchange from the frame's own aggregation would not).
     """
     if known_rows is not None:
         fits = known_rows <= max_rows
     else:
         fits = fits_broadcast(size_source if size_source is not None else df, max_rows)
-    return F.broadcast(df) if fits else df
+    if fits:
+        return F.broadcast(df)
+    return materialize(df) if materialize_large else df
 
 
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint")
@@ -97,7 +115,9 @@ def prepare_lookup(
         F.col(f"`{label}`").alias("__label"),
     ).where(F.col("__code").isNotNull())
     reduced = keyed if unique_codes else keyed.groupBy("__code").agg(F.min("__label").alias("__label"))
-    return checked_broadcast(reduced, max_broadcast_rows, size_source=lookup, known_rows=known_rows)
+    return checked_broadcast(
+        reduced, max_broadcast_rows, size_source=lookup, known_rows=known_rows, materialize_large=not unique_codes
+    )
 
 
 def _join_prepared(

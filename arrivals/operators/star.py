@@ -14,8 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivals.operators.decode import MAX_BROADCAST_ROWS, checked_broadcast
-from arrivals.session import scratch_root
+from arrivals.operators.decode import MAX_BROADCAST_ROWS, checked_broadcast, materialize
 
 
 def _c(name: str) -> Column:
@@ -33,18 +32,6 @@ def count_per_key(dim: DataFrame, key: str | Column, out: str = "n", key_name: s
     return to_link_grain(dim, key, {out: F.count(F.lit(1))}, key_name)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute a (small, derived) frame once into the reliable checkpoint folder.
-
-    Used for link-grain dimensions: their size check and their join then read
-    the written copy instead of re-running the aggregate over the dimension
-    source. The copy lives in ``spark.checkpoint.dir`` (a shared folder), so
-    it survives the loss of the executor that computed it.
-    """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def star_link(
     fact: DataFrame,
     fact_key: str | Column,
@@ -62,8 +49,8 @@ def star_link(
     ``normalise="upper"`` compares upper-cased text on both sides (country
     names). The dimension must already be unique on ``dim_key``
     (``to_link_grain``), so fact rows are never multiplied. With
-    ``materialize_dim`` the aggregated dimension is computed once (see
-    ``materialize``) before its size is checked; pass False when ``dim`` is a
+    ``materialize_dim`` the aggregated dimension is computed once into the
+    checkpoint folder (``decode.materialize``) before its size is checked; pass False when ``dim`` is a
     plain scan. ``size_source`` is a frame with at least as many rows as
     ``dim`` (the table it was aggregated from, when that is a small table):
     the bound is then checked on it and nothing is materialized.

@@ -65,3 +65,43 @@ def test_aggregations_are_partial(spark):
     for name in ("quality_duplicate_keys", "arrivals_by_nation_month", "aggregate_by_state"):
         plan = plan_text(QUERIES[name](spark, SF))
         assert "partial_" in plan, name
+
+
+def test_hot_code_over_bound_lookup_is_split_by_aqe(spark):
+    """A third of the fact rows share one code and the code book is over the
+    broadcast bound, so the decode is a sort-merge join. AQE's skew join must
+    split the hot partition, and the result must stay exact."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        from arrivals.operators.decode import decode
+
+        n = 30_000
+        fact = spark.range(n).select(
+            F.col("id"),
+            F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise((F.col("id") % 1000).cast("string")).alias("code"),
+        )
+        book = spark.range(1000).select(F.col("id").cast("string").alias("code"), F.concat(F.lit("L"), F.col("id").cast("string")).alias("label"))
+        out = decode(fact, "code", book, "label", max_broadcast_rows=10)
+        agg = out.groupBy("label").count()
+        counts = {r.label: r["count"] for r in agg.collect()}
+        final = agg._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in final and "skew=true" in final
+        assert sum(counts.values()) == n
+        assert counts["L7"] == n // 3 + sum(1 for i in range(n) if i % 3 != 0 and i % 1000 == 7)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
