@@ -3,9 +3,10 @@
 A decode is a left equi join against a code book. The code book is first
 reduced to one row per code (``min(label)``), so a decode can never multiply
 fact rows and the label it picks is deterministic. It is then broadcast, but
-only after its size has been checked: a code book that outgrows the bound is
-joined by shuffle instead (AQE may still convert it at run time, and splits a
-hot fact key when it does not).
+only after its size has been checked. A code book that outgrows the bound is
+checkpointed and joined by shuffle instead; that join gets its own exchange on
+both sides, so AQE can still convert it to a broadcast at run time or split a
+hot fact code.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivals.functions.columns import normalise_text, text_to_int
+from arrivals.functions.columns import normalise_text, text_to_double
 from arrivals.schemas import field_type
 from arrivals.session import scratch_root
 
@@ -85,9 +86,9 @@ _INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 def _key(c: Column, key_type: str, dtype: str = "string") -> Column:
     if key_type == "int":
-        # Integral keys only narrow; text (or fractional) keys take the
-        # decimal-text route so "2.0" and 2 meet.
-        return c.try_cast("int") if dtype in _INTEGRAL else text_to_int(c.cast("string"))
+        # Both sides become long: integral keys exactly, text (or fractional)
+        # keys through the decimal-text route, so "2.0" and 2 meet.
+        return c.cast("long") if dtype in _INTEGRAL else text_to_double(c.cast("string")).try_cast("long")
     if key_type == "string":
         return normalise_text(c.cast("string"))
     if key_type == "raw":

@@ -58,3 +58,10 @@ def test_lookup_over_bound_is_not_hinted_and_still_correct(spark):
 def test_fits_broadcast(spark):
     assert fits_broadcast(spark.range(10), 10)
     assert not fits_broadcast(spark.range(11), 10)
+
+
+def test_int_keys_beyond_int_range(spark):
+    fact = spark.createDataFrame([(1, 5_000_000_000), (2, 7)], "id int, code long")
+    book = spark.createDataFrame([("5000000000.0", "big"), ("7", "small")], "code string, label string")
+    out = decode(fact, "code", book, "label")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "big"), (2, "small")]
