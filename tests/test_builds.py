@@ -207,3 +207,24 @@ def test_builds_are_format_agnostic(spark, write_text, tmp_path, fmt, built):
         assert again[name].columns == df.columns
         key = lambda r: tuple((v is None, str(v)) for v in r)
         assert sorted(again[name].collect(), key=key) == sorted(df.collect(), key=key), name
+
+
+def test_command_line_runner(write_text, tmp_path):
+    import subprocess
+    import sys
+
+    root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    out = tmp_path / "cli_out"
+    cmd = [
+        sys.executable, "-m", "arrivals.plans.run",
+        "--arrivals", write_text("a.csv", ARRIVALS_CSV),
+        "--demographics", write_text("d.csv", DEMOGRAPHICS_CSV),
+        "--temperature", write_text("t.csv", TEMPERATURE_CSV),
+        "--airports", write_text("p.csv", AIRPORTS_CSV),
+        "--country-lookup", write_text("c.csv", COUNTRY_CSV),
+        "--output", str(out),
+    ]
+    res = subprocess.run(cmd, cwd=root, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert "immigration" in res.stdout and "true" in res.stdout
+    assert sorted(p.name for p in out.iterdir()) == ["airports", "demographics", "immigration", "temperature"]
