@@ -14,9 +14,25 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrivals.plans.builds import Lookups, RawInputs, build_all, build_arrivals, publish
-from arrivals.schemas import ARRIVALS, RAW_ARRIVALS_COLUMNS
+from arrivals.plans.builds import (
+    Lookups,
+    RawInputs,
+    build_airports,
+    build_all,
+    build_arrivals,
+    build_demographics,
+    build_temperature,
+    publish,
+)
+from arrivals.schemas import (
+    ARRIVALS,
+    RAW_AIRPORTS_COLUMNS,
+    RAW_ARRIVALS_COLUMNS,
+    RAW_DEMOGRAPHICS_COLUMNS,
+    RAW_TEMPERATURE_COLUMNS,
+)
 from arrivals.sources.readers import read_table
+from arrivals.sources.sinks import refresh_months, write_parquet
 
 
 def run_etl(
@@ -36,6 +52,47 @@ def run_etl(
     return publish(spark, tables, output_root)
 
 
+# --- one call per dataset: (spark, input_path, output_path, input_format) -------------
+
+def process_immigration(
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    input_format: str = "csv",
+    *,
+    country_lookup: str,
+    mode_lookup: str | None = None,
+    visa_lookup: str | None = None,
+) -> None:
+    """Raw arrivals -> fact table at ``output_path`` (months refreshed, not appended).
+
+    Code books are passed explicitly (files with a code and a label column);
+    mode and visa default to the fixed books.
+    """
+    raw = read_table(spark, input_path, input_format, columns=RAW_ARRIVALS_COLUMNS, allow_missing=True)
+    lookups = Lookups.from_files(spark, country=country_lookup, mode=mode_lookup, visa=visa_lookup)
+    refresh_months(build_arrivals(raw, lookups), output_path)
+
+
+def process_demographics(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
+    """Raw city demographics (``;``-separated when CSV) -> demographics table."""
+    opts = {"sep": ";"} if input_format == "csv" else {}
+    raw = read_table(spark, input_path, input_format, columns=RAW_DEMOGRAPHICS_COLUMNS, allow_missing=True, **opts)
+    write_parquet(build_demographics(raw), output_path)
+
+
+def process_temperature(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
+    """Raw city temperatures -> one row per country."""
+    raw = read_table(spark, input_path, input_format, columns=RAW_TEMPERATURE_COLUMNS, allow_missing=True)
+    write_parquet(build_temperature(raw), output_path)
+
+
+def process_airports(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
+    """Raw airport codes -> US airports with a state column."""
+    raw = read_table(spark, input_path, input_format, columns=RAW_AIRPORTS_COLUMNS, allow_missing=True)
+    write_parquet(build_airports(raw), output_path)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     for name in ("arrivals", "demographics", "temperature", "airports", "country-lookup", "output"):

@@ -228,3 +228,16 @@ def test_command_line_runner(write_text, tmp_path):
     assert res.returncode == 0, res.stderr[-2000:]
     assert "immigration" in res.stdout and "true" in res.stdout
     assert sorted(p.name for p in out.iterdir()) == ["airports", "demographics", "immigration", "temperature"]
+
+
+def test_per_dataset_calls(spark, write_text, tmp_path):
+    from arrivals.plans.run import process_airports, process_demographics, process_immigration, process_temperature
+
+    out = tmp_path / "per_dataset"
+    process_immigration(spark, write_text("a.csv", ARRIVALS_CSV), str(out / "immigration"),
+                        country_lookup=write_text("c.csv", COUNTRY_CSV))
+    process_demographics(spark, write_text("d.csv", DEMOGRAPHICS_CSV), str(out / "demographics"))
+    process_temperature(spark, write_text("t.csv", TEMPERATURE_CSV), str(out / "temperature"))
+    process_airports(spark, write_text("p.csv", AIRPORTS_CSV), str(out / "airports"))
+    counts = {n: spark.read.parquet(str(out / n)).count() for n in ("immigration", "demographics", "temperature", "airports")}
+    assert counts == {"immigration": 3, "demographics": 2, "temperature": 3, "airports": 3}
