@@ -2,8 +2,8 @@
 
 A dimension is first brought to the grain of the link (one row per state or
 country), otherwise a city-grain dimension would multiply every fact row. The
-reduced side is broadcast when its size is checked to be small; the fact table
-is never shuffled for such a link.
+reduced side is broadcast when its size is checked to be small, and the fact
+table is then never shuffled for the link.
 """
 
 from __future__ import annotations
@@ -48,12 +48,14 @@ def star_link(
 
     ``normalise="upper"`` compares upper-cased text on both sides (country
     names). The dimension must already be unique on ``dim_key``
-    (``to_link_grain``), so fact rows are never multiplied. With
-    ``materialize_dim`` the aggregated dimension is computed once into the
-    checkpoint folder (``decode.materialize``) before its size is checked; pass False when ``dim`` is a
-    plain scan. ``size_source`` is a frame with at least as many rows as
-    ``dim`` (the table it was aggregated from, when that is a small table):
-    the bound is then checked on it and nothing is materialized.
+    (``to_link_grain``), so fact rows are never multiplied.
+
+    With ``materialize_dim`` the aggregated dimension is computed once into
+    the checkpoint folder (``decode.materialize``) before its size is
+    checked; pass False when ``dim`` is a plain scan. ``size_source`` is a
+    frame with at least as many rows as ``dim`` (the table it was aggregated
+    from, when that is a small table): the bound is then checked on it and
+    nothing is materialized.
     """
     if size_source is None and materialize_dim:
         dim = materialize(dim)
