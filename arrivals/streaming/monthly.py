@@ -60,6 +60,10 @@ def load_new_drops(
     ``checkpoint`` (a shared folder) holds the stream's progress; by default
     a fresh folder under ``spark.checkpoint.dir`` is used, which makes the
     call load everything present. Blocks until the available files are done.
+
+    ``max_files_per_batch`` splits a large backlog into several micro-batches.
+    Use it only when no month's rows are spread over files that could land in
+    different batches: a later batch replaces the months it contains.
     """
     ckpt = checkpoint or scratch_path(spark, "arrivals-drops-checkpoint")
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
