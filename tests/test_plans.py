@@ -105,3 +105,43 @@ def test_hot_code_over_bound_lookup_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_key_in_row_level_join_is_split_by_aqe(spark):
+    """Row-level big join (lineitem-like fact x supplier-like table, neither
+    broadcastable): a third of the fact rows on one key must be split by AQE,
+    with every fact row kept."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30_000
+        # The payload is used after the join (as real fact columns are), so it
+        # is shuffled and the hot partition is large in bytes, not only in rows.
+        fact = spark.range(n).select(
+            F.col("id").alias("l_id"),
+            F.rand(7).alias("payload"),
+            F.when(F.col("id") % 3 == 0, F.lit(42)).otherwise(F.col("id") % 500).alias("l_suppkey"),
+        )
+        supplier = spark.range(500).select(F.col("id").alias("s_suppkey"), (F.col("id") % 25).alias("s_nationkey"))
+        joined = fact.join(supplier, fact.l_suppkey == supplier.s_suppkey, "left")
+        out = joined.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("count"), F.sum("payload").alias("p"))
+        total = sum(r["count"] for r in out.collect())
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert total == n
+        assert "skew=true" in final
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
