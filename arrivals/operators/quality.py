@@ -61,6 +61,16 @@ def key_summary(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     )
 
 
+def contract_key_report(tables: Mapping[str, DataFrame], keys: Mapping[str, Iterable[str]]) -> DataFrame:
+    """Q2 over several tables: one ``key_summary`` row per table, for the key
+    its contract declares (keys are declared, not enforced, by the warehouse)."""
+    parts = [
+        key_summary(tables[name], list(keys[name])).select(F.lit(name).alias("table_name"), "*")
+        for name in tables
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def unmatched_codes(
     df: DataFrame, pairs: Mapping[str, str] | Iterable[tuple[str, str]], invalid_prefix: str = "INVALID"
 ) -> DataFrame:

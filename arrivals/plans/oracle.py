@@ -174,6 +174,17 @@ def _schema_row(col: str, actual: str, expected: str, bad: str) -> str:
     )
 
 
+def _key_summary(name: str, source: str, keys: list[str]) -> str:
+    cols = ", ".join(f'"{k}"' for k in keys)
+    null_any = " OR ".join(f'"{k}" IS NULL' for k in keys)
+    return f"""
+    SELECT '{name}' AS table_name, CAST(sum(n) AS BIGINT) AS n_rows,
+           CAST(coalesce(sum(CASE WHEN has_null = 1 THEN n END), 0) AS BIGINT) AS n_null_key_rows,
+           count(*) AS n_distinct_keys, CAST(count_if(n > 1) AS BIGINT) AS n_duplicate_keys
+    FROM (SELECT {cols}, count(*) AS n, max(CASE WHEN {null_any} THEN 1 ELSE 0 END) AS has_null
+          FROM ({source}) GROUP BY {cols})"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "arrivals_by_nation_month": """
         SELECT n.n_name AS nation, r.r_name AS region,
@@ -321,6 +332,12 @@ ORACLE_SQL: dict[str, str] = {
     "build_dimension_country": BUILD_DIMENSION_COUNTRY,
     "build_dimension_filtered": BUILD_DIMENSION_FILTERED,
     "stream_monthly_drops": BUILD_FACT,
+    "quality_contract_keys": " UNION ALL ".join([
+        _key_summary("immigration", BUILD_FACT, ["ID"]),
+        _key_summary("demographics", BUILD_DIMENSION_STATE, ["City", "State_code", "Race"]),
+        _key_summary("temperature", TEMPERATURE_UNROUNDED, ["Country"]),
+        _key_summary("airports", BUILD_DIMENSION_FILTERED, ["ident"]),
+    ]),
     "publish_report": " UNION ALL ".join([
         _non_empty("immigration", f"({BUILD_FACT})"),
         _non_empty("demographics", f"({BUILD_DIMENSION_STATE})"),

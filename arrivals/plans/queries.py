@@ -40,6 +40,7 @@ from arrivals.operators.clean import (
 )
 from arrivals.operators.decode import checked_broadcast, decode, decode_roles
 from arrivals.operators.quality import (
+    contract_key_report,
     duplicate_keys,
     key_summary,
     non_empty_report,
@@ -50,6 +51,7 @@ from arrivals.operators.quality import (
 from arrivals.operators.star import count_per_key, star_link, to_link_grain
 from arrivals.plans import driver_tables as dt
 from arrivals.plans.builds import (
+    CONTRACTS,
     Lookups,
     build_airports,
     build_arrivals,
@@ -493,6 +495,16 @@ def build_dimension_filtered(spark, sf_dir):
     return build_airports(dt.raw_airports(spark, sf_dir))
 
 
+def quality_contract_keys(spark, sf_dir):
+    tables = {
+        "immigration": build_fact(spark, sf_dir),
+        "demographics": build_dimension_state(spark, sf_dir),
+        "temperature": build_temperature(dt.raw_temperature(spark, sf_dir)),
+        "airports": build_dimension_filtered(spark, sf_dir),
+    }
+    return contract_key_report(tables, {name: CONTRACTS[name].key for name in tables})
+
+
 def stream_monthly_drops(spark, sf_dir):
     """The incremental loader over whole tables: the raw arrivals rows are
     dropped as CSV files, the file stream loads every new file and refreshes
@@ -559,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "quality_unmatched_codes": quality_unmatched_codes,
     "quality_unmatched_code_list": quality_unmatched_code_list,
     "schema_report": schema_report_q,
+    "quality_contract_keys": quality_contract_keys,
     "build_fact": build_fact,
     "build_dimension_state": build_dimension_state,
     "build_dimension_country": build_dimension_country,
