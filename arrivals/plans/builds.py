@@ -183,6 +183,14 @@ def build_all(spark: SparkSession, inputs: RawInputs, lookups: Lookups) -> dict[
 CONTRACTS: dict[str, Contract] = {c.name: c for c in (ARRIVALS, DEMOGRAPHICS, TEMPERATURE, AIRPORTS)}
 
 
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A published table, columns in its contract's order (a partitioned fact
+    table otherwise lists ``year``, ``month`` last)."""
+    df = read_parquet(spark, f"{root.rstrip('/')}/{name}")
+    contract = CONTRACTS.get(name)
+    return conform(df, contract, strict=True) if contract is not None else df
+
+
 def _write_table(spark: SparkSession, name: str, df: DataFrame, root: str, fact: str) -> DataFrame:
     path = f"{root.rstrip('/')}/{name}"
     contract = CONTRACTS.get(name)
@@ -191,7 +199,7 @@ def _write_table(spark: SparkSession, name: str, df: DataFrame, root: str, fact:
         refresh_months(out, path, ("year", "month"))
     else:
         write_parquet(out, path)
-    return read_parquet(spark, path)
+    return read_published(spark, root, name)
 
 
 def publish(

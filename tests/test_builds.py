@@ -125,6 +125,9 @@ def test_publish_writes_and_checks(spark, built, tmp_path):
     }
     fact = spark.read.parquet(str(tmp_path / "out" / "immigration"))
     assert sorted(fact.columns) == sorted(ARRIVALS.columns)
+    from arrivals.plans.builds import read_published
+
+    assert read_published(spark, str(tmp_path / "out"), "immigration").columns == ARRIVALS.columns
     # a re-run of the same month replaces it
     publish(spark, built, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "immigration")).count() == 3
