@@ -17,7 +17,7 @@ from arrivals.functions.columns import day_number_to_date, substring_from, text_
 from arrivals.operators.aggregate import group_avg_first
 from arrivals.operators.clean import drop_columns, drop_missing, filter_equals, rename_columns
 from arrivals.operators.decode import decode, decode_roles
-from arrivals.operators.quality import non_empty_report, require
+from arrivals.operators.quality import non_empty_report, require, unmatched_codes
 from arrivals.plans.codebooks import MODE_CODES, OTHER_STATE, VISA_CODES, mode_lookup, visa_lookup
 from arrivals.schemas import (
     AIRPORTS,
@@ -124,6 +124,29 @@ def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False,
     return conform(df, ARRIVALS)
 
 
+def arrivals_decode_report(raw: DataFrame, lookups: Lookups) -> DataFrame:
+    """Q4 for the fact build: per decoded column (column_name, n_rows,
+    n_null_code, n_unmatched, n_invalid) over the rows the fact keeps.
+
+    Same rows and decodes as ``build_arrivals``, with the codes kept so that
+    codes without a label (and codes the book labels invalid) are counted
+    instead of silently becoming null. One pass: broadcast decodes then a
+    single aggregate.
+    """
+    spark = raw.sparkSession
+    mode, mode_rows = (lookups.mode, None) if lookups.mode is not None else (mode_lookup(spark), len(MODE_CODES))
+    visa, visa_rows = (lookups.visa, None) if lookups.visa is not None else (visa_lookup(spark), len(VISA_CODES))
+    df = drop_missing(rename_columns(raw, ARRIVALS_RENAMES), ["arrival_state"])
+    df = decode(df, "mode_code", mode, "Mode", key_type="int", keep_code=True,
+                known_rows=mode_rows, unique_codes=mode_rows is not None)
+    df = decode(df, "visa_code", visa, "visa", key_type="int", keep_code=True,
+                known_rows=visa_rows, unique_codes=visa_rows is not None)
+    df = decode_roles(df, lookups.country, {"i94cit": "native_country", "i94res": "residence_country"},
+                      key_type="int", keep_code=True)
+    return unmatched_codes(df, [("mode_code", "Mode"), ("visa_code", "visa"),
+                                ("i94cit", "native_country"), ("i94res", "residence_country")])
+
+
 def build_demographics(raw: DataFrame) -> DataFrame:
     """Raw city demographics -> demographics contract.
 

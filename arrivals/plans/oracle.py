@@ -58,6 +58,30 @@ LEFT JOIN country rn ON {x1('r.i94res')} = rn.code
 WHERE r.i94addr IS NOT NULL
 """
 
+FACT_DECODED = f"""
+WITH raw AS ({RAW_ARRIVALS}),
+mode_book(code, label) AS (VALUES (1, 'Air'), (2, 'Sea'), (3, 'Land'), (9, 'Not reported')),
+visa_book(code, label) AS (VALUES (1, 'Business'), (2, 'Pleasure'), (3, 'Student')),
+country AS (SELECT n_nationkey AS code, min(n_name) AS label FROM nation GROUP BY n_nationkey)
+SELECT r.i94mode, m.label AS mode_label, r.i94visa, v.label AS visa_label,
+       r.i94cit, cn.label AS cit_label, r.i94res, rn.label AS res_label
+FROM raw r
+LEFT JOIN mode_book m ON {x1('r.i94mode')} = m.code
+LEFT JOIN visa_book v ON {x1('r.i94visa')} = v.code
+LEFT JOIN country cn ON {x1('r.i94cit')} = cn.code
+LEFT JOIN country rn ON {x1('r.i94res')} = rn.code
+WHERE r.i94addr IS NOT NULL
+"""
+
+
+def _decode_quality(name: str, code: str, label: str) -> str:
+    return (
+        f"SELECT '{name}' AS column_name, count(*) AS n_rows, CAST(count_if({code} IS NULL) AS BIGINT) AS n_null_code, "
+        f"CAST(count_if({code} IS NOT NULL AND {label} IS NULL) AS BIGINT) AS n_unmatched, "
+        f"CAST(count_if({label} LIKE 'INVALID%') AS BIGINT) AS n_invalid FROM d"
+    )
+
+
 BUILD_DIMENSION_STATE = f"""
 WITH raw AS (
   SELECT p_name AS city, p_type AS state, CAST(p_size AS VARCHAR) || '.5' AS median_age,
@@ -332,6 +356,12 @@ ORACLE_SQL: dict[str, str] = {
     "build_dimension_country": BUILD_DIMENSION_COUNTRY,
     "build_dimension_filtered": BUILD_DIMENSION_FILTERED,
     "stream_monthly_drops": BUILD_FACT,
+    "quality_fact_decodes": f"WITH d AS ({FACT_DECODED}) " + " UNION ALL ".join([
+        _decode_quality("Mode", "i94mode", "mode_label"),
+        _decode_quality("visa", "i94visa", "visa_label"),
+        _decode_quality("native_country", "i94cit", "cit_label"),
+        _decode_quality("residence_country", "i94res", "res_label"),
+    ]),
     "quality_contract_keys": " UNION ALL ".join([
         _key_summary("immigration", BUILD_FACT, ["ID"]),
         _key_summary("demographics", BUILD_DIMENSION_STATE, ["City", "State_code", "Race"]),

@@ -53,6 +53,7 @@ from arrivals.plans import driver_tables as dt
 from arrivals.plans.builds import (
     CONTRACTS,
     Lookups,
+    arrivals_decode_report,
     build_airports,
     build_arrivals,
     build_demographics,
@@ -495,6 +496,10 @@ def build_dimension_filtered(spark, sf_dir):
     return build_airports(dt.raw_airports(spark, sf_dir))
 
 
+def quality_fact_decodes(spark, sf_dir):
+    return arrivals_decode_report(dt.raw_arrivals(spark, sf_dir), _lookups(spark, sf_dir))
+
+
 def quality_contract_keys(spark, sf_dir):
     tables = {
         "immigration": build_fact(spark, sf_dir),
@@ -572,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "quality_unmatched_code_list": quality_unmatched_code_list,
     "schema_report": schema_report_q,
     "quality_contract_keys": quality_contract_keys,
+    "quality_fact_decodes": quality_fact_decodes,
     "build_fact": build_fact,
     "build_dimension_state": build_dimension_state,
     "build_dimension_country": build_dimension_country,
