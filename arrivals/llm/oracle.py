@@ -58,9 +58,60 @@ quality AS (
   SELECT *, NOT base_failed AND word_chars - kept_chars <= 0.5 * word_chars AS kept FROM stats
 )"""
 
+
+
+def _correction(i: int) -> str:
+    """One word correction of the rounded cells r{i} into r{i+1}."""
+    return f"""
+o{i} AS (SELECT *, sum((share * n - extra) * size) OVER (PARTITION BY source) AS off_by FROM r{i}),
+b{i} AS (SELECT *, max(size) FILTER (size > 0 AND size <= abs(off_by)
+    AND CASE WHEN off_by > 0 THEN extra < n ELSE extra > 0 END) OVER (PARTITION BY source) AS best FROM o{i}),
+r{i + 1} AS (SELECT * EXCLUDE (off_by, best, extra),
+    extra + CASE WHEN size = best THEN CAST(sign(off_by) AS BIGINT) ELSE 0 END AS extra FROM b{i}),"""
+
+
+_MIXING = f"""
+sized AS (SELECT *, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size FROM docs),
+by_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS s_size FROM sized GROUP BY source),
+weighted AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3.0::DOUBLE * s_size AS cap
+  FROM by_source
+),
+levels AS (
+  SELECT *, cap <= weight
+      * (sum(s_size) OVER () - coalesce(sum(cap) OVER before, 0.0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS capped
+  FROM weighted
+  WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+targets AS (
+  SELECT source, s_size, CASE WHEN capped THEN cap ELSE weight * (
+      (sum(s_size) OVER () - coalesce(sum(cap) FILTER (capped) OVER (), 0.0))
+      / sum(weight) FILTER (NOT capped) OVER ()) END AS target
+  FROM levels
+),
+rates AS (SELECT *, CASE WHEN target > 0 THEN round(target / s_size, 9) ELSE 0.0 END AS rate FROM targets),
+r0 AS (
+  SELECT *, upto - coalesce(lag(upto) OVER (PARTITION BY source ORDER BY size DESC), 0) AS extra FROM (
+    SELECT *, CAST(floor(share * (sum(n) OVER (PARTITION BY source ORDER BY size DESC)) + 0.5) AS BIGINT) AS upto
+    FROM (SELECT c.*, r.s_size, r.target, r.rate, r.rate - floor(r.rate) AS share
+          FROM (SELECT source, size, count(*) AS n FROM sized GROUP BY ALL) c
+          JOIN rates r ON c.source IS NOT DISTINCT FROM r.source))
+),
+{"".join(_correction(i) for i in range(4))}
+mixed AS (
+  SELECT d.*, r.s_size, r.target, CASE WHEN d.size = 0 THEN 0 ELSE CAST(floor(r.rate) AS BIGINT)
+    + CAST(row_number() OVER (PARTITION BY d.source, d.size
+        ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) <= r.extra AS BIGINT) END AS copies
+  FROM sized d JOIN r4 r ON d.source IS NOT DISTINCT FROM r.source AND d.size = r.size
+)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op8_quality_rules": f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
 {_QUALITY}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM quality""",
+    "op9_mixing": f"""
+WITH docs AS (SELECT * FROM documents), {_MIXING}
+SELECT doc_id, size, s_size AS source_size, target, copies * size AS taken FROM mixed""",
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals.llm.common import read_documents
+from arrivals.llm.mixing import mix
 from arrivals.llm.quality import COUNTS, clean_lines
 
 
@@ -14,6 +15,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(read_documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
+    "op9_mixing": op9_mixing,
 }
