@@ -5,12 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arrivals.llm.common import read_documents
+from arrivals.llm.lines import dedup_lines
 from arrivals.llm.mixing import mix
 from arrivals.llm.quality import COUNTS, clean_lines
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines with a word, removed lines, and the SHA-256 of what is left."""
+    return dedup_lines(read_documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(read_documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept")
 
@@ -20,6 +28,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_dedup": op3_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
 }

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals.llm.common import read_documents, written
+from arrivals.llm.lines import line_stage
+from arrivals.llm.mixing import mixing_stage
 from arrivals.llm.quality import quality_stage
 
 
@@ -17,7 +19,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_stage(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_stage(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing_stage(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("mixing", mixing)]
 
 ORACLE_SQL = None
 
