@@ -5,3 +5,10 @@ DataFrames with (at least) ``doc_id`` and ``text`` and leaves other columns
 alone; the thin driver queries live in ``queries.py`` and their DuckDB SQL in
 ``oracle.py``.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this subpackage travel to the executors whole, so they need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from arrivals.session import scratch_path
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # A word is a run of characters other than these six blanks.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -40,7 +42,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # the shuffle files of this write are of no use after it
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

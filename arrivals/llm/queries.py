@@ -11,6 +11,8 @@ from arrivals.llm.common import read_documents
 from arrivals.llm.lines import dedup_lines
 from arrivals.llm.mixing import mix
 from arrivals.llm.quality import COUNTS, clean_lines
+from arrivals.llm.recompression import remove_repeated_words
+from arrivals.llm.suffixes import remove_repeated_bytes
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +21,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(read_documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(read_documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept")
 
@@ -27,8 +33,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
+    "op10_recompression": op10_recompression,
 }
