@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from arrivals.llm.common import read_documents
 from arrivals.llm.lines import dedup_lines
 from arrivals.llm.mixing import mix
+from arrivals.llm.near_dedup import near_duplicates
 from arrivals.llm.quality import COUNTS, clean_lines
 from arrivals.llm.recompression import remove_repeated_words
 from arrivals.llm.suffixes import remove_repeated_bytes
 
 
+def op1_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_documents(spark, sf_dir))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines with a word, removed lines, and the SHA-256 of what is left."""
     return dedup_lines(read_documents(spark, sf_dir)).select(
@@ -38,6 +43,7 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bag_minhash": op1_bag_minhash,
     "op3_line_dedup": op3_line_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op8_quality_rules": op8_quality_rules,

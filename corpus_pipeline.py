@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from arrivals.llm.common import read_documents, written
 from arrivals.llm.lines import line_stage
 from arrivals.llm.mixing import mixing_stage
+from arrivals.llm.near_dedup import near_stage
 from arrivals.llm.quality import quality_stage
 
 
@@ -23,11 +24,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_stage(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_stage(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing_stage(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("mixing", mixing)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+]
 
 ORACLE_SQL = None
 
