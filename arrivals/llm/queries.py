@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals.llm.common import read_documents
+from arrivals.llm.decontam import leak_pairs
 from arrivals.llm.lines import dedup_lines
 from arrivals.llm.mixing import mix
 from arrivals.llm.near_dedup import near_duplicates
@@ -30,6 +31,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(read_documents(spark, sf_dir))
 
 
+def op6_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents and the items they hold."""
+    return leak_pairs(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(read_documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept")
 
@@ -46,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bag_minhash": op1_bag_minhash,
     "op3_line_dedup": op3_line_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_latent_decontamination": op6_latent_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_recompression": op10_recompression,

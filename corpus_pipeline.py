@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals.llm.common import read_documents, written
+from arrivals.llm.decontam import decontamination_stage
 from arrivals.llm.lines import line_stage
 from arrivals.llm.mixing import mixing_stage
 from arrivals.llm.near_dedup import near_stage
@@ -28,6 +29,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_stage(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination_stage(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing_stage(docs)
 
@@ -36,6 +41,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
     ("mixing", mixing),
 ]
 
