@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from arrivals.llm.common import read_documents
 from arrivals.llm.decontam import leak_pairs
+from arrivals.llm.hmm import language_model_scores
 from arrivals.llm.lines import dedup_lines
 from arrivals.llm.mixing import mix
 from arrivals.llm.near_dedup import near_duplicates
@@ -21,6 +22,10 @@ def op1_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_documents(spark, sf_dir))
 
 
+def op2_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(read_documents(spark, sf_dir))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines with a word, removed lines, and the SHA-256 of what is left."""
     return dedup_lines(read_documents(spark, sf_dir)).select(
@@ -50,6 +55,7 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bag_minhash": op1_bag_minhash,
+    "op2_hmm_scores": op2_hmm_scores,
     "op3_line_dedup": op3_line_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_latent_decontamination": op6_latent_decontamination,
