@@ -64,49 +64,44 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start and length of segment ``i``; the last ``length mod parts`` segments are one longer."""
-    base = F.floor(length / parts).cast("int")
-    longer = length - base * parts
-    start = base * i + F.greatest(F.lit(0), F.lit(i - parts) + longer)
-    return start, base + F.when(longer >= parts - i, 1).otherwise(0)
+def _index_shapes(threshold: int) -> list[tuple[int, int, int]]:
+    """(segment, characters the other line is shorter, shift) of what a line is indexed under."""
+    return [(i, 0, 0) for i in range(threshold + 1)]
 
 
-def _entry(group: Column, text: Column, length: Column, i: int, start: Column, size: Column) -> Column:
-    piece = F.substring(text, start + 1, size)
-    return F.struct(F.xxhash64(group, length, F.lit(i), piece).alias("key"), start.alias("start"), size.alias("size"))
-
-
-def index_entries(group: Column, text: Column, length: Column, threshold: int) -> Column:
-    parts = threshold + 1
-    return F.array(*[_entry(group, text, length, i, *_segment(length, i, parts)) for i in range(parts)])
-
-
-def probe_entries(group: Column, text: Column, length: Column, threshold: int) -> Column:
-    """The substrings of a line that may equal a segment of a line no longer than it."""
+def _probe_shapes(threshold: int) -> list[tuple[int, int, int]]:
+    """The same of what it probes: the multi-match-aware windows of each segment of lines no longer than it."""
     out = []
     for shorter in range(threshold + 1):
-        target = length - shorter
         for i in range(threshold + 1):
-            start, size = _segment(target, i, threshold + 1)
-            left, right = (-i, i), (shorter - (threshold - i), shorter + (threshold - i))
-            for shift in range(max(left[0], right[0]), min(left[1], right[1]) + 1):
-                at = start + shift
-                fits = (target > threshold) & (at >= 0) & (at + size <= length)
-                out.append(F.when(fits, _entry(group, text, target, i, at, size)))
-    return F.array_compact(F.array(*out))
+            low = max(-i, shorter - (threshold - i))
+            high = min(i, shorter + (threshold - i))
+            out += [(i, shorter, shift) for shift in range(low, high + 1)]
+    return out
+
 
+def _exploded(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) -> DataFrame:
+    """(lid, text, key, start, size) from rows (lid, group, text, len): one row per line and shape.
 
-def _exploded(rows: DataFrame, entries) -> DataFrame:
-    """(lid, text, key, start, size) from rows (lid, group, text)."""
-    e = F.explode(entries(F.col("group"), F.col("text"), F.length("text")))
-    return rows.select("lid", "text", e.alias("e")).select("lid", "text", "e.*")
+    A segment is an even share of the line; the last ``length mod parts`` segments are one character longer.
+    """
+    listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("shorter"), F.lit(s).alias("shift")) for i, d, s in shapes])
+    df = rows.withColumn("shape", F.explode(listed)).select("lid", "group", "text", "len", "shape.*")
+    df = df.withColumn("target", F.col("len") - F.col("shorter"))
+    longer = F.col("target") % parts
+    base = F.expr(f"target div {parts}").cast("int")
+    start = base * F.col("i") + F.greatest(F.lit(0), longer + F.col("i") - parts) + F.col("shift")
+    size = base + (longer >= parts - F.col("i")).cast("int")
+    df = df.withColumns({"start": start, "size": size})
+    df = df.filter((F.col("target") >= parts) & (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("len")))
+    piece = F.substring("text", F.col("start") + 1, F.col("size"))
+    return df.select("lid", "text", F.xxhash64("group", "target", "i", piece).alias("key"), "start", "size")
 
 
 def _rest(rows: DataFrame) -> DataFrame:
     """What is left of each text beside its matched piece, grouped by the key."""
     rest = F.concat(F.substring("text", F.lit(1), F.col("start")), F.expr("substring(text, start + size + 1)"))
-    return rows.select("lid", F.col("key").alias("group"), rest.alias("text"))
+    return rows.select("lid", F.col("key").alias("group"), rest.alias("text")).withColumn("len", F.length("text"))
 
 
 def _paired(index: DataFrame, probes: DataFrame) -> DataFrame:
@@ -119,11 +114,11 @@ def _paired(index: DataFrame, probes: DataFrame) -> DataFrame:
 def candidate_pairs(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """Distinct (a, b) line ids that share an indexed segment, hot segments refined."""
     rows = lines.filter(F.col("len") >= p.min_fuzzy).select(
-        "lid", F.lit(0).cast("long").alias("group"), F.col("line").alias("text"))
+        "lid", F.lit(0).cast("long").alias("group"), F.col("line").alias("text"), "len")
     left, right, found = rows, rows, None
     for level in range(p.levels):
-        index = _exploded(left, lambda g, t, n: index_entries(g, t, n, p.threshold))
-        probes = _exploded(right, lambda g, t, n: probe_entries(g, t, n, p.threshold))
+        index = _exploded(left, _index_shapes(p.threshold), p.threshold + 1)
+        probes = _exploded(right, _probe_shapes(p.threshold), p.threshold + 1)
         if level == p.levels - 1:
             hot = None
         else:
@@ -137,10 +132,10 @@ def candidate_pairs(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame
             break
         # Rests shorter than one character per segment have nothing to cut: pair them under the hot key itself.
         rests = [written(_rest(x.join(hot, "key", "left_semi")).distinct(), "lines-rest") for x in (index, probes)]
-        short = [r.filter(F.length("text") <= 3 * p.threshold).withColumnRenamed("group", "key") for r in rests]
+        short = [r.filter(F.col("len") <= 3 * p.threshold).withColumnRenamed("group", "key") for r in rests]
         near = [r.withColumnRenamed("group", "key") for r in rests]
-        found = found.union(_paired(short[0], near[1].filter(F.length("text") <= 4 * p.threshold)))
-        left, right = (r.filter(F.length("text") > 3 * p.threshold) for r in rests)
+        found = found.union(_paired(short[0], near[1].filter(F.col("len") <= 4 * p.threshold)))
+        left, right = (r.filter(F.col("len") > 3 * p.threshold) for r in rests)
     return found.distinct()
 
 
