@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from arrivals.llm.common import read_documents
 from arrivals.llm.decontam import leak_pairs
 from arrivals.llm.hmm import language_model_scores
+from arrivals.llm.licenses import scan_licenses
 from arrivals.llm.lines import dedup_lines
 from arrivals.llm.mixing import mix
 from arrivals.llm.near_dedup import near_duplicates
@@ -32,6 +33,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_documents(spark, sf_dir))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(read_documents(spark, sf_dir))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bag_minhash": op1_bag_minhash,
     "op2_hmm_scores": op2_hmm_scores,
     "op3_line_dedup": op3_line_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_latent_decontamination": op6_latent_decontamination,
     "op8_quality_rules": op8_quality_rules,
