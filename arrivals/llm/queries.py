@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from arrivals.llm.common import read_documents
 from arrivals.llm.decontam import leak_pairs
 from arrivals.llm.hmm import language_model_scores
+from arrivals.llm.language import identify_languages
 from arrivals.llm.licenses import scan_licenses
 from arrivals.llm.lines import dedup_lines
 from arrivals.llm.mixing import mix
@@ -46,6 +47,10 @@ def op6_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_pairs(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op7_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read_documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(read_documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept")
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_latent_decontamination": op6_latent_decontamination,
+    "op7_bigru_language": op7_bigru_language,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_recompression": op10_recompression,
