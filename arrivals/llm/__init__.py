@@ -2,7 +2,8 @@
 
 Nothing else in the package imports this subpackage. Every operator takes
 DataFrames with (at least) ``doc_id`` and ``text`` and leaves other columns
-alone; the thin driver queries live in ``queries.py`` and their DuckDB SQL in
+alone (names that begin with ``__llm_`` are reserved for columns that exist
+only inside an operator); the thin driver queries live in ``queries.py`` and their DuckDB SQL in
 ``oracle.py``.
 """
 

@@ -337,8 +337,8 @@ def leak_pairs(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams
 def decontamination_stage(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -> DataFrame:
     """The documents that no benchmark item contaminates."""
     gone = written(leaks(docs, benchmark, p).select("doc_id", "hash").distinct(), "leaks-found")
-    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("hash").alias("__leak"))
-    rows = docs.withColumn("__hash", F.xxhash64(text_or_empty(F.col("text"))))
+    gone = gone.select(F.col("doc_id").alias("__llm_doc"), F.col("hash").alias("__llm_leak"))
+    rows = docs.withColumn("__llm_hash", F.xxhash64(text_or_empty(F.col("text"))))
     clean = rows.join(
-        gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__leak")), "left_anti")
+        gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_doc")) & (F.col("__llm_hash") == F.col("__llm_leak")), "left_anti")
     return clean.select(*docs.columns)

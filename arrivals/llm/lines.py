@@ -208,30 +208,30 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
             "lid", F.xxhash64(F.lit(7), "line").alias("lid2"), "first", F.coalesce("linked", F.lit(False)).alias("linked")),
         "lines-verdicts")
     seen = occurrences(docs).select(
-        F.col("doc_id").alias("__doc"), F.col("doc_hash").alias("__hash"), "pos",
+        F.col("doc_id").alias("__llm_doc"), F.col("doc_hash").alias("__llm_hash"), "pos",
         F.xxhash64("line").alias("lid"), F.xxhash64(F.lit(7), "line").alias("lid2"))
     gone = (
         seen.join(verdicts, ["lid", "lid2"])
-        .filter(F.col("linked") | (_place(F.col("__doc"), F.col("pos")) != F.col("first")))
-        .select("__doc", "__hash", "pos").distinct()
-        .groupBy("__doc", "__hash").agg(F.sort_array(F.collect_list("pos")).alias("__gone"))
+        .filter(F.col("linked") | (_place(F.col("__llm_doc"), F.col("pos")) != F.col("first")))
+        .select("__llm_doc", "__llm_hash", "pos").distinct()
+        .groupBy("__llm_doc", "__llm_hash").agg(F.sort_array(F.collect_list("pos")).alias("__llm_gone"))
     )
-    keyed = docs.withColumn("__text", text_or_empty(F.col("text"))).withColumn("__own", F.xxhash64("__text"))
-    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__hash")), "left")
+    keyed = docs.withColumn("__llm_text", text_or_empty(F.col("text"))).withColumn("__llm_own", F.xxhash64("__llm_text"))
+    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("__llm_doc")) & (F.col("__llm_own") == F.col("__llm_hash")), "left")
 
     def flags(positions: Column) -> Column:
         return F.flatten(F.transform(positions, lambda p, k: F.concat(
             F.array_repeat(F.lit(False), p - F.coalesce(F.get(positions, k - 1), F.lit(-1)) - 1), F.array(F.lit(True)))))
 
-    kept = F.when(F.col("__gone").isNull(), F.col("__text")).otherwise(bind(
-        flags(F.col("__gone")),
+    kept = F.when(F.col("__llm_gone").isNull(), F.col("__llm_text")).otherwise(bind(
+        flags(F.col("__llm_gone")),
         lambda removed: F.array_join(
-            F.filter(F.split("__text", "\n"), lambda _, i: ~F.coalesce(F.get(removed, i), F.lit(False))), "\n")))
-    n_lines = F.size(F.filter(F.split("__text", "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != ""))
+            F.filter(F.split("__llm_text", "\n"), lambda _, i: ~F.coalesce(F.get(removed, i), F.lit(False))), "\n")))
+    n_lines = F.size(F.filter(F.split("__llm_text", "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != ""))
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed", "kept_text")]
     return joined.select(
         *own, n_lines.cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept_text"))
+        F.coalesce(F.size("__llm_gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept_text"))
 
 
 def line_stage(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:

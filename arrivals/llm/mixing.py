@@ -123,9 +123,9 @@ def _salt(doc_id: Column) -> Column:
 def _mixed(docs: DataFrame, max_repeat: float) -> DataFrame:
     """``docs`` plus the added columns under private names."""
     sized = docs.withColumns({
-        "__size": F.size(words(text_or_empty(F.col("text")))).cast("long"), "__salt": _salt(F.col("doc_id"))})
+        "__llm_size": F.size(words(text_or_empty(F.col("text")))).cast("long"), "__llm_salt": _salt(F.col("doc_id"))})
     salted = written(
-        sized.groupBy("source", F.col("__size").alias("size"), F.col("__salt").alias("salt"))
+        sized.groupBy("source", F.col("__llm_size").alias("size"), F.col("__llm_salt").alias("salt"))
         .agg(F.count("*").alias("n")), "mix-salted")
     cells = written(salted.groupBy("source", "size").agg(F.sum("n").alias("n")), "mix-cells")
     by_source = cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("s_size"))
@@ -136,33 +136,33 @@ def _mixed(docs: DataFrame, max_repeat: float) -> DataFrame:
     before = Window.partitionBy("source", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     per_salt = (
         salted.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .select(F.col("source").alias("__c_source"), F.col("size").alias("__c_size"), F.col("salt").alias("__c_salt"),
+        .select(F.col("source").alias("__llm_c_source"), F.col("size").alias("__llm_c_size"), F.col("salt").alias("__llm_c_salt"),
                 "before")
-        .join(plan, F.col("__c_source").eqNullSafe(F.col("source")) & (F.col("__c_size") == F.col("size")))
-        .select("__c_source", "__c_size", "__c_salt", F.col("s_size").alias("__source_size"),
-                F.col("target").alias("__target"), F.col("rate").alias("__rate"),
-                (F.col("extra") - F.col("before")).alias("__extra"))
+        .join(plan, F.col("__llm_c_source").eqNullSafe(F.col("source")) & (F.col("__llm_c_size") == F.col("size")))
+        .select("__llm_c_source", "__llm_c_size", "__llm_c_salt", F.col("s_size").alias("__llm_source_size"),
+                F.col("target").alias("__llm_target"), F.col("rate").alias("__llm_rate"),
+                (F.col("extra") - F.col("before")).alias("__llm_extra"))
     )
-    group = Window.partitionBy("source", "__size", "__salt").orderBy(_order(F.col("doc_id")), "doc_id")
-    ranked = sized.withColumn("__rank", F.row_number().over(group)).join(
-        per_salt, F.col("source").eqNullSafe(F.col("__c_source")) & (F.col("__size") == F.col("__c_size"))
-        & (F.col("__salt") == F.col("__c_salt")))
-    copies = F.when(F.col("__size") == 0, F.lit(0)).otherwise(
-        F.floor("__rate") + (F.col("__rank") <= F.col("__extra")).cast("long"))
-    return ranked.withColumn("__copies", copies.cast("long"))
+    group = Window.partitionBy("source", "__llm_size", "__llm_salt").orderBy(_order(F.col("doc_id")), "doc_id")
+    ranked = sized.withColumn("__llm_rank", F.row_number().over(group)).join(
+        per_salt, F.col("source").eqNullSafe(F.col("__llm_c_source")) & (F.col("__llm_size") == F.col("__llm_c_size"))
+        & (F.col("__llm_salt") == F.col("__llm_c_salt")))
+    copies = F.when(F.col("__llm_size") == 0, F.lit(0)).otherwise(
+        F.floor("__llm_rate") + (F.col("__llm_rank") <= F.col("__llm_extra")).cast("long"))
+    return ranked.withColumn("__llm_copies", copies.cast("long"))
 
 
 def mix(docs: DataFrame, max_repeat: float = 3.0) -> DataFrame:
     """``docs`` plus ``size, source_size`` (long), ``target, rate`` (double), ``copies, taken`` (long)."""
-    added = {"size": "__size", "source_size": "__source_size", "target": "__target", "rate": "__rate",
-             "copies": "__copies"}
+    added = {"size": "__llm_size", "source_size": "__llm_source_size", "target": "__llm_target", "rate": "__llm_rate",
+             "copies": "__llm_copies"}
     return _mixed(docs, max_repeat).select(
         *[c for c in docs.columns if c not in (*added, "taken")],
         *[F.col(v).alias(k) for k, v in added.items()],
-        (F.col("__copies") * F.col("__size")).alias("taken"))
+        (F.col("__llm_copies") * F.col("__llm_size")).alias("taken"))
 
 
 def mixing_stage(docs: DataFrame, max_repeat: float = 3.0) -> DataFrame:
     """Every document repeated by its copies; documents with no copy go."""
-    taken = _mixed(docs, max_repeat).filter("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    taken = _mixed(docs, max_repeat).filter("__llm_copies > 0")
+    return taken.withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_copies")))).select(*docs.columns)

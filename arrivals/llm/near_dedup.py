@@ -256,9 +256,9 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
 
 def near_stage(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     """One document of each near-duplicate class: the one of the least doc_id."""
-    stay = near_classes(docs, p).filter("keeper").select(F.col("doc").alias("__doc"), F.col("hash").alias("__hash")).distinct()
+    stay = near_classes(docs, p).filter("keeper").select(F.col("doc").alias("__llm_doc"), F.col("hash").alias("__llm_hash")).distinct()
     rows = docs.withColumns({
-        "__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "__hash": F.xxhash64(text_or_empty(F.col("text")))})
-    equal = Window.partitionBy("__doc", "__hash").orderBy(F.lit(0))
-    kept = rows.join(stay, ["__doc", "__hash"]).withColumn("__n", F.row_number().over(equal)).filter("__n = 1")
+        "__llm_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "__llm_hash": F.xxhash64(text_or_empty(F.col("text")))})
+    equal = Window.partitionBy("__llm_doc", "__llm_hash").orderBy(F.lit(0))
+    kept = rows.join(stay, ["__llm_doc", "__llm_hash"]).withColumn("__llm_n", F.row_number().over(equal)).filter("__llm_n = 1")
     return kept.select(*docs.columns)

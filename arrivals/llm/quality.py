@@ -159,8 +159,8 @@ def clean_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     One narrow stage: no shuffle and no Python, so documents of any length and
     any skew stay in their scan task.
     """
-    df = docs.withColumn("__q", document_verdict(text_or_empty(F.col("text")), rules))
-    return df.withColumns({c: F.col("__q")[c] for c in ADDED}).drop("__q")
+    df = docs.withColumn("__llm_q", document_verdict(text_or_empty(F.col("text")), rules))
+    return df.withColumns({c: F.col("__llm_q")[c] for c in ADDED}).drop("__llm_q")
 
 
 def quality_stage(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
