@@ -52,7 +52,9 @@ def _rounds(names: np.ndarray, text_starts: np.ndarray, content: RangeHash, roun
         right = np.append(right, n + 1)[last + 1]         # and of the symbol behind
         starts = np.append(starts[first], n)
         names = mixed(content(starts[:-1], starts[1:]) + U64(k + 1))
-    # What touches the edge of its text would depend on words outside it.
+    # A symbol at the edge of its text has a context that reaches out of it: no window holds that.
+    inner = (left >= 0) & (right <= n)
+    names[inner] = mixed(content(left[inner], right[inner]) + U64(rounds + 1))
     return names, left, right
 
 

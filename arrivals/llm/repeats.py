@@ -37,6 +37,7 @@ from arrivals.llm.textbytes import U64, doc_ids, text_column, text_tags
 # One record: its sort words, then where it stands.
 SPAN = np.dtype([("lead", "<u8"), ("key", "<u8"), ("fp", "<u8"), ("doc", "<i8"), ("tag", "<u4"),
                  ("at", "<u4"), ("n", "<u4"), ("own", "u1")])
+WINDOW = np.dtype([("lead", "<u8"), ("key", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("at", "<u4")])
 PLACE = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("at", "<u4"), ("n", "<u4")])
 WORDS = ("lead", "key", "fp")
 
@@ -54,8 +55,8 @@ class Windows:
     spans: Callable[[np.ndarray, np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]
     fingerprints: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
     within: bool               # also windows that start earlier in the same document
-    bucket_bytes: int = 16 << 20
-    emit_bytes: int = 8 << 20
+    bucket_bytes: int = 4 << 20   # text per bucket: bounds a task's memory (raise it with the executors' memory)
+    emit_bytes: int = 4 << 20
 
 
 def pack(records: np.ndarray) -> bytes:
@@ -245,9 +246,8 @@ def _open_windows(w: Windows, n_buckets: int) -> Callable:
                 seen.add((doc, tag))
                 at = np.repeat(x["at"].astype(np.int64), x["n"]) + _ramp(x["n"])
                 fp1, fp2 = w.fingerprints(data[offsets[i]:offsets[i + 1]], at)
-                r = np.empty(len(at), SPAN)
-                r["lead"], r["key"], r["fp"], r["doc"], r["tag"], r["at"] = fp1, fp2, 0, doc, tag, at
-                r["n"], r["own"] = 1, 0
+                r = np.empty(len(at), WINDOW)
+                r["lead"], r["key"], r["doc"], r["tag"], r["at"] = fp1, fp2, doc, tag, at
                 held.append(r)
         if not held:
             return _table([])
@@ -257,21 +257,37 @@ def _open_windows(w: Windows, n_buckets: int) -> Callable:
         records = records[multikey_order([records[f] for f in ("lead", "key", "doc", "tag", "at")])]
         new = np.append(True, (records["lead"][1:] != records["lead"][:-1]) | (records["key"][1:] != records["key"][:-1]))
         stays = _earliest(records, new, w.within)
-        gone, kept = records[~stays], records[stays]
-        rows = list(_blobs(COVERED, gone["doc"] * 0 + int(docs.column("bucket")[0].as_py()), gone[list(PLACE.names)].astype(PLACE)))
+        kept = records[stays]
+        rows = [(COVERED, int(docs.column("bucket")[0].as_py()), pack(_single(records[~stays])))]
         rows += _blobs(OPEN, (kept["lead"] % U64(n_buckets)).astype(np.int64), kept)
         return _table(rows)
 
     return run
 
 
+def _single(windows: np.ndarray) -> np.ndarray:
+    """Windows as places, neighbours of one text joined."""
+    r = windows[np.lexsort((windows["at"], windows["tag"], windows["doc"]))]
+    apart = (np.diff(r["doc"]) != 0) | (np.diff(r["tag"].astype(np.int64)) != 0) | (np.diff(r["at"].astype(np.int64)) != 1)
+    first = np.flatnonzero(np.append(True, apart)[:len(r)])
+    out = np.empty(len(first), PLACE)
+    for f in ("doc", "tag", "at"):
+        out[f] = r[f][first]
+    out["n"] = np.diff(np.append(first, len(r)))
+    return out
+
+
 def _settle_windows(w: Windows, n_docs: int) -> Callable:
+    """One bucket of windows, compared; a bucket of covered places passes."""
+
     def run(group: pa.Table) -> pa.Table:
-        records = unpack(group.column("blob").to_pylist(), SPAN)
+        if group.column("kind")[0].as_py() == COVERED:
+            return group
+        records = unpack(group.column("blob").to_pylist(), WINDOW)
         records = records[multikey_order([records[f] for f in ("lead", "key", "doc", "tag", "at")])]
         new = np.append(True, (records["lead"][1:] != records["lead"][:-1]) | (records["key"][1:] != records["key"][:-1]))
-        gone = records[~_earliest(records, new, w.within)]
-        return _table(list(_blobs(COVERED, gone["doc"] % n_docs, gone[list(PLACE.names)].astype(PLACE))))
+        gone = _single(records[~_earliest(records, new, w.within)])
+        return _table(list(_blobs(COVERED, gone["doc"] % n_docs, gone)))
 
     return run
 
@@ -308,14 +324,9 @@ def with_removed(docs: DataFrame, w: Windows, digest: Callable, schema: str) ->
         settled.filter(F.col("kind") != EDGES).unionByName(_across_edges(settled, w, n)), "repeats-places")
 
     opened = places.filter(F.col("kind") == OPEN)
-    windows = written(
-        keyed.groupBy("bucket").cogroup(opened.groupBy("bucket")).applyInArrow(_open_windows(w, n), PACKED),
-        "repeats-windows")
-    covered = (
-        places.filter(F.col("kind") == COVERED)
-        .unionByName(windows.filter(F.col("kind") == COVERED))
-        .unionByName(windows.filter(F.col("kind") == OPEN).groupBy("bucket").applyInArrow(_settle_windows(w, n), PACKED))
-    )
+    windows = keyed.groupBy("bucket").cogroup(opened.groupBy("bucket")).applyInArrow(_open_windows(w, n), PACKED)
+    later = written(windows.groupBy("kind", "bucket").applyInArrow(_settle_windows(w, n), PACKED), "repeats-windows")
+    covered = places.filter(F.col("kind") == COVERED).unionByName(later)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
