@@ -1,50 +1,137 @@
 """Scans (S1-S6).
 
 Raw delimited files are read as text and columns are found by their header
-name: a ``.schema()`` on a header CSV would be applied by position and silently
-swap columns when a producer reorders them. Selecting the wanted columns right
-after the read lets Catalyst prune the rest at the scan.
+name. Spark takes the header of one file and applies it to all the others by
+position, so a folder is read with one scan per distinct header: the files'
+first lines are fetched (each file's first split, one line of it), files are
+grouped by header, and the scans are united by column name. Selecting the
+wanted columns right after the read lets Catalyst prune the rest at the scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import csv
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals.functions.columns import normalise_text
 
+FILE = "__file"
 
-def _select_by_name(df: DataFrame, columns: Iterable[str] | None, allow_missing: bool) -> DataFrame:
+
+def _paths(path: str | list[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
+def literal_path(path: str) -> str:
+    """A path whose characters are all meant literally (Spark would expand ``drop[1].csv`` as a pattern)."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+
+
+def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def file_headers(spark: SparkSession, path: str | list[str], **options: str) -> dict[str, list[str]]:
+    """First line -> the files that start with it.
+
+    One small task per split (packing is switched off for this job), which
+    stops after one row; files without a line have no header and no rows.
+    """
+    reader = spark.read.options(**{k: v for k, v in options.items() if k in _FILE_OPTIONS})
+    lines = reader.text(_paths(path)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    packing = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(packing)
+    spark.conf.set(packing, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        # The start is tested after the first row is taken: a filter below would read later splits to their end.
+        rows = lines.mapInArrow(_first_row, lines.schema).where("start = 0").collect()
+    finally:
+        spark.conf.set(packing, before)
+    out: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: r.file):
+        out.setdefault(r.value.lstrip("\ufeff").rstrip("\r"), []).append(unquote(r.file))
+    return out
+
+
+_FILE_OPTIONS = ("encoding", "pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter")
+
+
+def _find(names: list[str], wanted: str) -> str | None:
+    """A column by its exact name, else ignoring case as Spark does."""
+    if wanted in names:
+        return wanted
+    same = [n for n in names if n.lower() == wanted.lower()]
+    if len(same) > 1:
+        raise ValueError(f"column {wanted!r} is ambiguous: {same}")
+    return same[0] if same else None
+
+
+def _select_by_name(
+    df: DataFrame, columns: Iterable[str] | None, allow_missing: bool | Iterable[str], source: str = "the input",
+    names: list[str] | None = None,
+) -> DataFrame:
+    """The wanted columns in order; missing ones are null if allowed, else an error that names the source."""
+    names = df.columns if names is None else names
     if columns is None:
-        # Blank header cells come back as _c<N>; they are never part of a contract.
-        return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith("_c")])
-    present = set(df.columns)
+        return df.select(*[F.col(f"`{n}`") for n in names])
+    optional = None if isinstance(allow_missing, bool) else {c.lower() for c in allow_missing}
     cols = []
     for name in columns:
-        if name in present:
-            cols.append(F.col(f"`{name}`"))
-        elif allow_missing:
+        have = _find(names, name)
+        if have is not None:
+            cols.append(F.col(f"`{have}`").alias(name))
+        elif allow_missing is True or (optional is not None and name.lower() in optional):
             cols.append(F.lit(None).cast("string").alias(name))
         else:
-            raise ValueError(f"column {name!r} not found; file has {sorted(present)}")
+            raise ValueError(f"column {name!r} not found in {source}; it has {names}")
     return df.select(*cols)
 
 
+def _named_cells(df: DataFrame, header: str, sep: str) -> list[str]:
+    """Columns that have a name in the header: Spark calls those with a blank cell ``_c<position>``."""
+    cells = next(csv.reader([header], delimiter=sep), []) if len(sep) == 1 else header.split(sep)
+    return [n for i, n in enumerate(df.columns)
+            if not (n == f"_c{i}" and (i >= len(cells) or not cells[i].strip().strip('"')))]
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
     columns: Iterable[str] | None = None,
     sep: str = ",",
-    allow_missing: bool = False,
+    allow_missing: bool | Iterable[str] = False,
+    with_file: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Header CSV, every column text, columns selected by header name."""
-    reader = spark.read.option("header", "true").option("sep", sep)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return _select_by_name(reader.csv(path), columns, allow_missing)
+    """Header CSV, every column text, columns found by each file's own header (case ignored).
+
+    ``allow_missing`` names the optional columns (True: all); a file without a
+    required column is an error that names it. Without ``columns`` the result
+    has the columns of all files; a column that a file lacks is null there.
+    ``with_file`` adds the file of each row as ``__file``.
+    """
+    headers = file_headers(spark, path, **options)
+    if not headers:
+        if columns is None:
+            raise ValueError(f"no header line in {path!r}")
+        wanted = list(columns)
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*wanted, *[FILE] * with_file]))
+    parts = []
+    for header, files in headers.items():
+        df = spark.read.options(header="true", sep=sep, **options).csv([literal_path(f) for f in files])
+        part = _select_by_name(df, columns, allow_missing, files[0], _named_cells(df, header, sep))
+        parts.append(part.withColumn(FILE, F.col("_metadata.file_path")) if with_file else part)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_table(
@@ -53,7 +140,8 @@ def read_table(
     fmt: str = "csv",
     columns: Iterable[str] | None = None,
     schema=None,
-    allow_missing: bool = False,
+    allow_missing: bool | Iterable[str] = False,
+    with_file: bool = False,
     **options: str,
 ) -> DataFrame:
     """S3: the input format is a parameter (csv, json, parquet, orc, ...).
@@ -64,24 +152,27 @@ def read_table(
     """
     fmt = fmt.lower()
     if fmt == "csv":
-        return read_delimited(spark, path, columns, allow_missing=allow_missing, **options)
+        return read_delimited(spark, path, columns, allow_missing=allow_missing, with_file=with_file, **options)
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return _select_by_name(reader.load(path), columns, allow_missing)
+    df = reader.options(**options).load(path)
+    out = _select_by_name(df, columns, allow_missing, str(path))
+    return out.withColumn(FILE, F.col("_metadata.file_path")) if with_file else out
 
 
 def read_inferred(spark: SparkSession, path: str | list[str], sep: str = ",", sampling_ratio: float = 1.0) -> DataFrame:
     """Header CSV with type inference (an extra pass over the data; use a
-    sampling ratio below 1 on large inputs, or better, a contract)."""
-    return _select_by_name(
-        spark.read.option("header", "true").option("sep", sep)
-        .option("inferSchema", "true").option("samplingRatio", str(sampling_ratio)).csv(path),
-        None,
-        False,
-    )
+    sampling ratio below 1 on large inputs, or better, a contract).
+
+    The files must share one header: types are inferred over all of them.
+    """
+    headers = file_headers(spark, path)
+    if len(headers) != 1:
+        raise ValueError(f"{len(headers)} different headers in {path!r}; read it with read_delimited and a contract")
+    df = (spark.read.option("header", "true").option("sep", sep)
+          .option("inferSchema", "true").option("samplingRatio", str(sampling_ratio)).csv(path))
+    return _select_by_name(df, None, False, names=_named_cells(df, next(iter(headers)), sep))
 
 
 def read_lookup(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:

@@ -49,3 +49,51 @@ def test_format_parameter_json_and_parquet(spark, tmp_path):
     src.write.parquet(str(tmp_path / "p"))
     assert read_table(spark, str(tmp_path / "j"), "json", columns=["v", "id"]).collect()[0].asDict() == {"v": "a", "id": 1}
     assert read_parquet(spark, str(tmp_path / "p"), ["v"]).columns == ["v"]
+
+
+def _folder(tmp_path, files):
+    d = tmp_path / "folder"
+    d.mkdir()
+    for name, text in files.items():
+        (d / name).write_text(text, encoding="utf-8")
+    return str(d)
+
+
+def test_every_file_of_a_folder_is_read_by_its_own_header(spark, tmp_path):
+    d = _folder(tmp_path, {
+        "a.csv": "cicid,i94addr,gender\n1,WA,M\n",
+        "b.csv": "gender,cicid,i94addr\nF,2,NY\nM,3,CA\n",
+        "c.CSV": "I94ADDR,gender,CICID\nTX,F,4\n",
+        "d[1].csv": "cicid,i94addr\n5,OR\n",
+        "empty.csv": "",
+    })
+    df = read_delimited(spark, d, ["cicid", "i94addr", "gender"], allow_missing=["gender"])
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("1", "WA", "M"), ("2", "NY", "F"), ("3", "CA", "M"), ("4", "TX", "F"), ("5", "OR", None)]
+    with pytest.raises(ValueError, match=r"'gender' not found in .*d\[1\]\.csv"):
+        read_delimited(spark, d, ["cicid", "gender"])
+
+
+def test_many_rows_and_splits_keep_their_header(spark, tmp_path):
+    d = _folder(tmp_path, {
+        f"{k}.csv": ("a,b\n" if k % 2 else "b,a\n") + "".join(f"{'x' if k % 2 else 'y'}{i},{'y' if k % 2 else 'x'}{i}\n" for i in range(3000))
+        for k in range(4)})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = read_delimited(spark, d, ["a", "b"]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 12000 and all(r.a[0] == "x" and r.b[0] == "y" and r.a[1:] == r.b[1:] for r in rows)
+
+
+def test_only_blank_header_cells_are_dropped(spark, tmp_path, write_text):
+    src = spark.createDataFrame([(1, 2, "x")], "id int, _count int, _city string")
+    src.write.parquet(str(tmp_path / "p"))
+    assert read_table(spark, str(tmp_path / "p"), "parquet").columns == ["id", "_count", "_city"]
+    assert read_delimited(spark, write_text("n.csv", "_c0,,_city\n1,2,3\n")).columns == ["_c0", "_city"]
+
+
+def test_inferred_scan_refuses_mixed_headers(spark, tmp_path):
+    with pytest.raises(ValueError, match="2 different headers"):
+        read_inferred(spark, _folder(tmp_path, {"a.csv": "a,b\n1,2\n", "b.csv": "b,a\n1,2\n"}))
