@@ -60,12 +60,15 @@ def recode(c: ColumnOrName, mapping: Mapping[object, str]) -> Column:
     """Replace mapped values by their label and keep unmapped values as they are.
 
     Unlike a lookup decode (which yields null for unknown codes), this keeps
-    the original value, as text.
+    the original value, as text. Numeric keys are compared with the value as a
+    number (``"2.0"`` equals 2; text that is no number equals none), text keys
+    with the value as text, so a column of any type can be recoded.
     """
     col = _col(c)
     out = None
     for value, label in mapping.items():
-        cond = col == F.lit(value)
+        text = col.cast("string")
+        cond = text == F.lit(value) if isinstance(value, str) else text_to_double(text) == F.lit(float(value))
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     keep = col.cast("string")
     return keep if out is None else out.otherwise(keep)

@@ -38,14 +38,17 @@ def group_avg_first(
     column is not null: deterministic, and all columns come from the same row
     (a per-column ``first`` has no defined row and may mix rows).
     """
-    firsts = list(first)
+    firsts, g, v = list(first), out_group or group, out_value or value
     key = F.upper(_c(group)) if upper_group else _c(group)
-    rep = F.min(F.when(_c(firsts[0]).isNotNull(), F.struct(*[_c(f).alias(f) for f in firsts])))
-    agg = (
-        df.groupBy(key.alias(out_group or group))
-        .agg(F.avg(text_to_double(_c(value))).alias(out_value or value), rep.alias("__rep"))
-    )
-    return agg.select(out_group or group, out_value or value, *[F.col(f"__rep.`{f}`").alias(f) for f in firsts])
+    number = text_to_double(_c(value))
+    # Two levels: hashed sums per distinct tuple first (a least struct can only be
+    # aggregated by sorting, which then meets the few grouped rows only).
+    names = [f"__f{i}" for i in range(len(firsts))]
+    tuples = df.groupBy(key.alias(g), *[_c(f).alias(n) for f, n in zip(firsts, names, strict=True)]).agg(
+        F.sum(number).alias("__sum"), F.count(number).alias("__n"))
+    rep = F.min(F.when(F.col(names[0]).isNotNull(), F.struct(*[F.col(n) for n in names])))
+    agg = tuples.groupBy(g).agg((F.sum("__sum") / F.nullif(F.sum("__n"), F.lit(0))).alias(v), rep.alias("__rep"))
+    return agg.select(g, v, *[F.col("__rep")[n].alias(f) for f, n in zip(firsts, names, strict=True)])
 
 
 def row_count(df: DataFrame, out: str = "row_count") -> DataFrame:

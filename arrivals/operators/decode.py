@@ -1,12 +1,11 @@
 """Code -> label decodes.
 
 A decode is a left equi join against a code book. The code book is first
-reduced to one row per code (``min(label)``), so a decode can never multiply
-fact rows and the label it picks is deterministic. It is then broadcast, but
-only after its size has been checked. A code book that outgrows the bound is
-checkpointed and joined by shuffle instead; that join gets its own exchange on
-both sides, so AQE can still convert it to a broadcast at run time or split a
-hot fact code.
+reduced to one row per code (``min`` per label), so a decode can never multiply
+fact rows and the label it picks is deterministic. It is broadcast only after
+its rows and bytes have been counted (one partially aggregated pass). A code
+book beyond the bounds is joined by shuffle instead, through an exchange of its
+own, so AQE can still convert the join at run time or split a hot fact code.
 """
 
 from __future__ import annotations
@@ -16,45 +15,32 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrivals.functions.columns import normalise_text, text_to_double
 from arrivals.schemas import field_type
-from arrivals.session import scratch_root
 
-# Largest code book (rows, before de-duplication) that is shipped to every executor.
+# Largest code book that is shipped to every executor: rows, and bytes of its values.
 MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-# Up to this many (column-less) rows are fetched to prove a lookup small in one stage.
-_PROBE_ROWS = 10_000
+def size_aggregate(df: DataFrame) -> DataFrame:
+    """One row (rows, bytes): counted per task, then summed (a partial row per task crosses the network).
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    First ``take`` of up to 10 000 column-less rows: it scans partitions
-    incrementally and stops once it has them, so a typical code book is
-    proven small by one short stage. Only a larger frame goes on to
-    ``limit(max_rows + 1).count()``, which reads no columns and stops every
-    partition after ``max_rows + 1`` rows. Either way the work is bounded
-    however large the input is, and at most 10 000 empty rows reach the driver.
+    Text and binary values count their bytes, other values 8, and each row 16.
     """
-    probe = min(max_rows + 1, _PROBE_ROWS)
-    seen = len(df.select().take(probe))
-    if seen < probe:
-        return seen <= max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
-
+    wide = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = 16 + 8 * (len(df.columns) - len(wide))
+    row = sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(fixed)).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes"))
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute a derived frame once into the reliable checkpoint folder.
 
-    The copy lives in ``spark.checkpoint.dir`` (a shared folder), so it
-    survives the loss of the executor that computed it, and later plans read
-    it instead of recomputing its lineage.
-    """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    size = size_aggregate(df).first()
+    return size.rows <= max_rows and size.bytes <= max_bytes
 
 
 def checked_broadcast(
@@ -62,23 +48,25 @@ def checked_broadcast(
     max_rows: int = MAX_BROADCAST_ROWS,
     size_source: DataFrame | None = None,
     known_rows: int | None = None,
-    materialize_large: bool = False,
+    own_exchange: bool = False,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Broadcast hint only when the (source of the) frame fits the row bound.
-
-    ``known_rows`` is an upper bound the caller already holds (an in-memory
-    code book), which saves the counting job. With ``materialize_large`` a
-    frame over the bound is checkpointed instead: its join then shuffles it
-    afresh, which lets AQE's skew join split a hot key on the other side
-    (a reused exchange from the frame's own aggregation would not).
+    """Broadcast hint only when the (source of the) frame fits the row and byte bounds.
+
+    ``size_source`` is a frame with at least as many rows, of rows at least as
+    wide. ``known_rows`` is an upper bound the caller already holds (a small
+    in-memory code book), which saves the counting job. With ``own_exchange`` a
+    frame over the bounds is rebalanced: its join then shuffles it afresh,
+    which lets AQE's skew join split a hot key on the other side (a reused
+    exchange from the frame's own aggregation would not).
     """
     if known_rows is not None:
         fits = known_rows <= max_rows
     else:
-        fits = fits_broadcast(size_source if size_source is not None else df, max_rows)
+        fits = fits_broadcast(size_source if size_source is not None else df, max_rows, max_bytes)
     if fits:
         return F.broadcast(df)
-    return materialize(df) if materialize_large else df
+    return df.hint("rebalance") if own_exchange else df
 
 
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint")
@@ -99,25 +87,27 @@ def _key(c: Column, key_type: str, dtype: str = "string") -> Column:
 def prepare_lookup(
     lookup: DataFrame,
     code: str = "code",
-    label: str = "label",
+    label: str | list[str] = "label",
     key_type: str = "int",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     known_rows: int | None = None,
     unique_codes: bool = False,
 ) -> DataFrame:
-    """Code book -> (``__code``, ``__label``), one row per code, size-checked broadcast.
+    """Code book -> (``__code``, ``__label0``, ...), one row per code, size-checked broadcast.
 
     ``unique_codes`` says the book already has one row per (converted) code,
     as the fixed in-memory books do; the per-code reduction (a small shuffle)
     is then skipped.
     """
+    labels = [label] if isinstance(label, str) else list(label)
     keyed = lookup.select(
         _key(F.col(f"`{code}`"), key_type, field_type(lookup.schema, code).simpleString()).alias("__code"),
-        F.col(f"`{label}`").alias("__label"),
+        *[F.col(f"`{x}`").alias(f"__label{i}") for i, x in enumerate(labels)],
     ).where(F.col("__code").isNotNull())
-    reduced = keyed if unique_codes else keyed.groupBy("__code").agg(F.min("__label").alias("__label"))
+    names = [f"__label{i}" for i in range(len(labels))]
+    reduced = keyed if unique_codes else keyed.groupBy("__code").agg(*[F.min(n).alias(n) for n in names])
     return checked_broadcast(
-        reduced, max_broadcast_rows, size_source=lookup, known_rows=known_rows, materialize_large=not unique_codes
+        reduced, max_broadcast_rows, size_source=keyed, known_rows=known_rows, own_exchange=not unique_codes
     )
 
 
@@ -125,28 +115,32 @@ def _join_prepared(
     df: DataFrame,
     code_col: str,
     prepared: DataFrame,
-    out: str,
+    outs: list[str],
     key_type: str,
     default: str | None,
     keep_code: bool,
 ) -> DataFrame:
     tag = uuid.uuid4().hex[:8]
-    k, v = f"__k_{tag}", f"__v_{tag}"
-    side = prepared.select(F.col("__code").alias(k), F.col("__label").alias(v))
+    k = f"__k_{tag}"
+    side = prepared.select(F.col("__code").alias(k), *[F.col(f"__label{i}").alias(f"__v{i}_{tag}") for i in range(len(outs))])
     dtype = field_type(df.schema, code_col).simpleString()
     joined = df.join(side, _key(F.col(f"`{code_col}`"), key_type, dtype) == F.col(k), "left")
-    label = F.col(v) if default is None else F.coalesce(F.col(v), F.lit(default))
-    # One projection instead of withColumn + drop. Without keep_code the label
-    # takes the code column's place; with it the label is appended. A column
-    # already named like ``out`` is replaced (names resolve case-insensitively).
+    labels = []
+    for i, out in enumerate(outs):
+        v = F.col(f"__v{i}_{tag}")
+        labels.append((v if default is None else F.coalesce(v, F.lit(default))).alias(out))
+    # One projection instead of withColumn + drop. Without keep_code the labels
+    # take the code column's place; with it they are appended. A column
+    # already named like an output is replaced (names resolve case-insensitively).
+    taken = {o.lower() for o in outs}
     exprs = []
     for c in df.columns:
         if not keep_code and c.lower() == code_col.lower():
-            exprs.append(label.alias(out))
-        elif c.lower() != out.lower():
+            exprs += labels
+        elif c.lower() not in taken:
             exprs.append(F.col(f"`{c}`"))
     if keep_code or code_col.lower() not in {c.lower() for c in df.columns}:
-        exprs.append(label.alias(out))
+        exprs += labels
     return joined.select(*exprs)
 
 
@@ -154,10 +148,10 @@ def decode(
     df: DataFrame,
     code_col: str,
     lookup: DataFrame,
-    out: str,
+    out: str | list[str],
     *,
     lookup_code: str = "code",
-    lookup_label: str = "label",
+    lookup_label: str | list[str] = "label",
     key_type: str = "int",
     default: str | None = None,
     keep_code: bool = False,
@@ -171,9 +165,12 @@ def decode(
     such as ``"2.0"`` to 2 on both sides (a mode code), ``"string"`` compares
     normalised text (a port code like ``060`` must stay text), ``"raw"`` uses
     the values as they are. Unknown codes give null, or ``default`` when set.
+    Several labels of one book (lists of ``lookup_label`` and ``out``) cost one
+    scan, one reduction and one join.
     """
+    outs = [out] if isinstance(out, str) else list(out)
     prepared = prepare_lookup(lookup, lookup_code, lookup_label, key_type, max_broadcast_rows, known_rows, unique_codes)
-    return _join_prepared(df, code_col, prepared, out, key_type, default, keep_code)
+    return _join_prepared(df, code_col, prepared, outs, key_type, default, keep_code)
 
 
 def decode_roles(
@@ -196,5 +193,5 @@ def decode_roles(
     """
     prepared = prepare_lookup(lookup, lookup_code, lookup_label, key_type, max_broadcast_rows, known_rows)
     for code_col, out in roles.items():
-        df = _join_prepared(df, code_col, prepared, out, key_type, default, keep_code)
+        df = _join_prepared(df, code_col, prepared, [out], key_type, default, keep_code)
     return df

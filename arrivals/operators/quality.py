@@ -71,8 +71,18 @@ def contract_key_report(tables: Mapping[str, DataFrame], keys: Mapping[str, Iter
     return reduce(DataFrame.unionAll, parts)
 
 
+# How the code books begin the label of a code that names no real value.
+INVALID_LABELS = ("invalid", "collapsed", "no country code", "no port code")
+
+
+def invalid_label(label: Column, beginnings: Iterable[str] = INVALID_LABELS) -> Column:
+    """True where a label begins like that of an invalid code (case and outer blanks ignored)."""
+    low = F.lower(F.trim(label.cast("string")))
+    return reduce(lambda a, b: a | b, [low.startswith(x.lower()) for x in beginnings])
+
+
 def unmatched_codes(
-    df: DataFrame, pairs: Mapping[str, str] | Iterable[tuple[str, str]], invalid_prefix: str = "INVALID"
+    df: DataFrame, pairs: Mapping[str, str] | Iterable[tuple[str, str]], invalid: Iterable[str] = INVALID_LABELS
 ) -> DataFrame:
     """Q4: per decoded column (column_name, n_rows, n_null_code, n_unmatched, n_invalid).
 
@@ -87,7 +97,7 @@ def unmatched_codes(
         aggs += [
             F.count_if(_c(code).isNull()).alias(f"__nc{i}"),
             F.count_if(_c(code).isNotNull() & _c(label).isNull()).alias(f"__nu{i}"),
-            F.count_if(_c(label).cast("string").startswith(invalid_prefix)).alias(f"__ni{i}"),
+            F.count_if(invalid_label(_c(label), invalid)).alias(f"__ni{i}"),
         ]
     wide = df.agg(*aggs)
     parts = ", ".join(f"{sql_string(label)}, __nc{i}, __nu{i}, __ni{i}" for i, (code, label) in enumerate(pairs))

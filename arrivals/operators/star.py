@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivals.operators.decode import MAX_BROADCAST_ROWS, checked_broadcast, materialize
+from arrivals.operators.decode import MAX_BROADCAST_ROWS, checked_broadcast
 
 
 def _c(name: str) -> Column:
@@ -41,31 +41,26 @@ def star_link(
     normalise: str | None = None,
     keep_dim_key: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    materialize_dim: bool = True,
     size_source: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join a link-grain dimension onto the fact table.
+    """Left join a link-grain dimension onto the fact table: exactly the fact's rows come out.
 
     ``normalise="upper"`` compares upper-cased text on both sides (country
-    names). The dimension must already be unique on ``dim_key``
-    (``to_link_grain``), so fact rows are never multiplied.
-
-    With ``materialize_dim`` the aggregated dimension is computed once into
-    the checkpoint folder (``decode.materialize``) before its size is
-    checked; pass False when ``dim`` is a plain scan. ``size_source`` is a
-    frame with at least as many rows as ``dim`` (the table it was aggregated
-    from, when that is a small table): the bound is then checked on it and
-    nothing is materialized.
+    names). Keys that become equal by that are one key: the dimension is
+    reduced again, to the least of their rows. Otherwise it must already be
+    unique on ``dim_key`` (``to_link_grain``). ``size_source`` is a frame with
+    at least as many rows as ``dim`` (the small table it was aggregated from):
+    the bound is then checked on it and ``dim`` is not counted.
     """
-    if size_source is None and materialize_dim:
-        dim = materialize(dim)
     tag = uuid.uuid4().hex[:8]
     k = f"__dk_{tag}"
     fk = _c(fact_key) if isinstance(fact_key, str) else fact_key
-    dk = _c(dim_key)
+    others = [c for c in dim.columns if c != dim_key]
+    side = dim.select(_c(dim_key).alias(k), *[_c(c) for c in others])
     if normalise == "upper":
-        fk, dk = F.upper(fk), F.upper(dk)
-    side = dim.select(dk.alias(k), *[_c(c) for c in dim.columns if c != dim_key])
-    side = checked_broadcast(side, max_broadcast_rows, size_source=size_source if size_source is not None else dim)
+        fk = F.upper(fk)
+        least = F.min(F.struct(*[_c(c) for c in others])).alias("s")
+        side = dim.groupBy(F.upper(_c(dim_key)).alias(k)).agg(least).select(k, *[F.col("s")[c].alias(c) for c in others])
+    side = checked_broadcast(side, max_broadcast_rows, size_source=size_source, own_exchange=True)
     out = fact.join(side, fk == F.col(k), "left")
     return out.withColumnRenamed(k, dim_key) if keep_dim_key else out.drop(k)

@@ -1,8 +1,9 @@
 """The four table builds (T1-T4) and publishing with checks (T5).
 
 Each build is one lazy DataFrame plan: scan -> rename -> filter -> convert ->
-decode -> conform. Nothing is collected; the only actions are the writes in
-``publish`` and the (tiny) quality report.
+decode -> conform. Building a plan runs small jobs only: the first line of each
+raw file, and the size of each code book that is not a fixed one. The data
+moves in the writes of ``publish`` and in its quality report.
 """
 
 from __future__ import annotations
@@ -10,29 +11,37 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrivals.functions.columns import day_number_to_date, substring_from, text_to_int
 from arrivals.operators.aggregate import group_avg_first
 from arrivals.operators.clean import drop_columns, drop_missing, filter_equals, rename_columns
 from arrivals.operators.decode import decode, decode_roles
-from arrivals.operators.quality import non_empty_report, require, unmatched_codes
+from arrivals.operators.quality import key_summary, require, unmatched_codes
 from arrivals.plans.codebooks import MODE_CODES, OTHER_STATE, VISA_CODES, mode_lookup, visa_lookup
 from arrivals.schemas import (
     AIRPORTS,
     ARRIVALS,
     DEMOGRAPHICS,
+    OPTIONAL_AIRPORTS_COLUMNS,
+    OPTIONAL_ARRIVALS_COLUMNS,
     RAW_AIRPORTS_COLUMNS,
     RAW_ARRIVALS_COLUMNS,
     RAW_DEMOGRAPHICS_COLUMNS,
     RAW_TEMPERATURE_COLUMNS,
+    STATE_NAME,
     TEMPERATURE,
     UNUSED_ARRIVALS_COLUMNS,
     Contract,
+    sql_string,
 )
 from arrivals.sources.readers import read_lookup, read_parquet, read_table
-from arrivals.sources.sinks import conform, refresh_months, write_parquet
+from arrivals.sources.sinks import conform, read_rejects, refresh_months, write_parquet
 
 # Raw header name -> contract column name.
 ARRIVALS_RENAMES = {
@@ -58,6 +67,7 @@ DEMOGRAPHICS_RENAMES = {
     "Average Household Size": "Average_household_size",
     "State Code": "State_code",
 }
+# The contract's integer columns, and those a row must have.
 DEMOGRAPHICS_INT_COLUMNS = [
     "Male_population", "Female_population", "Total_population", "Number_veterans", "Foreign_born", "Count",
 ]
@@ -94,7 +104,9 @@ def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False,
     two country roles are decoded through size-checked broadcast lookups
     (unknown codes give null); day numbers become dates; text numbers become
     ints ("4.0" -> 4, bad text -> null). ``decode_port``/``decode_state``
-    replace the port and state codes by their labels (state: unknown -> other).
+    use the port and state books: the port code is replaced by its label, the
+    state code is kept (the star links by it) and its name (unknown: other) is
+    added as ``arrival_state_name``.
     """
     spark = raw.sparkSession
     # The fixed books are in memory and their size is known: no counting job.
@@ -120,7 +132,8 @@ def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False,
     if decode_port and lookups.port is not None:
         df = decode(df, "port_of_admission", lookups.port, "port_of_admission", key_type="string")
     if decode_state and lookups.state is not None:
-        df = decode(df, "arrival_state", lookups.state, "arrival_state", key_type="string", default=OTHER_STATE)
+        df = decode(df, "arrival_state", lookups.state, STATE_NAME, key_type="string", default=OTHER_STATE, keep_code=True)
+        return conform(df, T.StructType([*ARRIVALS.schema.fields, T.StructField(STATE_NAME, T.StringType())]))
     return conform(df, ARRIVALS)
 
 
@@ -130,8 +143,8 @@ def arrivals_decode_report(raw: DataFrame, lookups: Lookups) -> DataFrame:
 
     Same rows and decodes as ``build_arrivals``, with the codes kept so that
     codes without a label (and codes the book labels invalid) are counted
-    instead of silently becoming null. One pass: broadcast decodes then a
-    single aggregate.
+    instead of silently becoming null; the port and state books are included
+    where they are given. One pass: decodes then a single aggregate.
     """
     spark = raw.sparkSession
     mode, mode_rows = (lookups.mode, None) if lookups.mode is not None else (mode_lookup(spark), len(MODE_CODES))
@@ -143,8 +156,12 @@ def arrivals_decode_report(raw: DataFrame, lookups: Lookups) -> DataFrame:
                 known_rows=visa_rows, unique_codes=visa_rows is not None)
     df = decode_roles(df, lookups.country, {"i94cit": "native_country", "i94res": "residence_country"},
                       key_type="int", keep_code=True)
-    return unmatched_codes(df, [("mode_code", "Mode"), ("visa_code", "visa"),
-                                ("i94cit", "native_country"), ("i94res", "residence_country")])
+    pairs = [("mode_code", "Mode"), ("visa_code", "visa"), ("i94cit", "native_country"), ("i94res", "residence_country")]
+    for code, book, label in (("port_of_admission", lookups.port, "port"), ("arrival_state", lookups.state, "state")):
+        if book is not None:
+            df = decode(df, code, book, label, key_type="string", keep_code=True)
+            pairs.append((code, label))
+    return unmatched_codes(df, pairs)
 
 
 def build_demographics(raw: DataFrame) -> DataFrame:
@@ -191,38 +208,108 @@ class RawInputs:
     fmt: str = "csv"
 
 
-def build_all(spark: SparkSession, inputs: RawInputs, lookups: Lookups) -> dict[str, DataFrame]:
+def read_raw_arrivals(spark: SparkSession, path: str | list[str], fmt: str = "csv", **options) -> DataFrame:
+    """Raw arrivals by column name; only columns the fact does not use may be missing."""
+    return read_table(spark, path, fmt, columns=RAW_ARRIVALS_COLUMNS, allow_missing=OPTIONAL_ARRIVALS_COLUMNS, **options)
+
+
+def build_all(
+    spark: SparkSession, inputs: RawInputs, lookups: Lookups, decode_port: bool = False, decode_state: bool = False
+) -> dict[str, DataFrame]:
     """The four builds from raw files (the format is a parameter, S3)."""
-    rd = lambda p, cols, **o: read_table(spark, p, inputs.fmt, columns=cols, allow_missing=True, **o)
+    rd = lambda p, cols, **o: read_table(spark, p, inputs.fmt, columns=cols, **o)
     sep = {"sep": ";"} if inputs.fmt == "csv" else {}
+    raw = read_raw_arrivals(spark, inputs.arrivals, inputs.fmt)
     return {
-        ARRIVALS.name: build_arrivals(rd(inputs.arrivals, RAW_ARRIVALS_COLUMNS), lookups),
+        ARRIVALS.name: build_arrivals(raw, lookups, decode_port=decode_port, decode_state=decode_state),
         DEMOGRAPHICS.name: build_demographics(rd(inputs.demographics, RAW_DEMOGRAPHICS_COLUMNS, **sep)),
         TEMPERATURE.name: build_temperature(rd(inputs.temperature, RAW_TEMPERATURE_COLUMNS)),
-        AIRPORTS.name: build_airports(rd(inputs.airports, RAW_AIRPORTS_COLUMNS)),
+        AIRPORTS.name: build_airports(
+            rd(inputs.airports, RAW_AIRPORTS_COLUMNS, allow_missing=OPTIONAL_AIRPORTS_COLUMNS)),
     }
 
 
 CONTRACTS: dict[str, Contract] = {c.name: c for c in (ARRIVALS, DEMOGRAPHICS, TEMPERATURE, AIRPORTS)}
 
 
-def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A published table, columns in its contract's order (a partitioned fact
-    table otherwise lists ``year``, ``month`` last)."""
-    df = read_parquet(spark, f"{root.rstrip('/')}/{name}")
+def _contract_schema(name: str, columns: list[str]) -> T.StructType | None:
+    """The contract's schema, with the fact's state name where the table has it."""
     contract = CONTRACTS.get(name)
-    return conform(df, contract, strict=True) if contract is not None else df
+    if contract is None:
+        return None
+    named = name == ARRIVALS.name and STATE_NAME in columns
+    return T.StructType([*contract.schema.fields, *[T.StructField(STATE_NAME, T.StringType())] * named])
 
 
-def _write_table(spark: SparkSession, name: str, df: DataFrame, root: str, fact: str) -> DataFrame:
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A published table, columns in its contract's order (a partitioned fact
+    table otherwise lists ``year``, ``month`` last). A table without a row reads as empty."""
     path = f"{root.rstrip('/')}/{name}"
     contract = CONTRACTS.get(name)
-    out = conform(df, contract) if contract is not None else df
-    if name == fact:
-        refresh_months(out, path, ("year", "month"))
-    else:
+    if contract is None:
+        return read_parquet(spark, path)
+    try:
+        df = read_parquet(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # files: none yet
+            raise
+        return spark.createDataFrame([], contract.schema)
+    return conform(df, _contract_schema(name, df.columns), strict=True)
+
+
+def _write_table(spark: SparkSession, name: str, df: DataFrame, root: str, fact: str, replace_fact: bool) -> DataFrame:
+    """Write a table; the committed rows of this run come back."""
+    path = f"{root.rstrip('/')}/{name}"
+    schema = _contract_schema(name, df.columns)
+    out = conform(df, schema) if schema is not None else df
+    if name != fact:
         write_parquet(out, path)
-    return read_published(spark, root, name)
+        return read_published(spark, root, name)
+    refresh_months(out, path, ("year", "month"), load="publish", replace=replace_fact)
+    months = out.select("year", "month").where("year IS NOT NULL AND month IS NOT NULL").distinct()
+    # The months of this run: all their committed rows are this run's (they were replaced).
+    return read_published(spark, root, name).join(F.broadcast(months), ["year", "month"], "left_semi")
+
+
+def _report_rows(table: str, check: str, counts: DataFrame, *columns: tuple[str, str]) -> DataFrame:
+    """(table_name, check_name, column_name, n_rows, passed): one row per (count column, reported column)."""
+    parts = ", ".join(f"{sql_string(shown)}, CAST({c} AS BIGINT)" for c, shown in columns)
+    rows = counts.selectExpr(f"stack({len(columns)}, {parts}) AS (column_name, n_rows)")
+    passed = F.col("n_rows") > 0 if check == "rows" else F.col("n_rows") == 0
+    return rows.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "column_name", "n_rows",
+                       passed.alias("passed"))
+
+
+def published_report(
+    spark: SparkSession, written: Mapping[str, DataFrame], root: str, fact: str = ARRIVALS.name,
+    decodes: DataFrame | None = None,
+) -> DataFrame:
+    """Q1, Q2 and Q4 of one run: (table_name, check_name, column_name, n_rows, passed).
+
+    ``rows`` counts what this run committed; ``null_keys`` and
+    ``duplicate_keys`` count over each contract's key; ``rejected`` counts the
+    fact rows without a month; ``unmatched`` and ``invalid`` count the codes of
+    this run's input that found no or an invalid label. Only ``rows`` is
+    required to pass; the others pass at zero.
+    """
+    parts = []
+    for name, df in written.items():
+        key = list(CONTRACTS[name].key) if name in CONTRACTS else []
+        if not key:
+            parts.append(_report_rows(name, "rows", df.agg(F.count(F.lit(1)).alias("n")), ("n", "")))
+            continue
+        summary, shown = key_summary(df, key), ", ".join(key)
+        parts += [_report_rows(name, check, summary, (f"coalesce({c}, 0)", x)) for check, c, x in (
+            ("rows", "n_rows", ""), ("null_keys", "n_null_key_rows", shown), ("duplicate_keys", "n_duplicate_keys", shown))]
+        if name == fact:
+            rejects = read_rejects(spark, f"{root.rstrip('/')}/{name}", CONTRACTS[name].schema).where("load = 'publish'")
+            parts.append(_report_rows(name, "rejected", rejects.agg(F.count(F.lit(1)).alias("n")), ("n", "year, month")))
+    if decodes is not None:
+        for check, c in (("unmatched", "n_unmatched"), ("invalid", "n_invalid")):
+            parts.append(decodes.select(
+                F.lit(fact).alias("table_name"), F.lit(check).alias("check_name"), "column_name",
+                F.col(c).cast("long").alias("n_rows"), (F.col(c) == 0).alias("passed")))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def publish(
@@ -232,27 +319,33 @@ def publish(
     fact: str = ARRIVALS.name,
     check: bool = True,
     parallel: bool = True,
+    replace_fact: bool = False,
+    decodes: DataFrame | None = None,
 ) -> DataFrame:
-    """T5: write every table under ``root`` and check the written copies.
+    """T5: write every table under ``root`` and check what this run wrote.
 
     The fact table is refreshed month-wise (dynamic partition overwrite, so a
-    re-run replaces its months instead of appending duplicates); dimensions
-    are replaced. The tables share no data, so with ``parallel`` their write
-    jobs are submitted together from a small thread pool and run side by side
-    on the cluster (small dimension writes do not wait behind the fact).
-
-    The quality report counts the rows of what was actually committed (read
-    back from storage; for parquet the count comes from file footers) and,
-    with ``check``, raises naming every empty table. Counting the committed
-    copy stays exact when tasks or stages are retried after an executor loss,
-    which a metric observed during the write would not.
+    re-run replaces its months instead of appending duplicates), or replaced
+    as a whole with ``replace_fact``; dimensions are replaced. The tables share
+    no data, so with ``parallel`` their write jobs are submitted together from a
+    small thread pool and run side by side on the cluster.
+
+    The report (``published_report``) counts the rows of what this run
+    committed, read back from storage: for the fact only the months of this
+    run, so an empty load fails even where older months exist. With ``check``
+    it raises naming every table without rows. ``decodes`` is the fact's
+    ``arrivals_decode_report``. Counting the committed copy stays exact when
+    tasks are retried after an executor loss, which a metric observed during
+    the write would not.
     """
     names = list(tables)
     if parallel and len(names) > 1:
         with ThreadPoolExecutor(max_workers=len(names)) as pool:
-            futures = {n: pool.submit(_write_table, spark, n, tables[n], root, fact) for n in names}
+            futures = {n: pool.submit(_write_table, spark, n, tables[n], root, fact, replace_fact) for n in names}
             written = {n: futures[n].result() for n in names}
     else:
-        written = {n: _write_table(spark, n, tables[n], root, fact) for n in names}
-    report = non_empty_report(written)
-    return require(report) if check else report
+        written = {n: _write_table(spark, n, tables[n], root, fact, replace_fact) for n in names}
+    report = published_report(spark, written, root, fact, decodes)
+    if check:
+        require(report.where("check_name = 'rows'"))
+    return report

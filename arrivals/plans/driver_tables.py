@@ -10,24 +10,17 @@ over whole tables and their work grows with the data. The SQL in
 from __future__ import annotations
 
 import datetime as _dt
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arrivals.operators.decode import checked_broadcast
+
 EPOCH = _dt.date(1960, 1, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _read(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-@lru_cache(maxsize=128)
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    # The driver tables are read-only inputs and a DataFrame is an immutable
-    # plan, so one handle per (session, path) saves re-listing the files and
-    # re-reading the footer for every query that uses the table.
-    return spark.read.parquet(path)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -88,7 +81,7 @@ def raw_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer (+ nation) -> raw temperature rows with case variants of names."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
+    j = c.join(checked_broadcast(n), c.c_nationkey == n.n_nationkey, "left")
     return j.select(
         F.when(F.col("c_custkey") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name")).alias("Country"),
         F.when(F.col("c_custkey") % 9 == 0, F.lit(None).cast("string"))
@@ -101,8 +94,8 @@ def raw_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """supplier (+ nation) -> raw airport rows; region 1 plays the US."""
     s = table(spark, sf_dir, "supplier")
-    n = table(spark, sf_dir, "nation")
-    j = s.join(n, s.s_nationkey == n.n_nationkey, "left")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    j = s.join(checked_broadcast(n), s.s_nationkey == n.n_nationkey, "left")
     return j.select(
         _s(F.col("s_suppkey")).alias("ident"),
         F.lit("small_airport").alias("type"),
@@ -127,3 +120,49 @@ def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("label")
     )
+
+
+# Codes whose label the marked books replace by one of each invalid class.
+MARKED_COUNTRIES = {"3": "INVALID: STATELESS", "5": "Collapsed (MEXICO)", "7": "No Country Code (7)"}
+MARKED_PORTS = {"1-URGENT": "URGENT, AK", "2-HIGH": "Collapsed (HIGH)", "3-MEDIUM": "No PORT Code (3)"}
+
+
+def _book(spark: SparkSession, rows: dict[str, str]) -> DataFrame:
+    return spark.createDataFrame(list(rows.items()), "code string, label string")
+
+
+def marked_country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country book with labels of every invalid class."""
+    label = F.col("label")
+    for code, marked in MARKED_COUNTRIES.items():
+        label = F.when(F.col("code") == code, F.lit(marked)).otherwise(label)
+    return country_lookup(spark, sf_dir).select("code", label.alias("label"))
+
+
+def port_lookup(spark: SparkSession) -> DataFrame:
+    """Three of the five order priorities as ports: one valid, two of invalid classes."""
+    return _book(spark, MARKED_PORTS)
+
+
+def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as states: code S<key> and a full name; nations above 20 are missing."""
+    n = table(spark, sf_dir, "nation").where("n_nationkey <= 20")
+    return n.select(F.concat(F.lit("S"), _s(F.col("n_nationkey"))).alias("code"), F.initcap("n_name").alias("label"))
+
+
+def star_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw demographics whose states are those of the arrivals (code and, in mixed case, name)."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("__part"), (F.col("p_size") % 25).alias("__key"))
+    d = raw_demographics(spark, sf_dir).withColumn("__part", F.expr("CAST(CAST(Count AS DOUBLE) AS BIGINT)"))
+    j = d.drop("State", "State Code").join(p, "__part").join(checked_broadcast(n), F.col("__key") == F.col("n_nationkey"))
+    return j.select(
+        *[F.col(f"`{c}`") for c in d.columns if c not in ("State", "State Code", "__part")],
+        F.when(F.col("__part") % 2 == 0, F.upper("n_name")).otherwise(F.initcap("n_name")).alias("State"),
+        F.concat(F.lit("S"), _s(F.col("__key"))).alias("State Code"))
+
+
+def star_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw airports, all in the US, in the arrivals' states."""
+    return raw_airports(spark, sf_dir).withColumns({
+        "iso_country": F.lit("US"), "iso_region": F.concat(F.lit("US-S"), F.col("elevation_ft"))})

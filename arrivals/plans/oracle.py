@@ -62,14 +62,20 @@ FACT_DECODED = f"""
 WITH raw AS ({RAW_ARRIVALS}),
 mode_book(code, label) AS (VALUES (1, 'Air'), (2, 'Sea'), (3, 'Land'), (9, 'Not reported')),
 visa_book(code, label) AS (VALUES (1, 'Business'), (2, 'Pleasure'), (3, 'Student')),
-country AS (SELECT n_nationkey AS code, min(n_name) AS label FROM nation GROUP BY n_nationkey)
-SELECT r.i94mode, m.label AS mode_label, r.i94visa, v.label AS visa_label,
+port_book(code, label) AS (VALUES ('1-URGENT', 'URGENT, AK'), ('2-HIGH', 'Collapsed (HIGH)'),
+  ('3-MEDIUM', 'No PORT Code (3)')),
+state_book AS (SELECT 'S' || CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation WHERE n_nationkey <= 20),
+country AS (SELECT n_nationkey AS code, CASE n_nationkey WHEN 3 THEN 'INVALID: STATELESS'
+  WHEN 5 THEN 'Collapsed (MEXICO)' WHEN 7 THEN 'No Country Code (7)' ELSE n_name END AS label FROM nation)
+SELECT r.i94port, p.label AS port_label, r.i94addr, s.label AS state_label, r.i94mode, m.label AS mode_label, r.i94visa, v.label AS visa_label,
        r.i94cit, cn.label AS cit_label, r.i94res, rn.label AS res_label
 FROM raw r
 LEFT JOIN mode_book m ON {x1('r.i94mode')} = m.code
 LEFT JOIN visa_book v ON {x1('r.i94visa')} = v.code
 LEFT JOIN country cn ON {x1('r.i94cit')} = cn.code
 LEFT JOIN country rn ON {x1('r.i94res')} = rn.code
+LEFT JOIN port_book p ON trim(r.i94port) = p.code
+LEFT JOIN state_book s ON r.i94addr = s.code
 WHERE r.i94addr IS NOT NULL
 """
 
@@ -78,7 +84,8 @@ def _decode_quality(name: str, code: str, label: str) -> str:
     return (
         f"SELECT '{name}' AS column_name, count(*) AS n_rows, CAST(count_if({code} IS NULL) AS BIGINT) AS n_null_code, "
         f"CAST(count_if({code} IS NOT NULL AND {label} IS NULL) AS BIGINT) AS n_unmatched, "
-        f"CAST(count_if({label} LIKE 'INVALID%') AS BIGINT) AS n_invalid FROM d"
+        f"CAST(count_if(regexp_matches(lower({label}), '^(invalid|collapsed|no country code|no port code)')) AS BIGINT) "
+        "AS n_invalid FROM d"
     )
 
 
@@ -209,6 +216,37 @@ def _key_summary(name: str, source: str, keys: list[str]) -> str:
           FROM ({source}) GROUP BY {cols})"""
 
 
+def _published(name: str, source: str, keys: list[str]) -> list[str]:
+    summary, shown = _key_summary(name, source, keys), ", ".join(keys)
+    return [
+        f"SELECT table_name, '{check}' AS check_name, '{column}' AS column_name, {c} AS n_rows, {c} {test} AS passed "
+        f"FROM ({summary})"
+        for check, column, c, test in (
+            ("rows", "", "n_rows", "> 0"), ("null_keys", shown, "n_null_key_rows", "= 0"),
+            ("duplicate_keys", shown, "n_duplicate_keys", "= 0"))
+    ]
+
+
+_ALL_DECODES = " UNION ALL ".join(_decode_quality(*x) for x in (
+    ("Mode", "i94mode", "mode_label"), ("visa", "i94visa", "visa_label"),
+    ("native_country", "i94cit", "cit_label"), ("residence_country", "i94res", "res_label"),
+    ("port", "i94port", "port_label"), ("state", "i94addr", "state_label")))
+
+# The star's tables at link grain: f (fact), by_code and by_name (population), a (airports), t (temperature).
+STAR_LINKS = f"""
+f AS ({BUILD_FACT}),
+state_book AS (SELECT 'S' || CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation WHERE n_nationkey <= 20),
+cities AS (
+  SELECT p_name AS city, 'S' || CAST(p_size % 25 AS VARCHAR) AS state_code, n.n_name AS state, p_size * 210 AS total
+  FROM part JOIN nation n ON p_size % 25 = n.n_nationkey
+  WHERE p_size % 7 <> 0 AND p_size % 11 <> 0 AND p_size % 13 <> 0),
+by_code AS (SELECT state_code AS k, count(*) AS n_cities, sum(total)::BIGINT AS population
+  FROM (SELECT state_code, city, max(total) AS total FROM cities GROUP BY ALL) GROUP BY 1),
+by_name AS (SELECT state AS k, count(*) AS n_cities, sum(total)::BIGINT AS population
+  FROM (SELECT state, city, max(total) AS total FROM cities GROUP BY ALL) GROUP BY 1),
+a AS (SELECT 'S' || CAST(s_nationkey AS VARCHAR) AS k, count(*) AS n_airports FROM supplier GROUP BY 1),
+t AS ({TEMPERATURE_UNROUNDED})"""
+
 ORACLE_SQL: dict[str, str] = {
     "arrivals_by_nation_month": """
         SELECT n.n_name AS nation, r.r_name AS region,
@@ -219,6 +257,7 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
         GROUP BY ALL""",
     "scan_csv_header": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "scan_csv_mixed_headers": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "scan_csv_semicolon": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "scan_by_format": " UNION ALL ".join(
         f"SELECT '{f}' AS format, s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
@@ -236,10 +275,11 @@ ORACLE_SQL: dict[str, str] = {
     "table_replace": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "refresh_month": """
         SELECT o_orderkey, o_custkey, o_orderstatus,
-               CASE WHEN year(o_orderdate) = 1997 AND month(o_orderdate) = 5 THEN o_totalprice * 2
+               CASE WHEN o_orderkey % 97 <> 0 AND year(o_orderdate) = 1997 AND month(o_orderdate) = 5 THEN o_totalprice * 2
                     ELSE o_totalprice END AS o_totalprice,
                o_orderdate, o_orderpriority,
-               CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+               CASE WHEN o_orderkey % 97 <> 0 THEN CAST(year(o_orderdate) AS INTEGER) END AS year,
+               CASE WHEN o_orderkey % 97 <> 0 THEN CAST(month(o_orderdate) AS INTEGER) END AS month
         FROM orders""",
     "rename_columns": """
         SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey AS nation_id, c_acctbal, c_mktsegment
@@ -257,6 +297,12 @@ ORACLE_SQL: dict[str, str] = {
         FROM {DOCS_LABELS} WHERE l.quality IS NOT NULL AND nullif(l.toxic, 1) IS NOT NULL""",
     "filter_equals": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
     "decode_left": DECODED_DOCUMENTS,
+    "decode_int_text": """
+        SELECT o.o_orderkey, o.mode_code, b.label AS mode
+        FROM (SELECT o_orderkey, CASE WHEN o_custkey % 7 = 5 THEN 'x' WHEN o_custkey % 7 = 6 THEN NULL
+                     ELSE CAST(o_custkey % 7 AS VARCHAR) || '.0' END AS mode_code FROM orders) o
+        LEFT JOIN (VALUES (1, 'Air'), (2, 'Sea'), (3, 'Land'), (9, 'Not reported')) AS b(code, label)
+          ON TRY_CAST(trunc(TRY_CAST(o.mode_code AS DOUBLE)) AS BIGINT) = b.code""",
     "decode_string_key": DECODED_EVENTS,
     "decode_with_default": f"""
         SELECT e.event_id, e.event_type, coalesce(b.label, 'other') AS event_label
@@ -290,8 +336,12 @@ ORACLE_SQL: dict[str, str] = {
         FROM orders o""",
     "recode_case": """
         SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'finished' WHEN o_orderstatus = 'O' THEN 'open'
-                                ELSE o_orderstatus END AS status_label
-        FROM orders""",
+                                ELSE o_orderstatus END AS status_label,
+               CASE code WHEN '2.0' THEN 'see' WHEN '3.0' THEN 'land' WHEN '9.0' THEN 'not reported'
+                         ELSE code END AS mode_label,
+               CASE code WHEN '2.0' THEN 'Pleasure' WHEN '3.0' THEN 'Student' ELSE code END AS visa_label
+        FROM (SELECT o_orderkey, o_orderstatus, CASE o_custkey % 11 WHEN 0 THEN 'x' WHEN 1 THEN ''
+                     ELSE CAST(o_custkey % 11 AS VARCHAR) || '.0' END AS code FROM orders)""",
     "normalise_label": """
         SELECT n_nationkey, trim(replace(chr(160) || n_name || ' ' || chr(160) || ' ', chr(160), ' ')) AS label
         FROM nation""",
@@ -361,6 +411,8 @@ ORACLE_SQL: dict[str, str] = {
         _decode_quality("visa", "i94visa", "visa_label"),
         _decode_quality("native_country", "i94cit", "cit_label"),
         _decode_quality("residence_country", "i94res", "res_label"),
+        _decode_quality("port", "i94port", "port_label"),
+        _decode_quality("state", "i94addr", "state_label"),
     ]),
     "quality_contract_keys": " UNION ALL ".join([
         _key_summary("immigration", BUILD_FACT, ["ID"]),
@@ -369,9 +421,30 @@ ORACLE_SQL: dict[str, str] = {
         _key_summary("airports", BUILD_DIMENSION_FILTERED, ["ident"]),
     ]),
     "publish_report": " UNION ALL ".join([
-        _non_empty("immigration", f"({BUILD_FACT})"),
-        _non_empty("demographics", f"({BUILD_DIMENSION_STATE})"),
-        _non_empty("temperature", f"({TEMPERATURE_UNROUNDED})"),
-        _non_empty("airports", f"({BUILD_DIMENSION_FILTERED})"),
+        *_published("immigration", BUILD_FACT, ["ID"]),
+        """SELECT 'immigration', 'rejected', 'year, month', CAST(0 AS BIGINT), true""",
+        *_published("demographics", BUILD_DIMENSION_STATE, ["City", "State_code", "Race"]),
+        *_published("temperature", TEMPERATURE_UNROUNDED, ["Country"]),
+        *_published("airports", BUILD_DIMENSION_FILTERED, ["ident"]),
+        *[f"""SELECT 'immigration', '{check}', column_name, {c}, {c} = 0 FROM (
+              WITH d AS ({FACT_DECODED}) {_ALL_DECODES})"""
+          for check, c in (("unmatched", "n_unmatched"), ("invalid", "n_invalid"))],
     ]),
+    "star_enriched": f"""
+        WITH {STAR_LINKS}
+        SELECT 'code' AS linked_by, f."ID", f.arrival_state, c.population AS "Total_population", c.n_cities,
+               a.n_airports, round(t."Temperature", 4) AS residence_temperature
+        FROM f LEFT JOIN by_code c ON f.arrival_state = c.k LEFT JOIN a ON f.arrival_state = a.k
+        LEFT JOIN t ON upper(f.residence_country) = t."Country"
+        UNION ALL
+        SELECT 'name', f."ID", f.arrival_state, n.population, n.n_cities, a.n_airports, round(t."Temperature", 4)
+        FROM f LEFT JOIN state_book s ON f.arrival_state = s.code
+        LEFT JOIN by_name n ON coalesce(s.label, 'OTHER') = n.k LEFT JOIN a ON f.arrival_state = a.k
+        LEFT JOIN t ON upper(f.residence_country) = t."Country" """,
+    "star_state_month": f"""
+        WITH {STAR_LINKS}
+        SELECT f.arrival_state, f.year, f.month, count(*) AS n_arrivals, max(c.population) AS state_population,
+               max(a.n_airports) AS n_airports
+        FROM f LEFT JOIN by_code c ON f.arrival_state = c.k LEFT JOIN a ON f.arrival_state = a.k
+        GROUP BY ALL""",
 }

@@ -9,6 +9,7 @@ and return a DataFrame read back from what was written.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,7 +61,8 @@ from arrivals.plans.builds import (
     build_temperature,
     publish,
 )
-from arrivals.plans.codebooks import lookup_frame
+from arrivals.plans.codebooks import MODE_CODES, MODE_RECODE, VISA_RECODE, lookup_frame, mode_lookup
+from arrivals.plans.star_views import arrivals_by_state_month, enriched_arrivals
 from arrivals.session import scratch_path, unique_table_name
 from arrivals.streaming.monthly import load_new_drops
 from arrivals.sources.readers import read_delimited, read_inferred, read_lookup, read_parquet, read_table
@@ -68,6 +70,7 @@ from arrivals.sources.sinks import (
     append_by_name,
     conform,
     create_table,
+    read_rejects,
     refresh_months,
     replace_table,
     write_parquet,
@@ -100,22 +103,20 @@ def nation_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arrivals_by_nation_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals (orders) per residence nation, region and month.
 
-    Orders are first reduced to one partial row per (customer, month) --
-    count and sum are decomposable -- so the join to customer moves partial
-    rows, and a customer holding a large share of all orders crosses the
-    join as a few rows instead of as one overloaded task.
+    Orders are shuffled once, for the join to customer (AQE splits a hot
+    customer); few orders share a customer and a month, so combining them
+    before the join would only add a shuffle. The aggregation then sends one
+    partial row per task, nation and month.
     """
-    o = T(spark, sf_dir, "orders")
-    per_customer = o.groupBy(
-        "o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
-    ).agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("price"))
+    o = T(spark, sf_dir, "orders").select(
+        "o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_totalprice")
     c = T(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    fact = per_customer.join(c, per_customer.o_custkey == c.c_custkey, "left")
+    fact = o.join(c, o.o_custkey == c.c_custkey, "left")
     # The nation-grain dimension has at most one row per nation row: check the
     # bound on the nation table itself instead of computing the join twice.
     fact = star_link(fact, "c_nationkey", nation_dimension(spark, sf_dir), size_source=T(spark, sf_dir, "nation"))
     return fact.groupBy("nation", "region", "year", "month").agg(
-        F.sum("n").alias("n_arrivals"), F.round(F.sum("price"), 2).alias("total_price")
+        F.count(F.lit(1)).alias("n_arrivals"), F.round(F.sum("o_totalprice"), 2).alias("total_price")
     )
 
 
@@ -128,6 +129,18 @@ def scan_csv_header(spark, sf_dir):
     return conform(read_delimited(spark, path, src.columns), src.schema)
 
 
+def scan_csv_mixed_headers(spark, sf_dir):
+    """customer as files of one folder, each with its own column order and header case."""
+    src = T(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    path = scratch_path(spark, "scan_csv_mixed_headers")
+    for i in range(3):
+        part = src.where(F.col("c_custkey") % 3 == i)
+        order = src.columns[i:] + src.columns[:i]
+        named = part.select(*[F.col(c).alias(c.upper() if i == 2 else c) for c in order])
+        named.write.mode("append").option("header", "true").csv(path)
+    return conform(read_delimited(spark, path, src.columns), src.schema)
+
+
 def scan_csv_semicolon(spark, sf_dir):
     src = T(spark, sf_dir, "nation")
     path = scratch_path(spark, "scan_csv_semicolon")
@@ -182,14 +195,22 @@ def sink_parquet_overwrite(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+def _stored(spark, name, path) -> DataFrame:
+    """What an external table holds; the catalog entry is dropped, the files stay to be read."""
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)
+
+
 def load_append_by_name(spark, sf_dir):
     src = T(spark, sf_dir, "orders")
     name = unique_table_name("orders_load")
-    create_table(spark, name, src.schema, path=scratch_path(spark, name))
+    path = scratch_path(spark, name)
+    create_table(spark, name, src.schema, path=path)
     early = F.coalesce(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"), F.lit(False))
     append_by_name(src.where(early), name)
     append_by_name(src.where(~early).select(*reversed(src.columns)), name)
-    return spark.table(name)
+    return _stored(spark, name, path)
 
 
 def conform_schema(spark, sf_dir):
@@ -208,21 +229,24 @@ def table_replace(spark, sf_dir):
     path = scratch_path(spark, name)
     replace_table(src.where(F.col("n_regionkey") == 0), name, path)
     replace_table(src, name, path)
-    return spark.table(name)
+    return _stored(spark, name, path)
 
 
 def refresh_month(spark, sf_dir):
+    """A month is corrected and the correction repeated; both loads also hold rows without a month."""
+    no_month = F.col("o_orderkey") % 97 == 0
     src = T(spark, sf_dir, "orders").withColumns(
-        {"year": F.year("o_orderdate"), "month": F.month("o_orderdate")}
+        {"year": F.when(~no_month, F.year("o_orderdate")), "month": F.when(~no_month, F.month("o_orderdate"))}
     )
+    late = F.coalesce(no_month & (F.col("o_orderkey") % 2 == 0), F.lit(False))
     path = scratch_path(spark, "refresh_month")
-    refresh_months(src, path)
+    refresh_months(src.where(~late), path, load="first")
     changed = src.where((F.col("year") == 1997) & (F.col("month") == 5)).withColumn(
         "o_totalprice", F.col("o_totalprice") * 2
-    )
-    refresh_months(changed, path)
-    refresh_months(changed, path)  # re-run: must not duplicate the month
-    return read_parquet(spark, path)
+    ).unionByName(src.where(late))
+    refresh_months(changed, path, load="second")
+    refresh_months(changed, path, load="second")  # re-run: must not duplicate the month or the rejects
+    return read_parquet(spark, path).unionByName(read_rejects(spark, path, src.schema).drop("load"))
 
 
 # --- projections and filters ---------------------------------------------------
@@ -268,10 +292,19 @@ def filter_equals_q(spark, sf_dir):
 # --- decodes (J1-J5) -----------------------------------------------------------
 
 def _decoded_documents(spark, sf_dir) -> DataFrame:
+    """Both labels of a document: one scan, reduction and join of the book."""
     d = T(spark, sf_dir, "documents").select("doc_id", "lang")
-    lab = T(spark, sf_dir, "labels")
-    d = decode(d, "doc_id", lab, "quality", lookup_code="doc_id", lookup_label="quality", key_type="raw", keep_code=True)
-    return decode(d, "doc_id", lab, "toxic", lookup_code="doc_id", lookup_label="toxic", key_type="raw", keep_code=True)
+    return decode(d, "doc_id", T(spark, sf_dir, "labels"), ["quality", "toxic"], lookup_code="doc_id",
+                  lookup_label=["quality", "toxic"], key_type="raw", keep_code=True)
+
+
+def decode_int_text(spark, sf_dir):
+    """J1/J2 as the fact build keys them: decimal text codes ("2.0"), bad text and nulls against an integer book."""
+    k = F.col("o_custkey")
+    code = F.when(k % 7 == 5, F.lit("x")).when(k % 7 != 6, F.concat((k % 7).cast("string"), F.lit(".0")))
+    o = T(spark, sf_dir, "orders").select("o_orderkey", code.alias("mode_code"))
+    return decode(o, "mode_code", mode_lookup(spark), "mode", key_type="int", keep_code=True,
+                  known_rows=len(MODE_CODES), unique_codes=True)
 
 
 def decode_left(spark, sf_dir):
@@ -323,7 +356,9 @@ def row_count_q(spark, sf_dir):
 
 
 def null_profile_q(spark, sf_dir):
-    d = T(spark, sf_dir, "documents")
+    """Wide columns only matter as null or not: reduce them to a flag before the join."""
+    d = T(spark, sf_dir, "documents").select(
+        "doc_id", *[F.when(F.col(c).isNotNull(), True).alias(c) for c in ("text", "lang", "source", "n_chars")])
     lab = T(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     df = d.join(lab, "doc_id", "left")
     return null_profile(df, ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"])
@@ -366,8 +401,13 @@ def numeric_day_to_date_q(spark, sf_dir):
 
 
 def recode_case_q(spark, sf_dir):
-    o = T(spark, sf_dir, "orders")
-    return o.select("o_orderkey", recode("o_orderstatus", {"F": "finished", "O": "open"}).alias("status_label"))
+    """Text keys, and numeric keys over text codes (decimal text, bad text and empty text are kept)."""
+    o, k = T(spark, sf_dir, "orders"), F.col("o_custkey")
+    code = F.when(k % 11 == 0, F.lit("x")).when(k % 11 == 1, F.lit("")).otherwise(
+        F.concat((k % 11).cast("string"), F.lit(".0")))
+    return o.select(
+        "o_orderkey", recode("o_orderstatus", {"F": "finished", "O": "open"}).alias("status_label"),
+        recode(code, MODE_RECODE).alias("mode_label"), recode(code, VISA_RECODE).alias("visa_label"))
 
 
 def normalise_label_q(spark, sf_dir):
@@ -437,6 +477,33 @@ def star_by_country(spark, sf_dir):
     )
 
 
+def _star_tables(spark, sf_dir, decode_state):
+    """The four builds over inputs whose states and countries meet."""
+    lookups = Lookups(country=dt.country_lookup(spark, sf_dir), state=dt.state_lookup(spark, sf_dir))
+    return (
+        build_arrivals(dt.raw_arrivals(spark, sf_dir), lookups, decode_state=decode_state),
+        build_demographics(dt.star_demographics(spark, sf_dir)),
+        build_airports(dt.star_airports(spark, sf_dir)),
+        build_temperature(dt.raw_temperature(spark, sf_dir)),
+    )
+
+
+def _enriched(spark, sf_dir, by):
+    return enriched_arrivals(*_star_tables(spark, sf_dir, decode_state=by == "name"), by=by)
+
+
+def star_enriched(spark, sf_dir):
+    """J6-J8 on the published contracts, linked by state code and by full state name; one row per fact row and way."""
+    shown = ["ID", "arrival_state", "Total_population", "n_cities", "n_airports",
+             F.round("residence_temperature", 4).alias("residence_temperature")]
+    return reduce(DataFrame.unionByName, [
+        _enriched(spark, sf_dir, by).select(F.lit(by).alias("linked_by"), *shown) for by in ("code", "name")])
+
+
+def star_state_month(spark, sf_dir):
+    return arrivals_by_state_month(_enriched(spark, sf_dir, "code"))
+
+
 # --- quality (Q1-Q4) -------------------------------------------------------------
 
 def quality_non_empty(spark, sf_dir):
@@ -496,8 +563,14 @@ def build_dimension_filtered(spark, sf_dir):
     return build_airports(dt.raw_airports(spark, sf_dir))
 
 
+def _marked_lookups(spark, sf_dir) -> Lookups:
+    """Every code book, with labels of every invalid class."""
+    return Lookups(country=dt.marked_country_lookup(spark, sf_dir), port=dt.port_lookup(spark),
+                   state=dt.state_lookup(spark, sf_dir))
+
+
 def quality_fact_decodes(spark, sf_dir):
-    return arrivals_decode_report(dt.raw_arrivals(spark, sf_dir), _lookups(spark, sf_dir))
+    return arrivals_decode_report(dt.raw_arrivals(spark, sf_dir), _marked_lookups(spark, sf_dir))
 
 
 def quality_contract_keys(spark, sf_dir):
@@ -522,18 +595,20 @@ def stream_monthly_drops(spark, sf_dir):
 
 
 def publish_report(spark, sf_dir):
+    """All four tables written and checked: rows, keys, rejects and codes."""
     tables = {
         "immigration": build_fact(spark, sf_dir),
         "demographics": build_dimension_state(spark, sf_dir),
         "temperature": build_temperature(dt.raw_temperature(spark, sf_dir)),
         "airports": build_dimension_filtered(spark, sf_dir),
     }
-    return publish(spark, tables, scratch_path(spark, "publish"))
+    return publish(spark, tables, scratch_path(spark, "publish"), decodes=quality_fact_decodes(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
     "arrivals_by_nation_month": arrivals_by_nation_month,
     "scan_csv_header": scan_csv_header,
+    "scan_csv_mixed_headers": scan_csv_mixed_headers,
     "scan_csv_semicolon": scan_csv_semicolon,
     "scan_by_format": scan_by_format,
     "scan_csv_inferred": scan_csv_inferred,
@@ -552,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "drop_null_any": drop_null_any,
     "filter_equals": filter_equals_q,
     "decode_left": decode_left,
+    "decode_int_text": decode_int_text,
     "decode_string_key": decode_string_key,
     "decode_with_default": decode_with_default,
     "decode_role_playing": decode_role_playing,
@@ -570,6 +646,8 @@ QUERIES: dict[str, Query] = {
     "star_by_state": star_by_state,
     "star_by_state_count": star_by_state_count,
     "star_by_country": star_by_country,
+    "star_enriched": star_enriched,
+    "star_state_month": star_state_month,
     "quality_non_empty": quality_non_empty,
     "quality_duplicate_keys": quality_duplicate_keys,
     "quality_key_summary": quality_key_summary,

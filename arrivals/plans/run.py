@@ -17,20 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 from arrivals.plans.builds import (
     Lookups,
     RawInputs,
+    arrivals_decode_report,
     build_airports,
     build_all,
     build_arrivals,
     build_demographics,
     build_temperature,
     publish,
+    read_raw_arrivals,
 )
 from arrivals.schemas import (
-    ARRIVALS,
+    OPTIONAL_AIRPORTS_COLUMNS,
     RAW_AIRPORTS_COLUMNS,
-    RAW_ARRIVALS_COLUMNS,
     RAW_DEMOGRAPHICS_COLUMNS,
     RAW_TEMPERATURE_COLUMNS,
 )
+from arrivals.session import apply_cluster_conf
 from arrivals.sources.readers import read_table
 from arrivals.sources.sinks import refresh_months, write_parquet
 
@@ -42,17 +44,19 @@ def run_etl(
     output_root: str,
     decode_port: bool = False,
     decode_state: bool = False,
+    replace_fact: bool = False,
 ) -> DataFrame:
     """Build the four tables, write them under ``output_root`` and return the
-    (already checked) quality report of what was written."""
-    tables = build_all(spark, inputs, lookups)
-    if decode_port or decode_state:
-        raw = read_table(spark, inputs.arrivals, inputs.fmt, columns=RAW_ARRIVALS_COLUMNS, allow_missing=True)
-        tables[ARRIVALS.name] = build_arrivals(raw, lookups, decode_port=decode_port, decode_state=decode_state)
-    return publish(spark, tables, output_root)
+    (already checked) quality report of this run: rows, keys, rejected rows, and
+    codes without a valid label. ``replace_fact`` replaces the fact as a whole
+    (a corrected full load) instead of month by month."""
+    tables = build_all(spark, inputs, lookups, decode_port=decode_port, decode_state=decode_state)
+    decodes = arrivals_decode_report(read_raw_arrivals(spark, inputs.arrivals, inputs.fmt), lookups)
+    return publish(spark, tables, output_root, replace_fact=replace_fact, decodes=decodes)
 
 
 # --- one call per dataset: (spark, input_path, output_path, input_format) -------------
+# Fixed names: the public entry points that callers of the original use.
 
 def process_immigration(
     spark: SparkSession,
@@ -63,33 +67,40 @@ def process_immigration(
     country_lookup: str,
     mode_lookup: str | None = None,
     visa_lookup: str | None = None,
+    port_lookup: str | None = None,
+    state_lookup: str | None = None,
+    replace: bool = False,
 ) -> None:
-    """Raw arrivals -> fact table at ``output_path`` (months refreshed, not appended).
+    """Raw arrivals -> fact table at ``output_path`` (months refreshed, not appended; ``replace`` replaces all).
 
     Code books are passed explicitly (files with a code and a label column);
-    mode and visa default to the fixed books.
+    mode and visa default to the fixed books, port and state are decoded where
+    their book is given.
     """
-    raw = read_table(spark, input_path, input_format, columns=RAW_ARRIVALS_COLUMNS, allow_missing=True)
-    lookups = Lookups.from_files(spark, country=country_lookup, mode=mode_lookup, visa=visa_lookup)
-    refresh_months(build_arrivals(raw, lookups), output_path)
+    raw = read_raw_arrivals(spark, input_path, input_format)
+    lookups = Lookups.from_files(spark, country=country_lookup, mode=mode_lookup, visa=visa_lookup,
+                                 port=port_lookup, state=state_lookup)
+    fact = build_arrivals(raw, lookups, decode_port=port_lookup is not None, decode_state=state_lookup is not None)
+    refresh_months(fact, output_path, load=input_path, replace=replace)
 
 
 def process_demographics(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
     """Raw city demographics (``;``-separated when CSV) -> demographics table."""
     opts = {"sep": ";"} if input_format == "csv" else {}
-    raw = read_table(spark, input_path, input_format, columns=RAW_DEMOGRAPHICS_COLUMNS, allow_missing=True, **opts)
+    raw = read_table(spark, input_path, input_format, columns=RAW_DEMOGRAPHICS_COLUMNS, **opts)
     write_parquet(build_demographics(raw), output_path)
 
 
 def process_temperature(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
     """Raw city temperatures -> one row per country."""
-    raw = read_table(spark, input_path, input_format, columns=RAW_TEMPERATURE_COLUMNS, allow_missing=True)
+    raw = read_table(spark, input_path, input_format, columns=RAW_TEMPERATURE_COLUMNS)
     write_parquet(build_temperature(raw), output_path)
 
 
 def process_airports(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
     """Raw airport codes -> US airports with a state column."""
-    raw = read_table(spark, input_path, input_format, columns=RAW_AIRPORTS_COLUMNS, allow_missing=True)
+    raw = read_table(spark, input_path, input_format, columns=RAW_AIRPORTS_COLUMNS,
+                     allow_missing=OPTIONAL_AIRPORTS_COLUMNS)
     write_parquet(build_airports(raw), output_path)
 
 
@@ -100,14 +111,17 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("mode-lookup", "visa-lookup", "port-lookup", "state-lookup"):
         p.add_argument(f"--{name}")
     p.add_argument("--format", default="csv")
+    p.add_argument("--replace-fact", action="store_true")
+    p.add_argument("--input-gb", type=float, help="raw input size; sizes the shuffles")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("arrivals-build").getOrCreate()
+    apply_cluster_conf(spark, a.input_gb)
     lookups = Lookups.from_files(spark, country=a.country_lookup, mode=a.mode_lookup, visa=a.visa_lookup,
                                  port=a.port_lookup, state=a.state_lookup)
     inputs = RawInputs(a.arrivals, a.demographics, a.temperature, a.airports, a.format)
     report = run_etl(spark, inputs, lookups, a.output,
-                     decode_port=a.port_lookup is not None, decode_state=a.state_lookup is not None)
-    report.show(truncate=False)
+                     decode_port=a.port_lookup is not None, decode_state=a.state_lookup is not None, replace_fact=a.replace_fact)
+    report.show(200, truncate=False)
 
 
 if __name__ == "__main__":

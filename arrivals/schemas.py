@@ -41,10 +41,6 @@ def sql_string(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def text_schema(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-
-
 S, I, D, DT = T.StringType(), T.IntegerType(), T.DoubleType(), T.DateType()
 
 # --- raw inputs (all text) -------------------------------------------------
@@ -64,6 +60,12 @@ UNUSED_ARRIVALS_COLUMNS = [
     "dtadfile", "visapost", "occup", "entdepu", "insnum",
 ]
 
+# Raw arrivals columns the fact needs; a file may lack any other.
+REQUIRED_ARRIVALS_COLUMNS = [
+    c for c in RAW_ARRIVALS_COLUMNS if c not in (*UNUSED_ARRIVALS_COLUMNS, "visapost")
+]
+OPTIONAL_ARRIVALS_COLUMNS = [c for c in RAW_ARRIVALS_COLUMNS if c not in REQUIRED_ARRIVALS_COLUMNS]
+
 RAW_DEMOGRAPHICS_COLUMNS = [
     "City", "State", "Median Age", "Male Population", "Female Population",
     "Total Population", "Number of Veterans", "Foreign-born", "Average Household Size",
@@ -77,6 +79,9 @@ RAW_AIRPORTS_COLUMNS = [
     "municipality", "gps_code", "iata_code", "local_code", "coordinates",
 ]
 
+# Airport columns that may be null throughout (a JSON file then has no such field).
+OPTIONAL_AIRPORTS_COLUMNS = ["elevation_ft", "continent", "municipality", "gps_code", "iata_code", "local_code", "coordinates"]
+
 # --- target tables ----------------------------------------------------------
 
 ARRIVALS = Contract(
@@ -116,7 +121,8 @@ AIRPORTS = Contract(
     key=("ident",),
 )
 
-TARGETS = {c.name: c for c in (ARRIVALS, TEMPERATURE, DEMOGRAPHICS, AIRPORTS)}
+# The state's name, which a fact built with the state book holds beside the code.
+STATE_NAME = "arrival_state_name"
 
 # Lookup tables: always (code, label) after reading, whatever the header says.
 LOOKUP_SCHEMA = _struct(("code", S), ("label", S))

@@ -17,24 +17,33 @@ from pyspark.sql import SparkSession
 # AQE re-plans at run time: it coalesces the many shuffle partitions to the
 # advisory size, turns joins whose measured side is small into broadcast
 # joins, and splits skewed partitions of sort-merge joins and rebalanced
-# writes. Shuffle partitions are set high and left to AQE to coalesce.
+# writes. AQE merges small shuffle partitions but splits only skewed ones, so
+# their number follows the input (SHUFFLE_PARTITION_BYTES each).
+SHUFFLE_PARTITION_BYTES = 256 << 20
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
-def apply_cluster_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings of the cluster profile on a session."""
+def apply_cluster_conf(spark: SparkSession, input_gb: float | None = None) -> None:
+    """Set the runtime SQL settings of the cluster profile on a session.
+
+    With the size of the input the shuffles get a partition per 256 MB of it
+    (100 TB: 390 625), never fewer than the session has; without it the
+    session's own number stays.
+    """
     for k, v in CLUSTER_CONF.items():
         spark.conf.set(k, v)
+    if input_gb:
+        have = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(have, round(input_gb * 1e9 / SHUFFLE_PARTITION_BYTES))))
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "arrivals") -> SparkSession:

@@ -33,19 +33,18 @@ def literal_path(path: str) -> str:
     return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
 
 
-def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def file_headers(spark: SparkSession, path: str | list[str], **options: str) -> dict[str, list[str]]:
     """First line -> the files that start with it.
 
     One small task per split (packing is switched off for this job), which
     stops after one row; files without a line have no header and no rows.
     """
+    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
     reader = spark.read.options(**{k: v for k, v in options.items() if k in _FILE_OPTIONS})
     lines = reader.text(_paths(path)).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
@@ -54,7 +53,7 @@ def file_headers(spark: SparkSession, path: str | list[str], **options: str) ->
     spark.conf.set(packing, spark.conf.get("spark.sql.files.maxPartitionBytes"))
     try:
         # The start is tested after the first row is taken: a filter below would read later splits to their end.
-        rows = lines.mapInArrow(_first_row, lines.schema).where("start = 0").collect()
+        rows = lines.mapInArrow(first_row, lines.schema).where("start = 0").collect()
     finally:
         spark.conf.set(packing, before)
     out: dict[str, list[str]] = {}

@@ -6,7 +6,9 @@ its task is retried; nothing is staged on a machine-local disk.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,17 +108,29 @@ def create_table(spark: SparkSession, table: str, contract: Contract | T.StructT
     replace_table(empty, table, path)
 
 
+def rejects_path(path: str) -> str:
+    """Where ``refresh_months`` keeps the rows of a table that have no month."""
+    return path.rstrip("/") + "_rejects"
+
+
 def refresh_months(
     df: DataFrame,
     path: str,
     partition_cols: Iterable[str] = ("year", "month"),
     rebalance: bool = True,
+    load: str | None = None,
+    replace: bool = False,
 ) -> None:
     """Idempotent refresh of the months present in ``df``.
 
     Dynamic partition overwrite replaces exactly the ``year=/month=``
     directories the new rows touch and leaves every other month alone, so a
-    re-run of a month never duplicates it.
+    re-run of a month never duplicates it. ``replace`` replaces the whole
+    table instead (a corrected full load: months it lacks go).
+
+    Rows without a year or month belong to no month. They are kept beside the
+    table (``rejects_path``) in a partition per ``load``, a name for this input:
+    repeating a load replaces its own rejects, and no load replaces another's.
 
     With ``rebalance`` (default) the rows are clustered by month through the
     ``REBALANCE`` hint before writing: AQE sizes the writer partitions to the
@@ -126,11 +140,18 @@ def refresh_months(
     task.
     """
     cols = list(partition_cols)
+    bad = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in cols])
+    good = df.where(~bad)
     if rebalance:
-        df = df.hint("rebalance", *cols)
+        good = good.hint("rebalance", *cols)
+    mode = "static" if replace else "dynamic"
+    good.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*cols).parquet(path)
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*cols)
-        .parquet(path)
+        df.where(bad).withColumn("load", F.lit(load or uuid.uuid4().hex))
+        .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("load").parquet(rejects_path(path))
     )
+
+
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a month-wise table that have no month, with the ``load`` they came from."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("load", T.StringType())])).parquet(rejects_path(path))

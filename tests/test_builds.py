@@ -106,9 +106,11 @@ def test_temperature_rows(built):
     }
 
 
-def test_temperature_plan_has_one_shuffle(spark, write_text):
+def test_temperature_rows_are_combined_before_any_shuffle(spark, write_text):
     raw = read_delimited(spark, write_text("t.csv", TEMPERATURE_CSV))
-    assert plan_text(build_temperature(raw)).count("Exchange hashpartitioning") == 1
+    plan = plan_text(build_temperature(raw))
+    below = plan[plan.rindex("Exchange hashpartitioning"):]
+    assert "partial_sum" in below and "SortAggregate" not in below
 
 
 def test_airports_rows(built):
@@ -120,9 +122,12 @@ def test_airports_rows(built):
 
 def test_publish_writes_and_checks(spark, built, tmp_path):
     report = publish(spark, built, str(tmp_path / "out"))
-    assert {r.table_name: r.row_count for r in report.collect()} == {
+    rows = {(r.table_name, r.check_name): (r.n_rows, r.passed) for r in report.collect()}
+    assert {t: n for (t, c), (n, _) in rows.items() if c == "rows"} == {
         "immigration": 3, "demographics": 2, "temperature": 3, "airports": 3,
     }
+    assert all(rows[t, "duplicate_keys"] == (0, True) for t in built)
+    assert rows["immigration", "rejected"] == (0, True)
     fact = spark.read.parquet(str(tmp_path / "out" / "immigration"))
     assert sorted(fact.columns) == sorted(ARRIVALS.columns)
     from arrivals.plans.builds import read_published
@@ -160,10 +165,13 @@ def test_run_etl_with_port_and_state_decodes(spark, write_text, tmp_path):
         state=write_text("state.csv", STATE_CSV),
     )
     report = run_etl(spark, inputs, lookups, str(tmp_path / "out"), decode_port=True, decode_state=True)
-    assert all(r.passed for r in report.collect())
-    fact = spark.read.parquet(str(tmp_path / "out" / "immigration"))
-    got = sorted((r.ID, r.port_of_admission, r.arrival_state) for r in fact.collect())
-    assert got == [(1, "NEW YORK, NY", "NEW YORK"), (2, "LOS ANGELES, CA", "CALIFORNIA"), (4, None, "other")]
+    rows = {(r.check_name, r.column_name): r.n_rows for r in report.collect() if r.table_name == "immigration"}
+    assert rows["unmatched", "port"] == 1 and rows["unmatched", "state"] == 1 and rows["invalid", "native_country"] == 0
+    from arrivals.plans.builds import read_published
+
+    fact = read_published(spark, str(tmp_path / "out"), "immigration")
+    got = sorted((r.ID, r.port_of_admission, r.arrival_state, r.arrival_state_name) for r in fact.collect())
+    assert got == [(1, "NEW YORK, NY", "NY", "NEW YORK"), (2, "LOS ANGELES, CA", "CA", "CALIFORNIA"), (4, None, "FL", "other")]
 
 
 def test_enriched_star_keeps_fact_rows(spark, built):
@@ -230,7 +238,8 @@ def test_command_line_runner(write_text, tmp_path):
     res = subprocess.run(cmd, cwd=root, capture_output=True, text=True, timeout=600)
     assert res.returncode == 0, res.stderr[-2000:]
     assert "immigration" in res.stdout and "true" in res.stdout
-    assert sorted(p.name for p in out.iterdir()) == ["airports", "demographics", "immigration", "temperature"]
+    assert sorted(p.name for p in out.iterdir()) == [
+        "airports", "demographics", "immigration", "immigration_rejects", "temperature"]
 
 
 def test_per_dataset_calls(spark, write_text, tmp_path):
@@ -244,3 +253,48 @@ def test_per_dataset_calls(spark, write_text, tmp_path):
     process_airports(spark, write_text("p.csv", AIRPORTS_CSV), str(out / "airports"))
     counts = {n: spark.read.parquet(str(out / n)).count() for n in ("immigration", "demographics", "temperature", "airports")}
     assert counts == {"immigration": 3, "demographics": 2, "temperature": 3, "airports": 3}
+
+
+def _inputs(write_text, **other):
+    texts = {"arrivals": ARRIVALS_CSV, "demographics": DEMOGRAPHICS_CSV, "temperature": TEMPERATURE_CSV, "airports": AIRPORTS_CSV}
+    return RawInputs(**{k: write_text(f"{k}.csv", t) for k, t in (texts | other).items()})
+
+
+def test_a_file_with_the_wrong_header_is_an_error(spark, write_text):
+    lookups = Lookups.from_files(spark, country=write_text("country.csv", COUNTRY_CSV))
+    with pytest.raises(ValueError, match="AverageTemperature.*temperature.csv"):
+        build_all(spark, _inputs(write_text, temperature="Country;T\nx;1\n".replace(";", ",")), lookups)
+
+
+def test_header_case_does_not_matter(spark, write_text):
+    lookups = Lookups.from_files(spark, country=write_text("country.csv", COUNTRY_CSV))
+    upper = ARRIVALS_CSV.replace(ARRIVALS_CSV.split("\n")[0], ARRIVALS_CSV.split("\n")[0].upper())
+    fact = build_all(spark, _inputs(write_text, arrivals=upper), lookups)["immigration"]
+    assert sorted(r.arrival_state for r in fact.collect()) == ["CA", "FL", "NY"]
+
+
+def test_an_empty_fact_fails_by_name_on_new_and_old_roots(spark, built, tmp_path):
+    empty = dict(built, immigration=built["immigration"].where("ID < 0"))
+    for root in (str(tmp_path / "new"), str(tmp_path / "old")):
+        if root.endswith("old"):
+            publish(spark, built, root)
+        with pytest.raises(ValueError, match="immigration"):
+            publish(spark, empty, root)
+
+
+def test_replacing_the_fact_removes_vanished_months(spark, built, tmp_path):
+    root = str(tmp_path / "out")
+    may = built["immigration"].withColumn("month", F.lit(5))
+    publish(spark, dict(built, immigration=built["immigration"].unionByName(may)), root)
+    publish(spark, built, root)
+    assert {r.month for r in spark.read.parquet(f"{root}/immigration").collect()} == {4, 5}
+    publish(spark, built, root, replace_fact=True)
+    assert {r.month for r in spark.read.parquet(f"{root}/immigration").collect()} == {4}
+
+
+def test_rows_without_a_month_are_counted_and_kept(spark, built, tmp_path):
+    root = str(tmp_path / "out")
+    lost = built["immigration"].withColumn("month", F.when(F.col("ID") != 2, F.col("month")))
+    rows = {(r.check_name): r.n_rows for r in publish(spark, dict(built, immigration=lost), root).collect()
+            if r.table_name == "immigration"}
+    assert rows["rows"] == 2 and rows["rejected"] == 1

@@ -59,3 +59,10 @@ def test_normalise_text_no_break_space(spark):
     assert got == ["NEW YORK", "ALC", None]
     # plain trim keeps the no-break spaces
     assert df.select(F.trim("s")).first()[0] == "\u00a0NEW\u00a0YORK\u00a0"
+
+
+def test_recode_compares_text_codes_as_numbers(spark):
+    from arrivals.plans.codebooks import MODE_RECODE
+
+    df = spark.createDataFrame([("1.0",), ("2",), ("x",), ("",), (None,), ("4.0",)], "c string")
+    assert [r[0] for r in df.select(recode("c", MODE_RECODE)).collect()] == ["air", "see", "x", "", None, "4.0"]

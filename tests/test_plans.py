@@ -44,7 +44,7 @@ def test_star_links_broadcast_dimension_at_scale(no_auto_broadcast):
         assert "BroadcastHashJoin" in plan, name
 
 
-def test_star_link_checks_materialized_dimension(spark):
+def test_star_link_checks_the_dimension(spark):
     fact = spark.createDataFrame([(1, "CA"), (2, "NY"), (3, "TX")], "id int, st string")
     dim_src = spark.createDataFrame([("CA", 5), ("CA", 7), ("NY", 1)], "st string, n int")
     dim = to_link_grain(dim_src, "st", {"total": F.sum("n")})
@@ -145,3 +145,51 @@ def test_hot_key_in_row_level_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_size_check_sends_one_row_per_task(spark):
+    from arrivals.operators.decode import size_aggregate
+
+    plan = plan_text(size_aggregate(spark.range(1000, numPartitions=8).withColumn("label", F.lit("abc"))))
+    assert "Limit" not in plan
+    assert plan.index("partial_count") > plan.index("Exchange SinglePartition")
+
+
+def test_broadcast_is_bounded_by_bytes_too(spark):
+    from arrivals.operators.decode import fits_broadcast
+
+    wide = spark.range(100).withColumn("label", F.repeat(F.lit("x"), 1000))
+    assert fits_broadcast(wide) and not fits_broadcast(wide, max_bytes=50_000) and not fits_broadcast(wide, max_rows=99)
+
+
+def test_decode_beyond_the_bounds_needs_no_checkpoint(spark, monkeypatch):
+    from arrivals import session
+    from arrivals.operators import decode as module
+
+    monkeypatch.setattr(session, "scratch_root", lambda s: (_ for _ in ()).throw(RuntimeError("no folder")))
+    book = spark.range(50).select(F.col("id").cast("string").alias("code"), F.col("id").cast("string").alias("label"))
+    out = module.decode(spark.range(60).withColumn("c", F.col("id").cast("string")), "c", book, "l", max_broadcast_rows=10)
+    assert out.where("l IS NOT NULL").count() == 50
+
+
+def test_null_profile_never_shuffles_texts(no_auto_broadcast):
+    plan = plan_text(QUERIES["null_profile"](no_auto_broadcast, SF))
+    join = plan[plan.index("SortMergeJoin"):]
+    flags = [line for line in join.splitlines() if "Project" in line and "isnotnull(text" in line]
+    assert flags  # reduced to a flag below the exchange
+
+
+def test_flagship_shuffles_the_fact_once(no_auto_broadcast):
+    plan = plan_text(QUERIES["arrivals_by_nation_month"](no_auto_broadcast, SF))
+    assert len(re.findall(r"Exchange hashpartitioning\(o_custkey", plan)) == 1
+
+
+def test_labels_of_one_book_share_scan_and_join(no_auto_broadcast):
+    plan = plan_text(QUERIES["decode_left"](no_auto_broadcast, SF))
+    assert len(re.findall(r"\bBroadcastHashJoin|SortMergeJoin", plan)) == 1
+
+
+def test_normalised_star_link_never_multiplies_the_fact(spark):
+    fact = spark.createDataFrame([(1, "mexico")], "id int, c string")
+    dim = spark.createDataFrame([("MEXICO", 2), ("Mexico", 1)], "link_key string, t int")
+    assert [(r.id, r.t) for r in star_link(fact, "c", dim, normalise="upper").collect()] == [(1, 1)]

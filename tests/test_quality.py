@@ -51,3 +51,10 @@ def test_schema_report_counts_bad_values(spark):
         "year": ("string", "int", False, 2, 0),
         "gender": (None, "string", False, 0, 0),
     }
+
+
+def test_every_class_of_invalid_label_is_counted(spark):
+    labels = ["INVALID: X", "Collapsed (MIA)", "No Country Code (7)", "No PORT Code (ZZ)", "MEXICO", None]
+    df = spark.createDataFrame(list(enumerate(labels)), "code int, label string")
+    r = unmatched_codes(df, {"code": "label"}).first()
+    assert (r.n_rows, r.n_unmatched, r.n_invalid) == (6, 1, 4)
