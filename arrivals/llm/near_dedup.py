@@ -15,12 +15,12 @@ Points later than all registers are never drawn, and a heavy shingle costs the
 logarithm of its weight.
 
 Search: texts with equal words collapse first, by a 128-bit hash. Bands of
-registers bucket the rest; each member of a bucket is verified against the
-bucket's first member, and verified links give components. Members of a bucket
-that are still in different components are then verified with each other (all
-of them against the bucket's largest component and among themselves), so no
-link between components is lost, and members of a large group never pair up
-among each other.
+registers bucket the rest; each member of a bucket is verified against one
+leader, the member that shares most buckets (in a group of near copies that is
+mostly the text they were copied from), and verified links give components.
+Where members of a bucket are still in different components, those outside its
+largest component are compared with all its members, block by block, so no
+link between components is lost; only links leave the tasks, never pairs.
 
 Edge cases: a null text is empty; texts without words form one class; rows with
 one doc_id are separate texts; a null doc_id is ordered last (the class id is
@@ -49,6 +49,7 @@ class NearParams:
     shingle: int = 5
     bands: int = 24
     rows: int = 5       # at similarity 0.8 a pair shares no band with probability (1 - 0.8^5)^24 < 1e-4
+    block: int = 512    # texts of either side in one task of the last comparison
     slice_bytes: int = 2 << 20
 
 
@@ -207,31 +208,81 @@ def near_links(docs: DataFrame, sketched: DataFrame, p: NearParams = NearParams(
     """Verified links (a, b) between word hashes whose components are the near-duplicate classes."""
     one = written(sketched.groupBy("id").agg(F.first("n").alias("n"), F.first("bands").alias("bands")), "near-distinct")
     member = one.filter("n > 0").select("id", "n", F.posexplode("bands").alias("band", "hash"))
-    sizes = member.groupBy("band", "hash").agg(F.count("*").alias("c"), F.min("id").alias("leader")).filter("c > 1")
-    bucket = written(member.join(sizes, ["band", "hash"]), "near-buckets")
-    alike = F.least("n", "n_b") >= F.lit(p.similarity) * F.greatest("n", "n_b")
-
-    leaders = bucket.filter(F.col("id") == F.col("leader")).select("leader", F.col("n").alias("n_b")).distinct()
-    stars = bucket.filter(F.col("id") != F.col("leader")).select("id", "n", "leader").distinct()
-    first = written(
-        stars.join(leaders, "leader").filter(alike).select(F.col("id").alias("a"), F.col("leader").alias("b")),
-        "near-stars")
+    sizes = member.groupBy("band", "hash").agg(F.count("*").alias("size")).filter("size > 1")
+    bucket = written(member.join(sizes, ["band", "hash"]), "near-members")
+    central = bucket.groupBy("id").agg(F.sum("size").alias("central"))
+    bucket = written(bucket.join(central, "id"), "near-buckets")
     texts = written(_texts(docs, sketched, bucket.select("id").distinct()), "near-texts")
-    links = written(_verified(first, texts, p), "near-links")
+    links = written(_verified(written(_star_pairs(bucket, p), "near-stars"), texts, p), "near-links")
 
     label = components(links)
     told = bucket.join(label, F.col("id") == F.col("node"), "left").select(
-        "band", "hash", "id", "n", F.coalesce("label", "id").alias("label"))
+        "band", "hash", "id", "size", F.coalesce("label", "id").alias("label"))
     per = told.groupBy("band", "hash", "label").agg(F.count("*").alias("c"))
-    split = per.groupBy("band", "hash").agg(F.count("*").alias("parts"), F.max_by("label", F.struct("c", "label")).alias("largest"))
-    open_ = written(told.join(split.filter("parts > 1"), ["band", "hash"]), "near-open")
-    other = open_.select("band", "hash", F.col("id").alias("id_b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    cross = open_.filter("label != largest").join(other, ["band", "hash"]).filter(
-        (F.col("label") != F.col("label_b")) & ((F.col("label_b") == F.col("largest")) | (F.col("id") < F.col("id_b"))) & alike)
-    pairs = cross.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct()
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = written(pairs.join(tried, ["a", "b"], "left_anti"), "near-cross")
-    return links.union(_verified(rest, texts, p))
+    split = per.groupBy("band", "hash").agg(
+        F.count("*").alias("parts"), F.max_by("label", F.struct("c", "label")).alias("largest"), F.max("c").alias("c"))
+    open_ = written(told.join(split.filter("parts > 1").select("band", "hash", "largest", "c"), ["band", "hash"]), "near-open")
+    return links.union(written(_cross_links(open_, texts, p), "near-cross"))
+
+
+def _star_pairs(bucket: DataFrame, p: NearParams) -> DataFrame:
+    """Every member of a bucket with its most central member, where their sizes allow the similarity."""
+    leader = bucket.groupBy("band", "hash").agg(F.max(F.struct("central", "id", "n")).alias("l")).select(
+        "band", "hash", F.col("l.id").alias("id_b"), F.col("l.n").alias("n_b"))
+    alike = F.least("n", "n_b") >= F.lit(p.similarity) * F.greatest("n", "n_b")
+    pairs = bucket.join(leader, ["band", "hash"]).filter((F.col("id") != F.col("id_b")) & alike)
+    return pairs.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct()
+
+
+def _cross_links(open_: DataFrame, texts: DataFrame, p: NearParams) -> DataFrame:
+    """Links between components that share a bucket: its members outside the largest component with all members.
+
+    Both sides are dealt into blocks of about ``block`` texts; a task gets one
+    block of either and intersects all their multisets at once.
+    """
+    outside = F.col("label") != F.col("largest")
+    open_ = open_.withColumns({
+        "n_left": F.ceil((F.col("size") - F.col("c")) / p.block), "n_right": F.ceil(F.col("size") / p.block)})
+    spot = F.xxhash64("id")
+    left = open_.filter(outside).withColumns({
+        "side": F.lit(True), "i": F.pmod(spot, "n_left"), "j": F.explode(F.sequence(F.lit(0), F.col("n_right") - 1))})
+    right = open_.withColumns({
+        "side": F.lit(False), "j": F.pmod(spot, "n_right"), "i": F.explode(F.sequence(F.lit(0), F.col("n_left") - 1))})
+    columns = ["band", "hash", "i", "j", "side", "id", "label"]
+    rows = left.select(*columns).union(right.select(*columns)).join(texts, "id")
+    return rows.groupBy("band", "hash", "i", "j").applyInArrow(_block_links(p), "a binary, b binary").distinct()
+
+
+def _block_links(p: NearParams):
+    def run(group: pa.Table) -> pa.Table:
+        batch = group.select(["side", "id", "label", "text"]).combine_chunks().to_batches()[0]
+        data, offsets = text_column(batch)
+        data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
+        words, first = word_values(data, offsets[:-1], offsets[1:])
+        doc, value, weight = shingle_bags(words, first, p.shingle)
+        side = np.asarray(batch.column("side"))
+        ids, labels = batch.column("id").to_pylist(), batch.column("label").to_pylist()
+        number = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+        label = np.array([number[x] for x in labels])
+        total = np.bincount(doc, weight, len(ids))
+        start = np.searchsorted(doc, np.arange(len(ids) + 1))
+        theirs = np.flatnonzero(~side[doc])
+        theirs = theirs[np.argsort(value[theirs], kind="stable")]
+        shelf, owner, copies = value[theirs], doc[theirs], weight[theirs]
+        a, b = [], []
+        for x in np.flatnonzero(side):
+            own = slice(start[x], start[x + 1])
+            lo, hi = np.searchsorted(shelf, value[own], "left"), np.searchsorted(shelf, value[own], "right")
+            n = hi - lo
+            at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+            both = np.bincount(owner[at], np.minimum(copies[at], np.repeat(weight[own], n)), len(ids))
+            near = (both >= p.similarity * (total + total[x] - both)) & (both > 0) & (label != label[x])
+            for y in np.flatnonzero(near):
+                a.append(min(ids[x], ids[y]))
+                b.append(max(ids[x], ids[y]))
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return run
 
 
 def near_classes(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
