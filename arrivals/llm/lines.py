@@ -12,11 +12,12 @@ Method: distinct lines are cut into ``threshold + 1`` segments. Within
 may match, the few substrings that the multi-match-aware windows allow. The
 surviving pairs are verified by a banded bit-parallel edit automaton.
 
-A segment shared by many lines (a template) would pair them all: such hot keys
-are refined instead. What is left of both lines after the shared segment must
-itself lie within ``threshold`` edits, so the same segment join is applied to
-the rests, under the hot key, level by level. Nothing is dropped: on the last
-level (rests too short to cut) remaining pairs are all verified.
+A segment shared by many lines (a template) pairs them all. Every line has a
+signature, the parity of its character pairs over 64 bits: an edit changes at
+most four pairs, so lines within ``threshold`` edits differ in at most
+``4 * threshold`` bits. For hot keys that test is part of the join, so only pairs
+that pass it leave the join; for all others it comes before the verification.
+It never drops a true pair.
 
 Edge cases: a null or blank text has no lines; rows with equal doc_id and text
 are one document and share its result; a null doc_id counts as the largest;
@@ -38,8 +39,7 @@ from arrivals.llm.common import BLANKS, bind, text_or_empty, written
 class LineParams:
     threshold: int = 2
     min_fuzzy: int = 30     # characters
-    hot: int = 64           # index rows of one key beyond which it is refined
-    levels: int = 4
+    hot: int = 64           # index rows of one key beyond which the signature joins in
 
 
 def _place(doc_id: Column, pos: Column) -> Column:
@@ -80,13 +80,28 @@ def _probe_shapes(threshold: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def signature(line: Column) -> Column:
+    """Bit ``h`` is set if an odd number of neighbouring character pairs hash to ``h`` (of 64)."""
+    def parity(chars: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(0), F.size(chars) - 2), F.lit(0).cast("long"),
+            lambda acc, i: acc.bitwiseXOR(F.call_function(
+                "shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(F.get(chars, i), F.get(chars, i + 1)), F.lit(64)))))
+
+    return F.when(F.length(line) < 2, F.lit(0).cast("long")).otherwise(bind(F.split(line, ""), parity))
+
+
+def _may_be_near(a: Column, b: Column, threshold: int) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= 4 * threshold
+
+
 def _exploded(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) -> DataFrame:
-    """(lid, text, key, start, size) from rows (lid, group, text, len): one row per line and shape.
+    """(lid, key) from rows (lid, text, len): one row per line and shape.
 
     A segment is an even share of the line; the last ``length mod parts`` segments are one character longer.
     """
     listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("shorter"), F.lit(s).alias("shift")) for i, d, s in shapes])
-    df = rows.withColumn("shape", F.explode(listed)).select("lid", "group", "text", "len", "shape.*")
+    df = rows.withColumn("shape", F.explode(listed)).select("lid", "text", "len", "shape.*")
     df = df.withColumn("target", F.col("len") - F.col("shorter"))
     longer = F.col("target") % parts
     base = F.expr(f"target div {parts}").cast("int")
@@ -95,48 +110,30 @@ def _exploded(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) -
     df = df.withColumns({"start": start, "size": size})
     df = df.filter((F.col("target") >= parts) & (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("len")))
     piece = F.substring("text", F.col("start") + 1, F.col("size"))
-    return df.select("lid", "text", F.xxhash64("group", "target", "i", piece).alias("key"), "start", "size")
-
-
-def _rest(rows: DataFrame) -> DataFrame:
-    """What is left of each text beside its matched piece, grouped by the key."""
-    rest = F.concat(F.substring("text", F.lit(1), F.col("start")), F.expr("substring(text, start + size + 1)"))
-    return rows.select("lid", F.col("key").alias("group"), rest.alias("text")).withColumn("len", F.length("text"))
+    return df.select("lid", F.xxhash64("target", "i", piece).alias("key"))
 
 
-def _paired(index: DataFrame, probes: DataFrame) -> DataFrame:
-    a = index.select("key", F.col("lid").alias("a"))
-    b = probes.select("key", F.col("lid").alias("b"))
-    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") != F.col("b")))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _paired(index: DataFrame, probes: DataFrame, near: Column) -> DataFrame:
+    a, b = (x.select("key", *[F.col(c).alias(f"{c}_{side}") for c in x.columns if c != "key"])
+            for x, side in ((index, "a"), (probes, "b")))
+    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("lid_a") != F.col("lid_b")) & near)
+    return pairs.select(F.least("lid_a", "lid_b").alias("a"), F.greatest("lid_a", "lid_b").alias("b")).distinct()
 
 
 def candidate_pairs(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame:
-    """Distinct (a, b) line ids that share an indexed segment, hot segments refined."""
-    rows = lines.filter(F.col("len") >= p.min_fuzzy).select(
-        "lid", F.lit(0).cast("long").alias("group"), F.col("line").alias("text"), "len")
-    left, right, found = rows, rows, None
-    for level in range(p.levels):
-        index = _exploded(left, _index_shapes(p.threshold), p.threshold + 1)
-        probes = _exploded(right, _probe_shapes(p.threshold), p.threshold + 1)
-        if level == p.levels - 1:
-            hot = None
-        else:
-            hot = written(index.groupBy("key").count().filter(F.col("count") > p.hot).select("key"), "lines-hot")
-            if hot.isEmpty():
-                hot = None
-        cold = [x if hot is None else x.join(hot, "key", "left_anti") for x in (index, probes)]
-        pairs = written(_paired(*cold), "lines-pairs")
-        found = pairs if found is None else found.union(pairs)
-        if hot is None:
-            break
-        # Rests shorter than one character per segment have nothing to cut: pair them under the hot key itself.
-        rests = [written(_rest(x.join(hot, "key", "left_semi")).distinct(), "lines-rest") for x in (index, probes)]
-        short = [r.filter(F.col("len") <= 3 * p.threshold).withColumnRenamed("group", "key") for r in rests]
-        near = [r.withColumnRenamed("group", "key") for r in rests]
-        found = found.union(_paired(short[0], near[1].filter(F.col("len") <= 4 * p.threshold)))
-        left, right = (r.filter(F.col("len") > 3 * p.threshold) for r in rests)
-    return found.distinct()
+    """Distinct (a, b) line ids that share an indexed segment (and, on hot segments, have near signatures)."""
+    rows = lines.filter(F.col("len") >= p.min_fuzzy).select("lid", F.col("line").alias("text"), "len")
+    index = _exploded(rows, _index_shapes(p.threshold), p.threshold + 1)
+    probes = _exploded(rows, _probe_shapes(p.threshold), p.threshold + 1)
+    hot = written(index.groupBy("key").count().filter(F.col("count") > p.hot).select("key"), "lines-hot")
+    if hot.isEmpty():
+        return _paired(index, probes, F.lit(True))
+    cold = _paired(*[x.join(hot, "key", "left_anti") for x in (index, probes)], F.lit(True))
+    hot_rows = [written(x.join(hot, "key", "left_semi"), "lines-hot-rows") for x in (index, probes)]
+    ids = hot_rows[0].select("lid").union(hot_rows[1].select("lid")).distinct()
+    signed = written(lines.join(ids, "lid", "left_semi").select("lid", signature(F.col("line")).alias("sig")), "lines-signed")
+    near = _may_be_near(F.col("sig_a"), F.col("sig_b"), p.threshold)
+    return cold.union(_paired(*[x.join(signed, "lid") for x in hot_rows], near)).distinct()
 
 
 def within_edits(a: Column, b: Column, threshold: int) -> Column:
@@ -192,10 +189,13 @@ def line_links(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """(first, earlier): a line's first place, and that of a different line within the threshold before it."""
     pairs = written(candidate_pairs(lines, p), "lines-candidates")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
-    texts = written(lines.select("lid", "line", "first").join(ids, "lid", "left_semi"), "lines-texts")
-    a, b = (texts.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}"), F.col("first").alias(f"first_{c}"))
+    texts = lines.join(ids, "lid", "left_semi").select("lid", "line", "first", signature(F.col("line")).alias("sig"))
+    texts = written(texts, "lines-texts")
+    a, b = (texts.select(F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("line", "first", "sig")])
             for c in ("a", "b"))
-    near = pairs.join(a, "a").join(b, "b").filter(within_edits(F.col("line_a"), F.col("line_b"), p.threshold))
+    close = _may_be_near(F.col("sig_a"), F.col("sig_b"), p.threshold)
+    near = pairs.join(a, "a").join(b, "b").filter(
+        close & F.when(close, within_edits(F.col("line_a"), F.col("line_b"), p.threshold)))
     return near.select(F.greatest("first_a", "first_b").alias("first"), F.least("first_a", "first_b").alias("earlier"))
 
 

@@ -72,7 +72,7 @@ def test_edit_join_matches_all_pairs(spark, hot):
     assert order(got) == order(brute(rows, p))
 
 
-def test_refined_hot_segments_lose_no_pair(spark):
+def test_hot_segments_lose_no_pair(spark):
     lines = written(distinct_lines(spark.createDataFrame(line_table(9), "doc_id long, text string")), "t")
     text = {r.lid: r.line for r in lines.collect()}
     for hot in (1, 3):
