@@ -13,7 +13,7 @@ from tests.conftest import plan_text
 
 ARRIVALS_CSV = """\
 ,cicid,i94yr,i94mon,i94cit,i94res,i94port,arrdate,i94mode,i94addr,depdate,i94bir,i94visa,count,dtadfile,visapost,occup,entdepa,entdepd,entdepu,matflag,biryear,dtaddto,gender,insnum,airline,admnum,fltno,visatype
-0,1.0,2016.0,4.0,101.0,582.0,NYC,20545.0,1.0,NY,20550.0,40.0,2.0,1.0,20160401,,,G,O,,M,1976.0,10292016,M,,AA,55425779830.0,00123,B2
+0,1.0,2016.0,4.0,101.0,582.0,NYC,20545.0,1.0,NY,20550.0,40.0,2.0,1.0,20160401,,,G,O,,M,1976.0,10292016,M,,AA,10000000001.0,00123,B2
 1,2.0,2016.0,4.0,999.0,101.0,LOS,20546.0,5.0,CA,,-4.7,1.0,1.0,20160401,,,G,,,,x,10292016,F,,UA,1.0,00456,WT
 2,3.0,2016.0,4.0,101.0,101.0,MIA,20547.0,,,20560.0,30.0,3.0,1.0,20160401,,,G,O,,M,1986.0,10292016,M,,DL,2.0,00789,F1
 3,4.0,2016.0,4.0,,582.0,SFR,20548.0,9.0,FL,20555.0,,2.0,1.0,20160401,,,G,O,,M,,10292016,F,,,3.0,,
@@ -23,27 +23,27 @@ COUNTRY_CSV = 'Code,Country\n582,"MEXICO"\n101,ALBANIA\n700,"INVALID: STATELESS"
 
 DEMOGRAPHICS_CSV = """\
 City;State;Median Age;Male Population;Female Population;Total Population;Number of Veterans;Foreign-born;Average Household Size;State Code;Race;Count
-Silver Spring;Maryland;33.8;40601.0;41862.0;82463;1562.0;30908.0;2.6;MD;Hispanic or Latino;25924
-Silver Spring;Maryland;33.8;40601.0;41862.0;82463;1562.0;30908.0;2.6;MD;White;37756.0
-Quincy;Massachusetts;41.0;44129;49500;93629;4147;;2.39;MA;White;58723
-Hoover;Alabama;38.5;38040;46799;84839;4819;x;2.58;AL;Asian;4759
-Rancho;California;34.5;;61191;122000;5821;33878;3.18;CA;Black;3000
-Newark;New Jersey;34.6;138040;143873;281913;5829;86253;;NJ;White;76402
+Alder Point;Maryland;33.8;41000.0;42100.0;83100;1500.0;30100.0;2.6;MD;Hispanic or Latino;25000
+Alder Point;Maryland;33.8;41000.0;42100.0;83100;1500.0;30100.0;2.6;MD;White;38000.0
+Birchton;Massachusetts;41.0;44000;49000;93000;4100;;2.39;MA;White;58000
+Cedarville;Alabama;38.5;38100;46000;84100;4800;x;2.58;AL;Asian;4759
+Dunmore;California;34.5;;61000;122000;5800;33000;3.18;CA;Black;3000
+Elmford;New Jersey;34.6;138000;143000;281000;5900;86000;;NJ;White;76000
 """
 
 TEMPERATURE_CSV = """\
 dt,AverageTemperature,AverageTemperatureUncertainty,City,Country,Latitude,Longitude
-1743-11-01,6.068,1.737,Århus,Denmark,57.05N,10.33E
-1743-12-01,,,Århus,Denmark,57.05N,10.33E
-1744-01-01,4.0,1.0,Aalborg,denmark,57.05N,9.0E
-1744-01-01,10.0,1.0,Lyon,France,45.81N,4.84E
-1744-01-01,7.0,1.0,X,,,
+1801-11-01,6.0,1.5,Nordby,Denmark,56.00N,11.00E
+1801-12-01,,,Nordby,Denmark,56.00N,11.00E
+1802-01-01,4.0,1.0,Vesterby,denmark,56.00N,9.0E
+1802-01-01,10.0,1.0,Sudville,France,44.00N,3.00E
+1802-01-01,7.0,1.0,X,,,
 """
 
 AIRPORTS_CSV = """\
 ident,type,name,elevation_ft,continent,iso_country,iso_region,municipality,gps_code,iata_code,local_code,coordinates
-00A,heliport,Total Rf Heliport,11,NA,US,US-PA,Bensalem,00A,,00A,"-74.93, 40.07"
-00AK,small_airport,Lowell Field,450,NA,US,US-AK,Anchor Point,00AK,,00AK,"-151.69, 59.94"
+01A,heliport,Made Up Heliport,11,NA,US,US-PA,Fairplace,01A,,01A,"-70.10, 41.20"
+01AK,small_airport,Invented Field,450,NA,US,US-AK,Coldham,01AK,,01AK,"-150.30, 60.40"
 01CA,closed,X,,NA,CA,CA-ON,,,,,
 02XX,small_airport,Y,,NA,,US-TX,,,,,
 03US,small_airport,Z,,NA,US,US,,,,,
@@ -89,8 +89,8 @@ def test_demographics_rows(built):
     assert demo.columns == DEMOGRAPHICS.columns
     rows = sorted(tuple(r) for r in demo.collect())
     assert rows == [
-        ("Silver Spring", "Maryland", "33.8", 40601, 41862, 82463, 1562, 30908, "2.6", "MD", "Hispanic or Latino", 25924),
-        ("Silver Spring", "Maryland", "33.8", 40601, 41862, 82463, 1562, 30908, "2.6", "MD", "White", 37756),
+        ("Alder Point", "Maryland", "33.8", 41000, 42100, 83100, 1500, 30100, "2.6", "MD", "Hispanic or Latino", 25000),
+        ("Alder Point", "Maryland", "33.8", 41000, 42100, 83100, 1500, 30100, "2.6", "MD", "White", 38000),
     ]
 
 
@@ -100,8 +100,8 @@ def test_temperature_rows(built):
     rows = {r.Country: (round(r.Temperature, 6) if r.Temperature is not None else None, r.Latitude, r.Longitude)
             for r in temp.collect()}
     assert rows == {
-        "DENMARK": (5.034, "57.05N", "10.33E"),
-        "FRANCE": (10.0, "45.81N", "4.84E"),
+        "DENMARK": (5.0, "56.00N", "11.00E"),
+        "FRANCE": (10.0, "44.00N", "3.00E"),
         None: (7.0, None, None),
     }
 
@@ -117,7 +117,7 @@ def test_airports_rows(built):
     air = built["airports"]
     assert air.columns == AIRPORTS.columns
     rows = sorted((r.ident, r.iso_country, r.state) for r in air.collect())
-    assert rows == [("00A", "US", "PA"), ("00AK", "US", "AK"), ("03US", "US", "")]
+    assert rows == [("01A", "US", "PA"), ("01AK", "US", "AK"), ("03US", "US", "")]
 
 
 def test_publish_writes_and_checks(spark, built, tmp_path):
@@ -178,13 +178,13 @@ def test_enriched_star_keeps_fact_rows(spark, built):
     from arrivals.plans.star_views import arrivals_by_state_month, enriched_arrivals
 
     demo = spark.createDataFrame(
-        [("Albany", "NY", 50, 40, 90, 1, 2, "White", 70), ("Albany", "NY", 50, 40, 90, 1, 2, "Asian", 20),
-         ("Buffalo", "NY", 100, 110, 210, 3, 4, "White", 210), ("LA", "CA", 5, 5, 10, 0, 1, "White", 10)],
+        [("Oakton", "NY", 50, 40, 90, 1, 2, "White", 70), ("Oakton", "NY", 50, 40, 90, 1, 2, "Asian", 20),
+         ("Pineburg", "NY", 100, 110, 210, 3, 4, "White", 210), ("LA", "CA", 5, 5, 10, 0, 1, "White", 10)],
         "City string, State_code string, Male_population int, Female_population int, Total_population int, "
         "Number_veterans int, Foreign_born int, Race string, Count int",
     )
     enriched = enriched_arrivals(built["immigration"], demo, built["airports"].union(
-        built["airports"].where("ident = '00A'").withColumn("state", F.lit("NY"))),
+        built["airports"].where("ident = '01A'").withColumn("state", F.lit("NY"))),
         built["temperature"].union(spark.createDataFrame([("Mexico", 21.5, "19N", "99W")], built["temperature"].schema)))
     rows = sorted((r.ID, r.arrival_state, r.Total_population, r.n_cities, r.n_airports, r.residence_temperature)
                   for r in enriched.collect())
