@@ -13,7 +13,7 @@ can repeat each other:
    several contents, some windows of the earliest spans may still repeat:
    those spans are *open*. The keys at the edges of a bucket are settled
    across buckets in a small table.
-2. The windows of open spans are fingerprinted one by one (128 bits) and
+2. The windows of open spans are fingerprinted one by one (96 bits) and
    compared in the same way.
 3. Covered windows are gathered per document and removed.
 
@@ -37,7 +37,10 @@ from arrivals.llm.textbytes import U64, doc_ids, text_column, text_tags
 # One record: its sort words, then where it stands.
 SPAN = np.dtype([("lead", "<u8"), ("key", "<u8"), ("fp", "<u8"), ("doc", "<i8"), ("tag", "<u4"),
                  ("at", "<u4"), ("n", "<u4"), ("own", "u1")])
-WINDOW = np.dtype([("lead", "<u8"), ("key", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("at", "<u4")])
+# A window travels with 96 bits of fingerprint and the number of its text in the blob's list of texts.
+WINDOW = np.dtype([("lead", "<u8"), ("key", "<u4"), ("text", "<u4"), ("at", "<u4")])
+TEXT = np.dtype([("doc", "<i8"), ("tag", "<u4")])
+FOUND = np.dtype([("lead", "<u8"), ("key", "<u4"), ("doc", "<i8"), ("tag", "<u4"), ("at", "<u4")])
 PLACE = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("at", "<u4"), ("n", "<u4")])
 WORDS = ("lead", "key", "fp")
 
@@ -108,16 +111,40 @@ def _dealt(records: np.ndarray, splitters: np.ndarray) -> np.ndarray:
     return low
 
 
-def _blobs(kind: int, buckets: np.ndarray, records: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+def _parts(buckets: np.ndarray, records: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(buckets, kind="stable")
     records, buckets = records[order], buckets[order]
     ends = np.append(np.flatnonzero(np.diff(buckets)) + 1, len(buckets))
     at = 0
     for end in ends if len(buckets) else ():
-        yield kind, int(buckets[at]), pack(records[at:end])
+        yield int(buckets[at]), records[at:end]
         at = end
 
 
+def _blobs(kind: int, buckets: np.ndarray, records: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    return ((kind, b, pack(r)) for b, r in _parts(buckets, records))
+
+
+def _pack_windows(found: np.ndarray) -> bytes:
+    texts, number = np.unique(found[["doc", "tag"]].astype(TEXT), return_inverse=True)
+    r = np.empty(len(found), WINDOW)
+    for f in ("lead", "key", "at"):
+        r[f] = found[f]
+    r["text"] = number
+    return len(texts).to_bytes(4, "little") + pack(texts) + pack(r)
+
+
+def _unpack_windows(blob: bytes) -> np.ndarray:
+    cut = 4 + int.from_bytes(blob[:4], "little") * TEXT.itemsize
+    texts, r = unpack([blob[4:cut]], TEXT), unpack([blob[cut:]], WINDOW)
+    out = np.empty(len(r), FOUND)
+    for f in ("lead", "key", "at"):
+        out[f] = r[f]
+    for f in TEXT.names:
+        out[f] = texts[f][r["text"]]
+    return out
+
+
 def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     kind, bucket, blob = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays(
@@ -246,8 +273,8 @@ def _open_windows(w: Windows, n_buckets: int) -> Callable:
                 seen.add((doc, tag))
                 at = np.repeat(x["at"].astype(np.int64), x["n"]) + _ramp(x["n"])
                 fp1, fp2 = w.fingerprints(data[offsets[i]:offsets[i + 1]], at)
-                r = np.empty(len(at), WINDOW)
-                r["lead"], r["key"], r["doc"], r["tag"], r["at"] = fp1, fp2, doc, tag, at
+                r = np.empty(len(at), FOUND)
+                r["lead"], r["key"], r["doc"], r["tag"], r["at"] = fp1, fp2 >> U64(32), doc, tag, at
                 held.append(r)
         if not held:
             return _table([])
@@ -259,7 +286,7 @@ def _open_windows(w: Windows, n_buckets: int) -> Callable:
         stays = _earliest(records, new, w.within)
         kept = records[stays]
         rows = [(COVERED, int(docs.column("bucket")[0].as_py()), pack(_single(records[~stays])))]
-        rows += _blobs(OPEN, (kept["lead"] % U64(n_buckets)).astype(np.int64), kept)
+        rows += [(OPEN, b, _pack_windows(x)) for b, x in _parts((kept["lead"] % U64(n_buckets)).astype(np.int64), kept)]
         return _table(rows)
 
     return run
@@ -283,7 +310,7 @@ def _settle_windows(w: Windows, n_docs: int) -> Callable:
     def run(group: pa.Table) -> pa.Table:
         if group.column("kind")[0].as_py() == COVERED:
             return group
-        records = unpack(group.column("blob").to_pylist(), WINDOW)
+        records = np.concatenate([_unpack_windows(b) for b in group.column("blob").to_pylist()])
         records = records[multikey_order([records[f] for f in ("lead", "key", "doc", "tag", "at")])]
         new = np.append(True, (records["lead"][1:] != records["lead"][:-1]) | (records["key"][1:] != records["key"][:-1]))
         gone = _single(records[~_earliest(records, new, w.within)])
