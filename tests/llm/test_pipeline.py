@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from tests.llm import test_lines, test_near_dedup, test_quality
-from tests.llm.cases import SCHEMA, prose, words
+from tests.llm.cases import SCHEMA, edge_docs, prose, words
 from tests.oracle_util import compare, duck
 from arrivals.llm.lines import LineParams
 
@@ -87,3 +87,14 @@ def test_ten_operators_are_registered():
 def test_sql_on_the_driver_tables(spark, name):
     ok, message = compare(entry.queries()[name](spark, SF), duck(SF), entry.oracle_sql()[name])
     assert ok, message
+
+
+def test_stages_on_odd_and_empty_tables(spark, tmp_path):
+    spark.createDataFrame([(1, None), (None, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    odd = edge_docs(spark, ("size", "kept", "class_id", "item_id", "copies", "bucket", "line", "hash"))
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (odd, odd.limit(0)):
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == odd.columns, name
+            rows = out.collect()
+            assert len(rows) <= 3 * odd.count() and (docs is odd or not rows), name
