@@ -36,8 +36,8 @@ def literal_path(path: str) -> str:
 def file_headers(spark: SparkSession, path: str | list[str], **options: str) -> dict[str, list[str]]:
     """First line -> the files that start with it.
 
-    One small task per split (packing is switched off for this job), which
-    stops after one row; files without a line have no header and no rows.
+    One task per file (neither split nor packed in this job), which stops
+    after its first rows; files without a line have no header and no rows.
     """
     def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -46,22 +46,22 @@ def file_headers(spark: SparkSession, path: str | list[str], **options: str) ->
                 return
 
     reader = spark.read.options(**{k: v for k, v in options.items() if k in _FILE_OPTIONS})
-    lines = reader.text(_paths(path)).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
-    packing = "spark.sql.files.openCostInBytes"
-    before = spark.conf.get(packing)
-    spark.conf.set(packing, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    lines = reader.text(_paths(path)).select(F.col("_metadata.file_path").alias("file"), "value")
+    before = {k: spark.conf.get(k) for k in _SPLITTING}
+    for k in _SPLITTING:
+        spark.conf.set(k, str(1 << 50))
     try:
-        # The start is tested after the first row is taken: a filter below would read later splits to their end.
-        rows = lines.mapInArrow(first_row, lines.schema).where("start = 0").collect()
+        rows = lines.mapInArrow(first_row, lines.schema).collect()
     finally:
-        spark.conf.set(packing, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: r.file):
         out.setdefault(r.value.lstrip("\ufeff").rstrip("\r"), []).append(unquote(r.file))
     return out
 
 
+_SPLITTING = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
 _FILE_OPTIONS = ("encoding", "pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter")
 
 
