@@ -233,6 +233,52 @@ def _answer(text: str, given: str | None) -> str:
     return ([x for x in re.split(r"[.!?\n]+", text) if x.strip()] or [""])[-1]
 
 
+class _Screen:
+    """For pairs of a block and an item: the item's words that occur anywhere near the block.
+
+    This bounds their common subsequence from above, so it only spares
+    verifications. It sees hashed words, in chunks of ``chunk`` blocks.
+    """
+
+    def __init__(self, items: list[tuple], at: np.ndarray, n_features: int, p: LeakParams, chunk: int = 512):
+        self.reach = -(-max((len(words) for _, words, _ in items), default=0) // p.block)
+        self.n_features, self.chunk = n_features, chunk
+        columns, counts = [], []
+        for _, words, _ in items:
+            column = at[_features(np.array(words, U64), p)]
+            f, n = np.unique(np.where(column >= 0, column, n_features), return_counts=True)
+            columns.append(f)
+            counts.append(n)
+        self.first = np.cumsum([0, *map(len, columns)])
+        self.columns = np.concatenate(columns) if columns else np.zeros(0, int)
+        self.counts = np.concatenate(counts) if counts else np.zeros(0, int)
+        self.fewest = np.array([p.paraphrase * len(words) for _, words, _ in items])
+
+    def __call__(self, block: np.ndarray, item: np.ndarray, seen_block: np.ndarray, seen: np.ndarray, n_blocks: int) -> np.ndarray:
+        """Which (block, item) pairs, by block, may reach the least share; seen: the words' blocks and columns."""
+        keep = np.zeros(len(block), bool)
+        wide = 2 * self.reach + 2
+        for lo in range(0, n_blocks, self.chunk):
+            a, b = np.searchsorted(block, [lo, lo + self.chunk])
+            if a == b:
+                continue
+            x, y = np.searchsorted(seen_block, [lo - self.reach, lo + self.chunk + self.reach + 1])
+            near = np.zeros((self.chunk + wide - 1, self.n_features + 1), bool)
+            near[:, -1] = True  # words without a feature count as there
+            near[seen_block[x:y] - (lo - self.reach), seen[x:y]] = True
+            done = 1
+            while done < wide:  # row r: anything in rows r .. r + wide - 1
+                step = min(done, wide - done)
+                near = near[:len(near) - step] | near[step:]
+                done += step
+            rows, n = block[a:b] - lo, self.first[item[a:b] + 1] - self.first[item[a:b]]
+            start = np.cumsum(n) - n
+            flat = np.arange(n.sum()) + np.repeat(self.first[item[a:b]] - start, n)
+            there = near[np.repeat(rows, n), self.columns[flat]] * self.counts[flat]
+            keep[a:b] = np.add.reduceat(there, start) >= self.fewest[item[a:b]]
+        return keep
+
+
 def _search(items: list[tuple], vectors: np.ndarray, item_of: np.ndarray, features: np.ndarray, basis: np.ndarray,
             idf: np.ndarray, p: LeakParams):
     """Search all documents for a block of benchmark passages; items are (id, words, answer words)."""
@@ -241,7 +287,7 @@ def _search(items: list[tuple], vectors: np.ndarray, item_of: np.ndarray, featur
         at = np.full(1 << p.feature_bits, -1)
         at[features] = np.arange(len(features))
         weighted = basis * idf[features][:, None].astype(np.float32)
-        bags = [set(words) for _, words, _ in items]
+        screen = _Screen(items, at, len(features), p)
         for batch in batches:
             found: list[tuple] = []
             for s in slices(*text_column(batch)):
@@ -260,17 +306,21 @@ def _search(items: list[tuple], vectors: np.ndarray, item_of: np.ndarray, featur
                 passage = sums[:-1] + np.where(follows[:, None], sums[1:], 0)
                 norm = np.sqrt((passage * passage).sum(axis=1))
                 cosine = (passage / np.maximum(norm, 1e-12)[:, None]) @ vectors.T
+                i, j = np.nonzero(cosine >= p.cosine)
+                pair = np.unique(i * len(items) + item_of[j])
+                at_block, item = pair // len(items), pair % len(items)
+                may = screen(at_block, item, block, column[known], len(text))
                 best: dict[tuple[int, int], tuple[float, float]] = {}
-                hits = np.argwhere(cosine >= p.cosine)
-                for i, t, k in sorted({(int(i), int(text[i]), int(item_of[j])) for i, j in hits}):
+                for i, k in zip(at_block[may].tolist(), item[may].tolist(), strict=True):
                     _, words, answer = items[k]
+                    t = int(text[i])
                     lo = max(first[t], starts[i] - len(words))
                     region = hashes[lo:min(first[t + 1], starts[i] + 2 * p.block + len(words))].tolist()
-                    if len(bags[k].intersection(region)) < p.paraphrase * len(bags[k]):
-                        continue
                     share = common_subsequence(words, region) / len(words)
+                    if share < p.paraphrase:
+                        continue
                     told = common_subsequence(answer, region) / len(answer) if answer else 0.0
-                    if share >= p.verbatim or (share >= p.paraphrase and told >= p.answer):
+                    if share >= p.verbatim or told >= p.answer:
                         best[t, k] = max(best.get((t, k), (0.0, 0.0)), (share, told))
                 found += [(int(s.rows[t]), k, *v) for (t, k), v in best.items()]
             rows = pa.array([x[0] for x in found], pa.int64())
