@@ -64,9 +64,9 @@ def order(rows):
     return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-@pytest.mark.parametrize("hot", [64, 2])
+@pytest.mark.parametrize("hot", [256, 4])
 def test_edit_join_matches_all_pairs(spark, hot):
-    p, rows = LineParams(hot=hot), line_table()
+    p, rows = LineParams(hot_pairs=hot), line_table()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = [(r.doc_id, r.kept_text) for r in dedup_lines(docs, p).collect()]
     assert order(got) == order(brute(rows, p))
@@ -75,8 +75,8 @@ def test_edit_join_matches_all_pairs(spark, hot):
 def test_hot_segments_lose_no_pair(spark):
     lines = written(distinct_lines(spark.createDataFrame(line_table(9), "doc_id long, text string")), "t")
     text = {r.lid: r.line for r in lines.collect()}
-    for hot in (1, 3):
-        found = {(r.a, r.b) for r in candidate_pairs(lines, LineParams(hot=hot)).collect()}
+    for hot in (1, 9):
+        found = {(r.a, r.b) for r in candidate_pairs(lines, LineParams(hot_pairs=hot)).collect()}
         for a in text:
             for b in text:
                 if a < b and min(len(text[a]), len(text[b])) >= 30 and distance(text[a], text[b]) <= 2:
