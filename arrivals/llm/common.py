@@ -51,6 +51,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(df: DataFrame, per_partition: int, floor: int = 12) -> int:
-    """Shuffle partitions so that each gets about ``per_partition`` rows of ``df``."""
-    return max(floor, -(-df.count() // per_partition))
+def hash_sample(df: DataFrame, by: list[str], expected: int, total: int) -> DataFrame:
+    """About ``expected`` of ``total`` rows, those of a low hash: the same rows in every run, picked in the scan.
+
+    (An ordered limit would send that many rows of every partition to one place.)
+    """
+    if expected >= total:
+        return df
+    return df.filter(F.pmod(F.xxhash64(F.lit(41), *by), F.lit(1 << 40)) < int(expected / total * (1 << 40)))

@@ -2,8 +2,8 @@
 
 Tokens are words (ASCII lower case) and one end per text. The model has
 ``states`` latent states with transitions, a start distribution, and emissions
-over word classes: each of the ``frequent`` commonest training words is its own
-class, the end is one, and all other words fall into classes by their last
+over word classes: each of the commonest training words (``frequent`` at most) is its
+own class, the end is one, and all other words fall into classes by their last
 three bytes. Inside such a class a word has probability (c + 1) / (N_b + V_b + 1)
 with its training count c, the class' tokens N_b and types V_b; the 1 is the
 class' unknown word. So a text's probability is a proper product, exact for the
@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals.llm.common import text_or_empty, written
+from arrivals.llm.common import hash_sample, text_or_empty, written
 from arrivals.llm.textbytes import U64, RangeHash, mixed, slices, text_column, word_bounds
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -58,10 +58,10 @@ class HmmParams:
     suffixes: int = 1024
     iterations: int = 5
     segment: int = 64
-    seeds: int = 200          # texts the start values are picked from
+    seeds: int = 200          # about so many texts the start values are picked from
     prior: float = 200.0      # weight of the overall class frequencies in each state's emissions
     bucket_bytes: int = 16 << 20
-    at_once: int = 8192       # segments per forward-backward
+    at_once: int = 4096       # segments per forward-backward
 
     @property
     def classes(self) -> int:
@@ -124,16 +124,16 @@ def word_counts(train: DataFrame, p: HmmParams, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "counts"])
 
         for batch in batches:
-            for s in slices(*text_column(batch), limit=4 << 20):
+            for s in slices(*text_column(batch), limit=2 << 20):
                 words, suffix, _ = _tokens(s.data, s.starts, s.ends, p)
                 r = np.empty(len(words), COUNT)
                 r["word"], r["suffix"], r["n"] = words, suffix, 1
                 held.append(_merged_counts(r))
                 size += len(held[-1])
-                if size > 2_000_000:
+                if size > 800_000:
                     held = [_merged_counts(np.concatenate(held))]
                     size = len(held[0])
-                    if size > 1_000_000:
+                    if size > 400_000:
                         yield flush()
                         held, size = [], 0
         if held:
@@ -147,18 +147,47 @@ def word_counts(train: DataFrame, p: HmmParams, buckets: int) -> DataFrame:
     return written(train.select("text").mapInArrow(count, schema).groupBy("bucket").applyInArrow(add, schema), "hmm-counts")
 
 
+def _size_class(n: np.ndarray) -> np.ndarray:
+    """A number that grows with a count, at most 64 to each power of two: 4096 at most."""
+    mantissa, exponent = np.frexp(n.astype(np.float64))
+    return exponent.astype(np.int64) * 64 + ((mantissa - 0.5) * 128).astype(np.int64)
+
+
 def frequent_words(counts: DataFrame, p: HmmParams) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes in order, their counts) of the commonest words: at most ``frequent`` rows reach the driver."""
+    """(word hashes in order, their counts) of the commonest words, at most ``frequent``.
+
+    A histogram of the counts' size classes gives the least class that still
+    fits; only words of that class and above reach the driver.
+    """
+
+    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for blob in batch.column("counts").to_pylist():
+                add = np.bincount(_size_class(_unpack([blob], COUNT)["n"]))
+                total = np.pad(total, (0, max(0, len(add) - len(total))))
+                total[:len(add)] += add
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["size", "words"])
+
+    sizes = counts.mapInArrow(histogram, "size long, words long").groupBy("size").agg(F.sum("words").alias("words")).collect()
+    least, room = None, p.frequent
+    for r in sorted(sizes, key=lambda r: -r.size):
+        room -= r.words
+        if room < 0:
+            break
+        least = r.size
+    if least is None:
+        return np.zeros(0, U64), np.zeros(0, np.int64)
 
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column("counts").to_pylist():
                 r = _unpack([blob], COUNT)
-                if len(r) > p.frequent:
-                    r = r[np.lexsort((r["word"], -r["n"]))[:p.frequent]]
+                r = r[_size_class(r["n"]) >= least]
                 yield pa.RecordBatch.from_arrays([pa.array(r["word"].view("<i8")), pa.array(r["n"])], ["word", "n"])
 
-    rows = counts.mapInArrow(top, "word long, n long").orderBy(F.desc("n"), "word").limit(p.frequent).toPandas()
+    rows = counts.mapInArrow(top, "word long, n long").toPandas()
     words, n = rows["word"].to_numpy(np.int64).view(U64), rows["n"].to_numpy(np.int64)
     order = np.argsort(words)
     return words[order], n[order]
@@ -195,7 +224,7 @@ def encoded(docs: DataFrame, frequent: np.ndarray, p: HmmParams, buckets: int) -
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         for batch in batches:
-            for s in slices(*text_column(batch), limit=4 << 20):
+            for s in slices(*text_column(batch), limit=2 << 20):
                 words, suffix, first = _tokens(s.data, s.starts, s.ends, p)
                 at = np.minimum(np.searchsorted(known, words), len(known) - 1)
                 common = (known[at] == words) & bool(len(frequent))
@@ -260,37 +289,38 @@ def _emissions(model: Model, kind: np.dtype) -> np.ndarray:
 
 def expected_counts(segments: np.ndarray, size: np.ndarray, opening: np.ndarray, model: Model) -> tuple[np.ndarray, ...]:
     """Forward-backward over a block of segments: expected (emissions, steps, starts, later starts), log likelihood."""
+    order = np.argsort(-size, kind="stable")             # longest first: the live segments are a prefix
+    segments, size, opening = segments[order], size[order], opening[order]
     emit = _emissions(model, np.float32)
     step = model.step.astype(np.float32)
-    n, length = segments.shape
-    k = step.shape[0]
-    last = int(size.max())
+    n, k, last = len(size), step.shape[0], int(size[0])
+    live = np.searchsorted(-size, -np.arange(last + 1), "left")
     alpha = np.empty((last, n, k), np.float32)
-    scale = np.empty((last, n), np.float32)
+    scale = np.ones((last, n), np.float32)
     now = np.where(opening[:, None], model.start, model.later).astype(np.float32)
     for t in range(last):
-        now = (now if t == 0 else now @ step) * emit[segments[:, t]]
-        scale[t] = now.sum(axis=1)
-        now = now / scale[t][:, None]
-        alpha[t] = now
+        m = live[t]
+        now = (now if t == 0 else now[:m] @ step) * emit[segments[:m, t]]
+        scale[t, :m] = now.sum(axis=1)
+        now /= scale[t, :m, None]
+        alpha[t, :m] = now
     steps = np.zeros((k, k))
     beta = np.ones((n, k), np.float32)
-    gamma = np.empty((last, n, k), np.float32)
+    seen, share = [], []
     for t in range(last - 1, -1, -1):
-        gamma[t] = alpha[t] * beta
+        m = live[t]
+        gamma = alpha[t, :m] * beta[:m]
+        kinds = segments[:m, t]
+        seen.append(kinds)
+        share.append(gamma)
         if t:
-            ahead = emit[segments[:, t]] * beta / scale[t][:, None]
-            inside = (t < size)[:, None]
-            steps += alpha[t - 1].T @ np.where(inside, ahead, 0)
-            beta = np.where(inside, ahead @ step.T, 1).astype(np.float32)
+            ahead = emit[kinds] * beta[:m] / scale[t, :m, None]
+            steps += alpha[t - 1, :m].T @ ahead
+            beta[:m] = ahead @ step.T
     steps *= model.step
-    seen = segments[:, :last].T.ravel()
-    real = np.flatnonzero(seen >= 0)
-    flat = gamma.reshape(-1, k)[real]
-    emitted = np.stack([np.bincount(seen[real], flat[:, j], len(model.emit)) for j in range(k)], axis=1)
-    first = gamma[0]
-    valid = np.arange(last)[:, None] < size[None, :]
-    return emitted, steps, first[opening].sum(axis=0), first[~opening].sum(axis=0), float(np.log(scale[valid]).sum())
+    seen, share = np.concatenate(seen), np.concatenate(share)
+    emitted = np.stack([np.bincount(seen, share[:, j], len(model.emit)) for j in range(k)], axis=1)
+    return emitted, steps, gamma[opening].sum(axis=0), gamma[~opening].sum(axis=0), float(np.log(scale).sum())
 
 
 def baum_welch(train: DataFrame, model: Model, overall: np.ndarray, p: HmmParams) -> Model:
@@ -333,10 +363,10 @@ def _share(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def start_model(train: DataFrame, overall: np.ndarray, p: HmmParams) -> Model:
+def start_model(train: DataFrame, n_texts: int, overall: np.ndarray, p: HmmParams) -> Model:
     """States that lean to texts far apart, picked from a bounded sample."""
-    sample = train.select("classes", F.xxhash64("classes").alias("h")).orderBy("h").limit(p.seeds).collect()
-    bags = [np.bincount(np.frombuffer(bytes(r.classes), "<u2"), minlength=p.classes) for r in sample]
+    sample = hash_sample(train, ["doc_id", "classes"], p.seeds, n_texts).limit(2 * p.seeds).collect()
+    bags = [np.bincount(np.frombuffer(x, "<u2"), minlength=p.classes) for x in sorted(bytes(r.classes) for r in sample)]
     bags = [b for b in bags if b.sum() >= 20] or [np.ones(p.classes)]
     unit = [b / np.sqrt((b * b).sum()) for b in bags]
     chosen = [0]
@@ -361,20 +391,25 @@ def text_scores(sequences: list[bytes], model: Model, p: HmmParams) -> np.ndarra
     opening = np.zeros(len(size), bool)
     opening[first] = True
     maps, logs = np.empty((len(size), k, k)), np.zeros(len(size))
+    order = np.argsort(-size, kind="stable")            # longest first: the live segments are a prefix
     for at in range(0, len(size), p.at_once // 4):
-        cut = slice(at, at + p.at_once // 4)
-        seg, n = segments[cut], size[cut]
-        now = np.broadcast_to(np.eye(k), (len(n), k, k))
-        for t in range(int(n.max())):
-            moved = now @ model.step
+        own = order[at:at + p.at_once // 4]
+        seg, n, fresh = segments[own], size[own], opening[own]
+        now = np.broadcast_to(np.eye(k), (len(own), k, k)).copy()
+        log = np.zeros(len(own))
+        for t in range(int(n[0])):
+            m = int(np.searchsorted(-n, -t, "left"))    # segments with more than t tokens
+            live = now[:m]
+            moved = (live.reshape(-1, k) @ model.step).reshape(m, k, k)
             if t == 0:
-                moved = np.where(opening[cut][:, None, None], now, moved)
-            moved = moved * emit[seg[:, t]][:, None, :]
-            now = np.where((t < n)[:, None, None], moved, now)
-            top = now.max(axis=(1, 2))
-            now = now / top[:, None, None]
-            logs[cut] += np.log(top)
-        maps[cut] = now
+                moved = np.where(fresh[:, None, None], live, moved)
+            moved *= emit[seg[:m, t]][:, None, :]
+            if t % 4 == 3:                              # four steps stay far above the least double
+                top = moved.reshape(m, -1).max(axis=1)
+                moved /= top[:, None, None]
+                log[:m] += np.log(top)
+            now[:m] = moved
+        maps[own], logs[own] = now, log
     state = np.broadcast_to(model.start, (len(sequences), k)).copy()
     out = np.zeros(len(sequences))
     count = np.diff(np.append(first, len(size)))
@@ -473,7 +508,7 @@ def language_model_scores(docs: DataFrame, p: HmmParams = HmmParams(), fold: int
     overall[-1] += size.n
     overall[len(frequent_counts):p.frequent] = 0        # classes without a word
     overall /= overall.sum()
-    model = start_model(train, overall, p)
+    model = start_model(train, size.n, overall, p)
     for _ in range(p.iterations if size.n else 0):
         model = baum_welch(train, model, overall, p)
 
