@@ -4,8 +4,8 @@ The network reads a text in windows of ``window`` bytes, forwards and
 backwards, labels every byte position with language probabilities, and the
 document's probabilities are the mean over all its positions. It is trained in
 numpy by backpropagation through time, on windows of a bounded sample of
-labelled documents (``sample`` documents, ``per_document`` windows of each; both
-parameters bound what reaches the driver). Prediction runs in the scan tasks
+labelled documents (about ``sample`` documents, ``per_document`` windows of each;
+both parameters bound what reaches the driver). Prediction runs in the scan tasks
 over every byte of every text; only the weights are sent along.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; very
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals.llm.common import text_or_empty
+from arrivals.llm.common import hash_sample, text_or_empty
 from arrivals.llm.textbytes import slices, text_column
 
 
@@ -209,18 +209,13 @@ def _sample_windows(p: NetParams):
 
 
 def fit(docs: DataFrame, p: NetParams = NetParams()) -> Net | None:
-    """Train on a sample of rows (text, lang); the sample is the ``sample`` rows first by hash of the text."""
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    ids = rows.withColumn("h", F.xxhash64("text"))
-    # Only hashes are sorted; the texts of the least ones are read in a second scan.
-    least = ids.select("h").orderBy("h").limit(p.sample).agg(F.max("h")).first()[0]
-    if least is None:
-        return None
-    picked = ids.filter(F.col("h") <= least).dropDuplicates(["h"])
+    """Train on about ``sample`` of the rows that have a label and a letter, picked by hash."""
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = rows.filter("lang IS NOT NULL")
+    picked = hash_sample(rows, ["doc_id", "text"], p.sample, rows.count()).filter(F.col("text").rlike(r"\p{L}"))
     windows = picked.select("text", "lang").mapInArrow(_sample_windows(p), "window binary, lang string")
-    found = [(bytes(r.window), r.lang) for r in windows.limit(p.sample * p.per_document).collect()]
-    return train(sorted(found), p)
+    found = [(bytes(r.window), r.lang) for r in windows.limit(2 * p.sample * p.per_document).collect()]
+    return train(sorted(found), p) if found else None
 
 
 def predict(docs: DataFrame, net: Net | None, p: NetParams = NetParams()) -> DataFrame:
