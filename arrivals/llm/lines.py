@@ -98,8 +98,8 @@ def _may_be_near(a: Column, b: Column, threshold: int) -> Column:
     return apart <= 2 * threshold
 
 
-def _exploded(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) -> DataFrame:
-    """(lid, key) from rows (lid, text, len): one row per line and shape.
+def _pieces(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) -> DataFrame:
+    """(lid, text, target, i, start, size) from rows (lid, text, len): one row per line and shape, not yet cut.
 
     A segment is an even share of the line; the last ``length mod parts`` segments are one character longer.
     """
@@ -112,8 +112,13 @@ def _exploded(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) -
     size = base + (longer >= parts - F.col("i")).cast("int")
     df = df.withColumns({"start": start, "size": size})
     df = df.filter((F.col("target") >= parts) & (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("len")))
+    return df.select("lid", "text", "target", "i", "start", "size")
+
+
+def _keyed(pieces: DataFrame) -> DataFrame:
+    """(lid, target, i, key): the pieces cut and hashed."""
     piece = F.substring("text", F.col("start") + 1, F.col("size"))
-    return df.select("lid", F.xxhash64("target", "i", piece).alias("key"))
+    return pieces.select("lid", "target", "i", F.xxhash64("target", "i", piece).alias("key"))
 
 
 def _paired(index: DataFrame, probes: DataFrame, near: Column) -> DataFrame:
@@ -126,14 +131,18 @@ def _paired(index: DataFrame, probes: DataFrame, near: Column) -> DataFrame:
 def candidate_pairs(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """Distinct (a, b) line ids that share an indexed segment (and, on hot segments, have near profiles)."""
     rows = lines.filter(F.col("len") >= p.min_fuzzy).select("lid", F.col("line").alias("text"), "len")
-    index = _exploded(rows, _index_shapes(p.threshold), p.threshold + 1)
-    probes = _exploded(rows, _probe_shapes(p.threshold), p.threshold + 1)
+    pieces = [_pieces(rows, shapes(p.threshold), p.threshold + 1) for shapes in (_index_shapes, _probe_shapes)]
+    index, probes = (_keyed(x).select("lid", "key") for x in pieces)
     crowded = F.col("count") * F.col("count") > p.hot_pairs
-    hot = written(index.groupBy("key").count().filter(crowded).select("key"), "lines-hot")
+    hot = written(_keyed(pieces[0]).groupBy("key", "target", "i").count().filter(crowded).drop("count"), "lines-hot")
     if hot.isEmpty():
         return _paired(index, probes, F.lit(True))
     cold = _paired(*[x.join(hot, "key", "left_anti") for x in (index, probes)], F.lit(True))
-    hot_rows = [written(x.join(hot, "key", "left_semi"), "lines-hot-rows") for x in (index, probes)]
+    # Only pieces of a crowded length and segment are cut again.
+    spots = hot.select("target", "i").distinct()
+    hot_rows = [
+        written(_keyed(x.join(spots, ["target", "i"], "left_semi")).join(hot, "key", "left_semi").select("lid", "key"),
+                "lines-hot-rows") for x in pieces]
     ids = hot_rows[0].select("lid").union(hot_rows[1].select("lid")).distinct()
     signed = written(lines.join(ids, "lid", "left_semi").select("lid", profile(F.col("line")).alias("profile")), "lines-signed")
     near = _may_be_near(F.col("profile_a"), F.col("profile_b"), p.threshold)
