@@ -1,9 +1,9 @@
 """Line dedup: a segment-partition edit-distance join over the corpus' distinct lines, in DataFrame operations only.
 
 A line is a run between newlines that has a word. An occurrence of a line is
-removed if the same line occurs earlier (smaller doc_id, or earlier in the same
-document), or if a different line within ``threshold`` edits of it first occurs
-earlier. Lines shorter than ``min_fuzzy`` characters are compared exactly only
+removed if the same line occurs earlier (smaller doc_id, or smaller line number
+in texts of one doc_id, or smaller hash of the text), or if a different line
+within ``threshold`` edits of it first occurs earlier. Lines shorter than ``min_fuzzy`` characters are compared exactly only
 (a few edits change a short line's meaning).
 
 Method: distinct lines are cut into ``threshold + 1`` segments. Within
@@ -48,10 +48,12 @@ class LineParams:
     hot_pairs: int = 256    # pairs of one key's lines beyond which the profile joins in
 
 
-def _place(doc_id: Column, pos: Column) -> Column:
-    """Where a line stands, as one number (a decimal keeps the aggregation hash-based)."""
+def _place(doc_id: Column, pos: Column, doc_hash: Column) -> Column:
+    """Where a line stands, as one number (a decimal keeps the aggregation hash-based): the document's id, the
+    line's number, and 30 bits of the text's hash, as different texts may share an id."""
     doc = F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1)).cast("decimal(19,0)")
-    return (doc * F.lit(2**31).cast("decimal(10,0)") + pos.cast("decimal(10,0)")).cast("decimal(38,0)")
+    within = F.shiftleft(pos.cast("long"), 30).bitwiseOR(F.shiftrightunsigned(doc_hash, 34))
+    return (doc * F.lit(2**61).cast("decimal(19,0)") + within.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -62,14 +64,20 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """(line, first, lid, len): each distinct line with its first place."""
+    """(line, first, holder, lid, len): each distinct line with its first place and the hash of the one text there
+    that holds it (should two texts share a place's 30 bits, either of them)."""
+    place = _place(F.col("doc_id"), F.col("pos"), F.col("doc_hash")).alias("place")
     return (
-        occurrences(docs).select("line", _place(F.col("doc_id"), F.col("pos")).alias("place"))
-        .groupBy("line").agg(F.min("place").alias("first"))
-        .select("line", "first", F.xxhash64("line").alias("lid"), F.length("line").alias("len"))
+        occurrences(docs).select("line", "doc_hash", place)
+        .groupBy("line").agg(F.min("place").alias("first"), F.min_by("doc_hash", "place").alias("holder"))
+        .select("line", "first", "holder", F.xxhash64("line").alias("lid"), F.length("line").alias("len"))
     )
 
 
+def _second_id(line: Column) -> Column:
+    return F.xxhash64(F.lit(7), line)
+
+
 def _index_shapes(threshold: int) -> list[tuple[int, int, int]]:
     """(segment, characters the other line is shorter, shift) of what a line is indexed under."""
     return [(i, 0, 0) for i in range(threshold + 1)]
@@ -199,7 +207,7 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
 
 
 def line_links(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame:
-    """(first, earlier): a line's first place, and that of a different line within the threshold before it."""
+    """(lid, lid2): the lines with a different line within the threshold before them (at one place: of a smaller id)."""
     pairs = written(candidate_pairs(lines, p), "lines-candidates")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
     texts = lines.join(ids, "lid", "left_semi").select("lid", "line", "first", profile(F.col("line")).alias("profile"))
@@ -209,23 +217,26 @@ def line_links(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     close = _may_be_near(F.col("profile_a"), F.col("profile_b"), p.threshold)
     near = pairs.join(a, "a").join(b, "b").filter(
         close & F.when(close, within_edits(F.col("line_a"), F.col("line_b"), p.threshold)))
-    return near.select(F.greatest("first_a", "first_b").alias("first"), F.least("first_a", "first_b").alias("earlier"))
+    b_later = F.col("first_a") <= F.col("first_b")
+    later = F.when(b_later, F.col("line_b")).otherwise(F.col("line_a"))
+    return near.select(F.when(b_later, F.col("b")).otherwise(F.col("a")).alias("lid"), _second_id(later).alias("lid2"))
 
 
 def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """``docs`` plus ``n_lines, n_removed`` (long, lines with a word) and ``kept_text``."""
     lines = written(distinct_lines(docs), "lines-distinct")
-    linked = line_links(lines, p).select("first").distinct().withColumn("linked", F.lit(True))
+    linked = line_links(lines, p).distinct().withColumn("linked", F.lit(True))
     verdicts = written(
-        lines.join(linked, "first", "left").select(
-            "lid", F.xxhash64(F.lit(7), "line").alias("lid2"), "first", F.coalesce("linked", F.lit(False)).alias("linked")),
+        lines.select("lid", _second_id(F.col("line")).alias("lid2"), "first", "holder").join(linked, ["lid", "lid2"], "left")
+        .withColumn("linked", F.coalesce("linked", F.lit(False))),
         "lines-verdicts")
     seen = occurrences(docs).select(
         F.col("doc_id").alias("__llm_doc"), F.col("doc_hash").alias("__llm_hash"), "pos",
-        F.xxhash64("line").alias("lid"), F.xxhash64(F.lit(7), "line").alias("lid2"))
+        F.xxhash64("line").alias("lid"), _second_id(F.col("line")).alias("lid2"))
+    place = _place(F.col("__llm_doc"), F.col("pos"), F.col("__llm_hash"))
     gone = (
         seen.join(verdicts, ["lid", "lid2"])
-        .filter(F.col("linked") | (_place(F.col("__llm_doc"), F.col("pos")) != F.col("first")))
+        .filter(F.col("linked") | (place != F.col("first")) | (F.col("__llm_hash") != F.col("holder")))
         .select("__llm_doc", "__llm_hash", "pos").distinct()
         .groupBy("__llm_doc", "__llm_hash").agg(F.sort_array(F.collect_list("pos")).alias("__llm_gone"))
     )

@@ -83,6 +83,23 @@ def test_hot_segments_lose_no_pair(spark):
                     assert (a, b) in found
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_that_share_a_doc_id(spark, doc_id):
+    near = "a line long enough for the edit join, version one"
+    other = "an entirely unique line that nobody else has written"
+    rows = [(1, "the opening line of the very first document here"),
+            (doc_id, other), (doc_id, "the opening line of the very first document her"),   # only the second has a near line
+            (doc_id, "x\n" + near), (doc_id, "y\n" + near[:-1] + "a"),                       # near lines at one place
+            (doc_id, "p\nq\nthe same"), (doc_id, "r\ns\nthe same"), (doc_id, "t\nu\nthe same")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [line for r in dedup_lines(docs).collect() for line in r.kept_text.split("\n") if line]
+    assert kept.count(other) == 1
+    assert sum(line.startswith("the opening") for line in kept) == 1
+    assert sum(line.startswith("a line long enough") for line in kept) == 1
+    assert kept.count("the same") == 1
+    assert all(kept.count(x) == 1 for x in "xypqrstu")
+
+
 def test_odd_rows_and_clashing_columns(spark):
     rows = [(r[0], r[1]) for r in edge_rows()]
     docs = edge_docs(spark, ("line", "pos", "n_removed", "lid"))
