@@ -5,7 +5,9 @@ backwards, labels every byte position with language probabilities, and the
 document's probabilities are the mean over all its positions. It is trained in
 numpy by backpropagation through time, on windows of a bounded sample of
 labelled documents (about ``sample`` documents, ``per_document`` windows of each;
-both parameters bound what reaches the driver). Prediction runs in the scan tasks
+both parameters bound what reaches the driver). The sample is divided over the
+languages: rare ones give all their rows, the others an equal share, and each at
+least one, so every language with a trainable row is learned. Prediction runs in the scan tasks
 over every byte of every text; only the weights are sent along.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; very
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals.llm.common import hash_sample, text_or_empty
+from arrivals.llm.common import text_or_empty
 from arrivals.llm.textbytes import slices, text_column
 
 
@@ -208,13 +210,33 @@ def _sample_windows(p: NetParams):
     return run
 
 
-def fit(docs: DataFrame, p: NetParams = NetParams()) -> Net | None:
-    """Train on about ``sample`` of the rows that have a label and a letter, picked by hash."""
+def _shares(counts: dict[str, int], sample: int) -> dict[str, float]:
+    """The share of each language's rows to take: all of the rarer ones, an equal number of the others."""
+    shares, left = {}, sample
+    for done, lang in enumerate(sorted(counts, key=lambda x: (counts[x], x))):
+        take = min(counts[lang], max(1.0, left / (len(counts) - done)))
+        shares[lang] = take / counts[lang]
+        left -= take
+    return shares
+
+
+def sampled(docs: DataFrame, sample: int) -> DataFrame:
+    """(text, lang) of about ``sample`` of the rows that have a label and a letter, by hash within each language;
+    the row of a language's least hash is always among them."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.filter("lang IS NOT NULL")
-    picked = hash_sample(rows, ["doc_id", "text"], p.sample, rows.count()).filter(F.col("text").rlike(r"\p{L}"))
-    windows = picked.select("text", "lang").mapInArrow(_sample_windows(p), "window binary, lang string")
-    found = [(bytes(r.window), r.lang) for r in windows.limit(2 * p.sample * p.per_document).collect()]
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.withColumn("draw", F.pmod(F.xxhash64(F.lit(41), "doc_id", "text"), F.lit(1 << 40)))
+    found = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()
+    shares = _shares({r.lang: r.n for r in found}, sample)
+    below = [(r.lang, max(r.least + 1, int(shares[r.lang] * (1 << 40)))) for r in found]
+    limits = docs.sparkSession.createDataFrame(below, "lang string, below long")
+    return rows.join(F.broadcast(limits), "lang").filter("draw < below").select("text", "lang")
+
+
+def fit(docs: DataFrame, p: NetParams = NetParams()) -> Net | None:
+    """Train on the rows of ``sampled``; rows that repeat a whole text and label count once."""
+    windows = sampled(docs, p.sample).mapInArrow(_sample_windows(p), "window binary, lang string").distinct()
+    found = [(bytes(r.window), r.lang) for r in windows.collect()]
     return train(sorted(found), p) if found else None
 
 

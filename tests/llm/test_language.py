@@ -5,7 +5,8 @@ import zlib
 import numpy as np
 import pytest
 
-from arrivals.llm.language import NetParams, _gradients, _softmax, identify_languages, text_probabilities, train
+from arrivals.llm.language import (
+    NetParams, _gradients, _softmax, fit, identify_languages, sampled, text_probabilities, train)
 from tests.llm.cases import edge_docs, empty_docs
 
 
@@ -75,6 +76,17 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, f"common words number {i}", ("aa", "bb")[i % 2]) for i in range(4000)]
+    rows += [(10_000 + i, f"rare words {i}", f"r{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows + [(None, "12 34", "none")], "doc_id long, text string, lang string")
+    for n in (10, 200):
+        found = fit(docs, NetParams(steps=0, sample=n)).languages
+        assert found == sorted({r[2] for r in rows})
+    assert sampled(docs, 200).count() < 400
+    assert sampled(docs, 5000).count() == len(rows)
+
+
 def test_empty_table_and_no_labels(spark):
     p = NetParams(steps=5, sample=10)
     assert identify_languages(empty_docs(spark), p).collect() == []
