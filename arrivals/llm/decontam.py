@@ -9,7 +9,10 @@ benchmark passages by cosine; candidates are then verified on the words
 themselves. A document is contaminated by an item if the longest common
 subsequence of their words covers ``verbatim`` of the item, or ``paraphrase`` of
 it and also ``answer`` of the item's answer (its column ``answer`` if there is
-one, else its last sentence).
+one, else its last sentence). Of an item longer than a passage, each passage
+(the last is the item's last words) is verified on its own as well, at the same
+thresholds of the passage's words: a document that quotes one holds the item. The
+shares reported are the greatest that met the thresholds.
 
 Words are runs of letters and digits (any non-ASCII byte counts as one), lower
 case in ASCII. The benchmark is a stated query set: it is searched in blocks of
@@ -117,7 +120,7 @@ def _passage_rows(idf: np.ndarray, p: LeakParams):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items, columns, weights = [], [], []
+            items, at, columns, weights = [], [], [], []
             for s in slices(*text_column(batch)):
                 hashes, first = _tokens(s)
                 feature = _features(hashes, p)
@@ -130,11 +133,12 @@ def _passage_rows(idf: np.ndarray, p: LeakParams):
                     w = n * idf[f]
                     if (norm := np.sqrt((w * w).sum())) > 0:
                         items.append(int(s.rows[t]))
+                        at.append(int(starts[i] - first[t]))
                         columns.append(f.astype("<i4").tobytes())
                         weights.append((w / norm).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_no").take(pa.array(items, pa.int64())), pa.array(columns, pa.binary()),
-                 pa.array(weights, pa.binary())], ["item_no", "features", "weights"])
+                [batch.column("item_no").take(pa.array(items, pa.int64())), pa.array(at, pa.int64()),
+                 pa.array(columns, pa.binary()), pa.array(weights, pa.binary())], ["item_no", "at", "features", "weights"])
 
     return run
 
@@ -234,7 +238,7 @@ def _answer(text: str, given: str | None) -> str:
 
 
 class _Screen:
-    """For pairs of a block and an item: the item's words that occur anywhere near the block.
+    """For pairs of a block and an item (or a passage of one): its words that occur anywhere near the block.
 
     This bounds their common subsequence from above, so it only spares
     verifications. It sees hashed words, in chunks of ``chunk`` blocks.
@@ -279,15 +283,26 @@ class _Screen:
         return keep
 
 
-def _search(items: list[tuple], vectors: np.ndarray, item_of: np.ndarray, features: np.ndarray, basis: np.ndarray,
-            idf: np.ndarray, p: LeakParams):
-    """Search all documents for a block of benchmark passages; items are (id, words, answer words)."""
+def _search(items: list[tuple], vectors: np.ndarray, item_of: np.ndarray, at_word: list[int], features: np.ndarray,
+            basis: np.ndarray, idf: np.ndarray, p: LeakParams):
+    """Search all documents for a block of benchmark passages; items are (id, words, answer words), ``at_word`` the
+    first word of each passage. What is verified are the items and, of the longer ones, the passages."""
+    size = 2 * p.block
+    units, own = list(items), np.full(len(item_of), -1)
+    item_at = list(range(len(items)))
+    for j, (k, a) in enumerate(zip(item_of.tolist(), at_word, strict=True)):
+        item_id, words, answer = items[k]
+        if len(words) > size:
+            a = min(a, len(words) - size)
+            own[j] = len(units)
+            units.append((item_id, words[a:a + size], answer))
+            item_at.append(k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.full(1 << p.feature_bits, -1)
         at[features] = np.arange(len(features))
         weighted = basis * idf[features][:, None].astype(np.float32)
-        screen = _Screen(items, at, len(features), p)
+        screen = _Screen(units, at, len(features), p)
         for batch in batches:
             found: list[tuple] = []
             for s in slices(*text_column(batch)):
@@ -307,19 +322,22 @@ def _search(items: list[tuple], vectors: np.ndarray, item_of: np.ndarray, featur
                 norm = np.sqrt((passage * passage).sum(axis=1))
                 cosine = (passage / np.maximum(norm, 1e-12)[:, None]) @ vectors.T
                 i, j = np.nonzero(cosine >= p.cosine)
-                pair = np.unique(i * len(items) + item_of[j])
-                at_block, item = pair // len(items), pair % len(items)
-                may = screen(at_block, item, block, column[known], len(text))
+                alone = own[j] >= 0
+                pair = np.unique(np.append(i * len(units) + item_of[j], (i * len(units) + own[j])[alone]))
+                at_block, unit = pair // len(units), pair % len(units)
+                may = screen(at_block, unit, block, column[known], len(text))
                 best: dict[tuple[int, int], tuple[float, float]] = {}
-                for i, k in zip(at_block[may].tolist(), item[may].tolist(), strict=True):
-                    _, words, answer = items[k]
-                    t = int(text[i])
-                    lo = max(first[t], starts[i] - len(words))
-                    region = hashes[lo:min(first[t + 1], starts[i] + 2 * p.block + len(words))].tolist()
-                    share = common_subsequence(words, region) / len(words)
+                for i, u in zip(at_block[may].tolist(), unit[may].tolist(), strict=True):
+                    _, words, answer = units[u]
+                    t, k = int(text[i]), item_at[u]
+
+                    def region(reach: int) -> list[int]:
+                        return hashes[max(first[t], starts[i] - reach):min(first[t + 1], starts[i] + size + reach)].tolist()
+
+                    share = common_subsequence(words, region(len(words))) / len(words)
                     if share < p.paraphrase:
                         continue
-                    told = common_subsequence(answer, region) / len(answer) if answer else 0.0
+                    told = common_subsequence(answer, region(len(items[k][1]))) / len(answer) if answer else 0.0
                     if share >= p.verbatim or told >= p.answer:
                         best[t, k] = max(best.get((t, k), (0.0, 0.0)), (share, told))
                 found += [(int(s.rows[t]), k, *v) for (t, k), v in best.items()]
@@ -347,7 +365,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -
     counts = passage_frequencies(rows, p)
     idf = np.log((counts[-1] + 1) / (counts[:-1] + 1)).astype(np.float32)
     passages = written(
-        items.mapInArrow(_passage_rows(idf, p), "item_no long, features binary, weights binary"), "leaks-passages")
+        items.mapInArrow(_passage_rows(idf, p), "item_no long, at long, features binary, weights binary"), "leaks-passages")
     features, basis = randomised_svd(passages, p)
     n_blocks = -(-passages.count() // p.block_items)
     block = F.pmod(F.xxhash64("item_no"), F.lit(max(n_blocks, 1)))
@@ -359,16 +377,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -
         own = items.filter(block == b).collect()
         number = {r.item_no: i for i, r in enumerate(own)}
         known = [(r.item_id, _word_hashes(r.text), _word_hashes(_answer(r.text, r.answer))) for r in own]
-        vectors, item_of = [], []
+        vectors, item_of, at_word = [], [], []
         for r in passages.filter(block == b).collect():
             f, w = _row(bytes(r.features), bytes(r.weights))
             vectors.append(w @ basis[place[f]])
             item_of.append(number[r.item_no])
+            at_word.append(r.at)
         if not vectors:
             continue
         vectors = np.stack(vectors)
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-        search = _search(known, vectors.astype(np.float32), np.array(item_of), features, basis, idf, p)
+        search = _search(known, vectors.astype(np.float32), np.array(item_of), at_word, features, basis, idf, p)
         found = found.union(rows.mapInArrow(search, schema))
     return found
 

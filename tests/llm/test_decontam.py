@@ -52,6 +52,20 @@ def test_answer_decides_on_paraphrases(spark):
     assert [x.doc_id for x in leak_pairs(docs, bench).collect()] == [2]
 
 
+def test_quoted_passages_of_a_long_item(spark):
+    r = random.Random(21)
+    item, other = words(r, 200), words(r, 64)
+    rows = [(1, words(r, 90) + item[20:140] + words(r, 70)),       # 120 of 200 words, not the last sentence
+            (2, words(r, 50) + item[100:164] + words(r, 50)),      # one passage's length, across two passages
+            (3, words(r, 50) + item[60:80] + words(r, 50)),        # 20 words only
+            (4, item[136:] + words(r, 40)), (5, words(r, 300)), (6, other)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame(
+        [(1, " ".join(item[:190]) + ". " + " ".join(item[190:])), (2, " ".join(other))], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in leak_pairs(docs, bench).collect()}
+    assert got == {(1, 1), (2, 1), (4, 1), (6, 2)}
+
+
 def test_odd_rows_and_stage(spark):
     docs = edge_docs(spark, ("hash", "item_id", "doc_hash"))
     assert leak_pairs(empty_docs(spark), benchmark(spark)).collect() == []
