@@ -17,8 +17,13 @@ can repeat each other:
    compared in the same way.
 3. Covered windows are gathered per document and removed.
 
-The splitters order full records, so a span repeated in a third of all
-documents is dealt over many buckets. Buckets travel as packed arrays.
+Equal spans share a bucket. A map task therefore sends on only the earliest of
+the equal spans it holds at a time (``emit_bytes`` of them): the others are
+covered there and then, so a span repeated in a third of all documents costs its
+bucket a record per such flush, not per document. Where earlier windows of one
+document do not count (``within`` off), spans of one doc_id have one verdict, and
+all of them travel. Buckets travel as packed arrays; texts are bucketed by doc_id
+and checksum, as many texts may share an id or have none.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.llm.common import text_or_empty, written
@@ -164,13 +169,38 @@ def _earliest(records: np.ndarray, new: np.ndarray, within: bool) -> np.ndarray:
     return same
 
 
-def _span_batches(w: Windows, splitters: np.ndarray | None) -> Callable:
-    """Map side: pack the spans of all texts by bucket (without splitters: all in bucket 0)."""
+def _home(records: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of the texts that records stand in."""
+    return (records["doc"] % n + records["tag"].astype(np.int64) % n) % n
+
+
+def _home_column(n: int) -> Column:
+    doc = F.pmod(F.coalesce("doc_id", F.lit(2**63 - 1)), F.lit(n))
+    return F.pmod(doc + F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(n)), F.lit(n)).cast("long")
+
+
+def _combined(records: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(the records that may be the earliest of their class, the others); records of a repeated row count once."""
+    records = records[multikey_order([records[f] for f in (*WORDS, "doc", "tag", "at")])]
+    new = np.ones(len(records), bool)
+    new[1:] = np.any([records[f][1:] != records[f][:-1] for f in WORDS], axis=0)
+    once = new.copy()
+    once[1:] |= np.any([records[f][1:] != records[f][:-1] for f in ("doc", "tag", "at")], axis=0)
+    stays = _earliest(records, new, within)
+    return records[stays & once], records[~stays & once]
+
+
+def _span_batches(w: Windows, splitters: np.ndarray | None, n_docs: int = 1) -> Callable:
+    """Map side: pack the spans of all texts by bucket (without splitters: all in bucket 0), and the places of those
+    that equal spans at hand already cover."""
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
         records = np.concatenate(held)
-        buckets = np.zeros(len(records), int) if splitters is None else _dealt(records, splitters)
-        return _batch(list(_blobs(0, buckets, records)))
+        if splitters is None:
+            return _batch(list(_blobs(OPEN, np.zeros(len(records), int), records)))
+        records, gone = _combined(records, w.within)
+        places = _blobs(COVERED, _home(gone, n_docs), gone[list(PLACE.names)].astype(PLACE))
+        return _batch([*_blobs(OPEN, _dealt(records, splitters), records), *places])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -191,9 +221,11 @@ def _span_batches(w: Windows, splitters: np.ndarray | None) -> Callable:
 
 
 def _settle(w: Windows, n_docs: int) -> Callable:
-    """Reduce side: one bucket of spans, sorted and compared."""
+    """Reduce side: one bucket of spans, sorted and compared; a bucket of covered places passes."""
 
     def run(group: pa.Table) -> pa.Table:
+        if group.column("kind")[0].as_py() == COVERED:
+            return group
         records = unpack(group.column("blob").to_pylist(), SPAN)
         order = multikey_order([records[f] for f in (*WORDS, "doc", "tag", "at")])
         records = records[order]
@@ -207,7 +239,7 @@ def _settle(w: Windows, n_docs: int) -> Callable:
         rows = []
         for kind, mask in ((COVERED, ~stays), (OPEN, is_open)):
             some = records[mask]
-            rows += _blobs(kind, (some["doc"] % n_docs), some[list(PLACE.names)].astype(PLACE))
+            rows += _blobs(kind, _home(some, n_docs), some[list(PLACE.names)].astype(PLACE))
         rows += [(EDGES, 0, pack(records[edge & stays]))]
         return _table(rows)
 
@@ -231,7 +263,7 @@ def _packed_places(n_docs: int) -> Callable:
             for f in PLACE.names:
                 r[f] = np.asarray(batch.column(f))
             kind = np.asarray(batch.column("kind"))
-            yield _batch([x for k in (COVERED, OPEN) for x in _blobs(k, r["doc"][kind == k] % n_docs, r[kind == k])])
+            yield _batch([x for k in (COVERED, OPEN) for x in _blobs(k, _home(r[kind == k], n_docs), r[kind == k])])
 
     return run
 
@@ -314,7 +346,7 @@ def _settle_windows(w: Windows, n_docs: int) -> Callable:
         records = records[multikey_order([records[f] for f in ("lead", "key", "doc", "tag", "at")])]
         new = np.append(True, (records["lead"][1:] != records["lead"][:-1]) | (records["key"][1:] != records["key"][:-1]))
         gone = _single(records[~_earliest(records, new, w.within)])
-        return _table(list(_blobs(COVERED, gone["doc"] % n_docs, gone)))
+        return _table(list(_blobs(COVERED, _home(gone, n_docs), gone)))
 
     return run
 
@@ -342,11 +374,10 @@ def with_removed(docs: DataFrame, w: Windows, digest: Callable, schema: str) ->
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(12, -(-total // w.bucket_bytes))
     splitters = _splitters(docs, w, n)
-    id_bucket = F.pmod(F.coalesce("doc_id", F.lit(2**63 - 1)), F.lit(n))
-    keyed = docs.withColumn("bucket", id_bucket)
+    keyed = docs.withColumn("bucket", _home_column(n))
 
-    spans = docs.mapInArrow(_span_batches(w, splitters), PACKED)
-    settled = written(spans.groupBy("bucket").applyInArrow(_settle(w, n), PACKED), "repeats-spans")
+    spans = docs.mapInArrow(_span_batches(w, splitters, n), PACKED)
+    settled = written(spans.groupBy("kind", "bucket").applyInArrow(_settle(w, n), PACKED), "repeats-spans")
     places = written(
         settled.filter(F.col("kind") != EDGES).unionByName(_across_edges(settled, w, n)), "repeats-places")
 
@@ -394,6 +425,7 @@ def _splitters(docs: DataFrame, w: Windows, n: int, per_bucket: int = 200) -> np
     r = unpack(blobs, dtype)
     if not len(r):
         return np.zeros((0, width), U64)
-    r = r[multikey_order([r[f] for f in WORDS])][:: max(1, len(r) // most)]
+    r = _combined(r, w.within)[0]
+    r = r[:: max(1, len(r) // most)]
     picks = r[(np.arange(1, n) * len(r)) // n]
     return np.stack([picks[f] for f in WORDS], axis=1)

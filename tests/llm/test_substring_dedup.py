@@ -1,12 +1,14 @@
 """op5 and op10 against brute force over all windows."""
 
 import hashlib
+import zlib
 
 import numpy as np
 import pytest
 
 from arrivals.llm import recompression, suffixes
-from arrivals.llm.repeats import multikey_order
+from arrivals.llm.repeats import (
+    COVERED, OPEN, PACKED, PLACE, SPAN, Windows, _home, _home_column, _span_batches, multikey_order, unpack)
 from arrivals.llm.textbytes import slices
 from tests.llm.cases import edge_docs, edge_rows, empty_docs
 
@@ -103,3 +105,25 @@ def test_a_hot_passage_in_every_document(spark):
     want = brute_bytes(rows)
     got = {r.doc_id: r.n_removed for r in suffixes.remove_repeated_bytes(docs).collect()}
     assert got == {i: want[i, t.encode()][1] for i, t in rows}
+
+
+def test_equal_spans_travel_once_a_flush(spark):
+    text = "".join(f"{i * i * 7919:x} " for i in range(120))
+    docs = spark.createDataFrame([(i, text) for i in range(300)] + [(7, text)], "doc_id long, text string").coalesce(1)
+    w = Windows(100, suffixes.byte_spans, suffixes.byte_fingerprints, within=True)
+    rows = docs.mapInArrow(_span_batches(w, np.zeros((0, 3), np.uint64), 5), PACKED).collect()
+    spans = unpack([bytes(r.blob) for r in rows if r.kind == OPEN], SPAN)
+    places = [(r.bucket, x) for r in rows if r.kind == COVERED for x in unpack([bytes(r.blob)], PLACE)]
+    assert set(spans["doc"]) == {0}
+    assert sum(int(x["n"]) for _, x in places) == 299 * int(spans["n"].sum())
+
+
+def test_texts_without_an_id_are_dealt_over_all_buckets(spark):
+    rows = [(None, f"text {i}") for i in range(400)] + [(-i, f"é {i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bucket", _home_column(8))
+    got = {(r.doc_id, r.text): r.bucket for r in docs.collect()}
+    assert {got[None, f"text {i}"] for i in range(400)} == set(range(8))
+    for (doc, text), bucket in got.items():
+        r = np.zeros(1, PLACE)
+        r["doc"], r["tag"] = LAST if doc is None else doc, zlib.crc32(text.encode())
+        assert _home(r, 8)[0] == bucket
