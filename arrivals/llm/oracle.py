@@ -106,6 +106,58 @@ mixed AS (
   FROM sized d JOIN r4 r ON d.source IS NOT DISTINCT FROM r.source AND d.size = r.size
 )"""
 
+# CRC-32 of the decimal conv_id, bit by bit: only its two low bits are used.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), x -> CAST(ascii(x) AS BIGINT))),
+    (crc, byte) -> list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
+      (x, i) -> CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+
+# A node is named by its depth and the concatenated digests of its turns, so a prefix of a name is an ancestor.
+_TRIE = rf"""
+WITH own AS (
+  SELECT conv_id, digest, n_words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos
+  FROM (SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS n_words,
+          sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+        FROM conversations WHERE conv_id IS NOT NULL)
+),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM conversations)
+  WHERE conv_id IS NOT NULL
+),
+turns AS (
+  SELECT c.conv_id, o.digest, o.n_words, 0 AS part, o.pos FROM convs c JOIN own o ON o.conv_id = c.base AND o.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, o.digest, o.n_words, 1, o.pos FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h
+),
+prefixes AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS name, n_words FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+),
+nodes AS (
+  SELECT depth, name, min(conv_id) AS conv_id, count(*) AS n_convs, max(n_words) AS n_words FROM prefixes GROUP BY ALL
+),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, p.name AS parent FROM nodes n
+  LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.name = left(n.name, 64 * (CAST(n.depth AS INTEGER) - 1)) AND n.depth > 0
+),
+children AS (SELECT depth - 1 AS depth, parent AS name, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL),
+sized AS (
+  SELECT l.*, coalesce(c.n_children, 0) AS n_children FROM linked l LEFT JOIN children c USING (depth, name)
+),
+amounts AS (
+  SELECT a.depth, a.name, count(*) FILTER (d.n_children = 0) AS n_leaves, sum((d.n_convs - 1) * d.n_words) AS saved_tokens
+  FROM sized a JOIN sized d ON starts_with(d.name, a.name) GROUP BY ALL
+),
+lengths AS (SELECT conv_id, max(depth) AS depth FROM prefixes GROUP BY ALL),
+ends AS (
+  SELECT p.depth, p.name, sha256(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id)) AS ends_sha256
+  FROM prefixes p JOIN lengths USING (conv_id, depth) GROUP BY ALL
+)
+SELECT s.conv_id, s.depth, s.parent_conv_id, s.n_convs, s.n_children, a.n_leaves,
+  CAST(a.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM sized s JOIN amounts a USING (depth, name) LEFT JOIN ends e USING (depth, name)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op8_quality_rules": f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
@@ -114,4 +166,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     "op9_mixing": f"""
 WITH docs AS (SELECT * FROM documents), {_MIXING}
 SELECT doc_id, size, s_size AS source_size, target, copies * size AS taken FROM mixed""",
+    "op13_prefix_trie": _TRIE,
 }

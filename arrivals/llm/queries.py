@@ -15,6 +15,7 @@ from arrivals.llm.licenses import scan_licenses
 from arrivals.llm.lines import dedup_lines
 from arrivals.llm.mixing import mix
 from arrivals.llm.near_dedup import near_duplicates
+from arrivals.llm.prefix_trie import rebuilt_trie
 from arrivals.llm.quality import COUNTS, clean_lines
 from arrivals.llm.recompression import remove_repeated_words
 from arrivals.llm.suffixes import remove_repeated_bytes
@@ -63,6 +64,11 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(read_documents(spark, sf_dir))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per node of the trie of the rebuilt conversations."""
+    return rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bag_minhash": op1_bag_minhash,
     "op2_hmm_scores": op2_hmm_scores,
@@ -74,4 +80,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_recompression": op10_recompression,
+    "op13_prefix_trie": op13_prefix_trie,
 }
