@@ -108,9 +108,9 @@ mixed AS (
 
 # CRC-32 of the decimal conv_id, bit by bit: only its two low bits are used.
 _CRC = """xor(4294967295, list_reduce(
-    list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), x -> CAST(ascii(x) AS BIGINT))),
-    (crc, byte) -> list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
-      (x, i) -> CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+    list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
 
 # A node is named by its depth and the concatenated digests of its turns, so a prefix of a name is an ancestor.
 _TRIE = rf"""
