@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arrivals.llm.alignment import align_documents
 from arrivals.llm.common import read_documents
 from arrivals.llm.decontam import leak_pairs
 from arrivals.llm.hmm import language_model_scores
@@ -19,6 +20,8 @@ from arrivals.llm.prefix_trie import rebuilt_trie
 from arrivals.llm.quality import COUNTS, clean_lines
 from arrivals.llm.recompression import remove_repeated_words
 from arrivals.llm.suffixes import remove_repeated_bytes
+from arrivals.llm.token_files import read_token_files, write_token_files
+from arrivals.session import scratch_path
 
 
 def op1_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +67,17 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(read_documents(spark, sf_dir))
 
 
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(read_documents(spark, sf_dir))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the token files of all documents and returns what they hold."""
+    path = scratch_path(spark, "token-files")
+    write_token_files(read_documents(spark, sf_dir), path)
+    return read_token_files(spark, path, with_ids=False)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per node of the trie of the rebuilt conversations."""
     return rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -80,5 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_recompression": op10_recompression,
+    "op11_pair_bitmaps": op11_pair_bitmaps,
+    "op12_token_files": op12_token_files,
     "op13_prefix_trie": op13_prefix_trie,
 }
