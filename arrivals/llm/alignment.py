@@ -31,7 +31,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrivals.llm.common import text_or_empty, written
-from arrivals.llm.vocabularies import PLAIN, Remembered, byte_letters, read_vocabulary
+from arrivals.llm.vocabularies import (
+    LONG_PIECE, PLAIN, SPACED_RUNS, Remembered, byte_letters, read_vocabulary, speller)
 
 POSTINGS = 1 << 21     # (document, pair) entries of a block, about
 DOCUMENTS = 1 << 16    # documents of a block: their numbers fit 16 bits
@@ -71,13 +74,18 @@ class Aligner:
         self.a = Tokenizer.from_buffer(vocabulary_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=vocabulary_b)
-        self.letters = byte_letters()
-        byte_of = {c: b for b, c in self.letters.items()}
+        self.model, self.spelled = self.a.model, speller()
+        byte_of = {c: b for b, c in byte_letters().items()}
         self.a_bytes = {i: bytes(byte_of[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()
                         if all(c in byte_of for c in t)}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
+        n_a, n_b = max(self.a_bytes) + 1, len(pieces)
+        self.a_len = np.array([len(self.a_bytes.get(i, b"")) for i in range(n_a)])
+        self.b_len = np.array([len(x) for x in self.b_bytes])
+        # Every way an id is written in a spelling of groups: A then "," or "|", B then ",", ";" or the end of the word.
+        self.written = [f"{i}{end}" for n, ends in ((n_a, ",|"), (n_b, ",;\n")) for end in ends for i in range(n)]
         rules = json.loads(vocabulary_a)
         first = rules.get("pre_tokenizer") or {}
         self.by_word = (
@@ -93,40 +101,95 @@ class Aligner:
         return self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
 
     def _word(self, word: str) -> tuple[bytes, bytes, str] | None:
-        if self.by_word and PLAIN.fullmatch(word):  # the pattern leaves it whole: straight to the merges
-            spelled = "".join(self.letters[b] for b in f" {word}".encode())
-            a, b = [t.id for t in self.a.model.tokenize(spelled)], self.b.encode(word)
-        else:
-            a, b = self.tokens(word)
+        a, b = self.tokens(word)
         bytes_a, bytes_b = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
         raw = f" {word}".encode()
         if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
             return None
         groups, codes = [], []
-        end_a = end_b = j = from_a = from_b = 0
-        for i, token in enumerate(bytes_a, 1):
-            end_a += len(token)
+        end_a = end_b = j = 0
+        group_a = group_b = ""
+        for i, x in enumerate(a):
+            end_a += len(bytes_a[i])
+            group_a = f"{group_a},{x}" if group_a else str(x)
             while end_b < end_a:
+                y = b[j]
                 end_b += len(bytes_b[j])
+                group_b = f"{group_b},{y}" if group_b else str(y)
                 j += 1
             if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-                codes.append(a[i - 1] * _B_IDS + b[j - 1])
-                from_a, from_b = i, j
-        return np.array([len(a), len(b)], np.int64).tobytes(), np.array(codes, np.int64).tobytes(), ";".join(groups)
+                groups.append(f"{group_a}|{group_b}")
+                codes.append(x * _B_IDS + y)
+                group_a = group_b = ""
+        return array("q", (len(a), len(b))).tobytes(), array("q", codes).tobytes(), ";".join(groups)
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember plain words, all in one go: their tokens stand one after the other, as if in one text."""
+        text = " " + " ".join(words)
+        # A's pattern cuts them by character class: straight to the merges.
+        runs, tokenize = "\0".join(SPACED_RUNS.findall(text)).translate(self.spelled).split(self.spelled[0]), self.model.tokenize
+        a = np.array([t.id for run in runs for t in tokenize(run)])
+        b, raw = np.array([*chain.from_iterable(self.b.encode(words, num_threads=1))]), text.encode()
+        if b"".join(map(self.a_bytes.get, a.tolist())) != raw or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != raw:
+            return  # word by word, then
+        ends_a, ends_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        at = np.searchsorted(ends_b, ends_a)
+        link_a = np.flatnonzero(ends_b[at] == ends_a)
+        link_b = at[link_a]
+        word_ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        of_a, of_b, of_link = (np.searchsorted(e, word_ends, "right") for e in (ends_a, ends_b, ends_a[link_a]))
+
+        # The spelling: the groups one after the other, each its A tokens, then its B tokens.
+        group_a = np.searchsorted(link_a, np.arange(len(a)))
+        group_b = np.searchsorted(link_b, np.arange(len(b)))
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[link_a], last_b[link_b], last_b[of_b - 1] = 1, 1, 2
+        pieces = np.empty(len(a) + len(b), np.int64)
+        n_a, n_b = len(self.a_len), len(self.b_len)
+        pieces[np.arange(len(a)) + np.append(0, link_b + 1)[group_a]] = a + n_a * last_a
+        pieces[np.arange(len(b)) + link_a[group_b] + 1] = 2 * n_a + b + n_b * last_b
+        spelled = "".join(map(self.written.__getitem__, pieces.tolist())).split("\n")
+        counts = np.stack([np.diff(of_a, prepend=0), np.diff(of_b, prepend=0)], 1).astype(np.int64).tobytes()
+        codes, ends = (a[link_a] * _B_IDS + b[link_b]).tobytes(), (8 * of_link).tolist()
+        start = 0
+        for i, (word, end) in enumerate(zip(words, ends, strict=True)):
+            self.words[word] = counts[16 * i:16 * i + 16], codes[start:end], spelled[i]
+            start = end
+
+    def align_all(self, texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, str]]:
+        """Per text: (A tokens, B tokens, code of each link in order, groups); nothing for a text without tokens."""
+        known = self.words
+        known.trim()
+        split = [(_CUT.split(t) if self.by_word else [t]) if t else [] for t in texts]
+        if self.by_word:
+            new = set(chain.from_iterable(split)).difference(known)
+            plain = [w for w in new if len(w) <= LONG_PIECE and PLAIN.fullmatch(w)]
+            if plain:
+                self._learn(plain)
+        for words in split:
+            found = list(map(known.__getitem__, words))
+            if not found or None in found:
+                yield 0, 0, np.empty(0, np.int64), ""
+                continue
+            counts, codes, groups = zip(*found, strict=True)
+            n_a, n_b = np.frombuffer(b"".join(counts), np.int64).reshape(-1, 2).sum(0).tolist()
+            yield n_a, n_b, np.frombuffer(b"".join(codes), np.int64), ";".join(groups)
 
     def align(self, text: str | None) -> tuple[int, int, np.ndarray, str]:
-        """(A tokens, B tokens, code of each link in order, groups); nothing for a text without tokens."""
-        none = 0, 0, np.empty(0, np.int64), ""
-        if not text:
-            return none
-        self.words.trim()
-        found = list(map(self.words.__getitem__, _CUT.split(text) if self.by_word else [text]))
-        if None in found:
-            return none
-        counts, codes, groups = zip(*found, strict=True)
-        n_a, n_b = np.frombuffer(b"".join(counts), np.int64).reshape(-1, 2).sum(0).tolist()
-        return n_a, n_b, np.frombuffer(b"".join(codes), np.int64), ";".join(groups)
+        return next(self.align_all([text]))
+
+
+def _some(texts: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts of a batch, about ``most`` characters at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def pack_planes(pair: np.ndarray, doc: np.ndarray, links: np.ndarray, n_pairs: int) -> bytes:
@@ -196,8 +259,9 @@ def _index(vocabulary_a: bytes, vocabulary_b: bytes, most_postings: int, most_do
         docs, postings, held, number, part = [], [], 0, 0, 0
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                n_a, n_b, codes, groups = aligner.align(text.as_py())
+            ids = iter(batch.column("doc_id").to_pylist())
+            aligned = (x for texts in _some(batch.column("text")) for x in aligner.align_all(texts))
+            for doc_id, (n_a, n_b, codes, groups) in zip(ids, aligned, strict=True):
                 sha = hashlib.sha256(groups.encode()).hexdigest() if n_a else ""
                 docs.append((doc_id, n_a, n_b, len(codes), sha))
                 postings.append(np.unique(codes, return_counts=True))
@@ -281,7 +345,7 @@ def token_groups(docs: DataFrame, path_a: str | None = None, path_b: str | None
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(a, b)
         for batch in batches:
-            groups = [aligner.align(t.as_py())[3] for t in batch.column("text")]
+            groups = [x[3] for texts in _some(batch.column("text")) for x in aligner.align_all(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(groups, pa.string())], names=["doc_id", "groups"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(F.col("text")).alias("text"))

@@ -2,7 +2,8 @@
 
 A tokenizer whose rules never look across a cut gives the same ids for a text as
 for its pieces one after the other. The encoders here cut texts there, keep the
-ids of recent pieces, and send only new pieces through the tokenizer library.
+ids of recent pieces, and send only new pieces through the tokenizer library
+(its merges alone where the rules before them would leave a piece as it is).
 A tokenizer with other rules encodes whole texts.
 
 Vocabulary files are read by the driver and travel with the tasks (a few MB),
@@ -13,6 +14,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -28,8 +31,15 @@ _WORD_NORMALIZERS = [
 ]
 _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
-# Letters that NFC leaves alone, that lower-case one to one, and that no rule above splits.
-PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# Letters that NFC leaves alone and that lower-case one to one, digits, and ASCII signs. Apostrophes (contractions) and
+# "<" (special tokens) are not among them, so the rules cut text of these characters by character class alone.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIGNS = "!-&(-/:;=>?@\\[-`{-~"
+_ODD = re.compile(f"[^{_LETTERS}0-9{_SIGNS} \n\t\r]")
+_PARTS = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
+# What a byte-level pattern makes of text of these characters, and stretches of it that end in no blank.
+SPACED_RUNS = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+|\s+(?!\S)|\s+")
+PLAIN = re.compile(f"[{_LETTERS}0-9{_SIGNS}](?:[{_LETTERS}0-9{_SIGNS} \n]*[{_LETTERS}0-9{_SIGNS}])?")
 
 
 def read_vocabulary(name: str, path: str | None = None) -> bytes:
@@ -49,6 +59,12 @@ def byte_letters() -> dict[int, str]:
     return letters | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def speller() -> dict[int, str]:
+    """The translation of Latin-1 characters into the letters of their UTF-8 bytes."""
+    letters = byte_letters()
+    return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
+
+
 class Remembered(dict):
     """piece -> value, computed when missing; long pieces are computed each time."""
 
@@ -84,22 +100,30 @@ class WordEncoder:
             and not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) or PLAIN.fullmatch(t["content"])
                         for t in added)
         )
-        self.letters = byte_letters()
-        self.words = Remembered(self._word)
+        self.model, self.spelled = self.tokenizer.model, speller()
+        self.words, self.parts = Remembered(self._whole), Remembered(self._part)
         self.words[""] = b""
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        if not PLAIN.fullmatch(word):
-            return self._whole(word)
-        spelled = "".join(self.letters[b] for b in word.lower().encode())
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+    def _part(self, part: str) -> bytes:
+        spelled = part.lower() if part.isascii() else part.lower().translate(self.spelled)
+        return _packed([t.id for t in self.model.tokenize(spelled)])
 
     def encode(self, text: str) -> bytes:
         if not self.by_word:
             return self._whole(text)
+        if _ODD.search(text) is None:
+            self.parts.trim()
+            return b"".join(map(self.parts.__getitem__, _PARTS.findall(text)))
         self.words.trim()
         blank = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
         return b"".join(map(self.words.__getitem__, blank.split(" ")))
+
+
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
