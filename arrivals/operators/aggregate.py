@@ -99,3 +99,41 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     )
     pairs = ", ".join(f"{sql_string(c)}, __n{i}" for i, c in enumerate(cols))
     return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, null_count)", "__rows AS row_count")
+
+
+# Mergeable means: numbers are taken to 10 decimals below 10^18, so sums are exact and their order does not matter.
+_EXACT = "decimal(28,10)"
+
+
+def mean_states(
+    df: DataFrame, group: str, value: str, first: Iterable[str], *, out_group: str | None = None, upper_group: bool = True
+) -> DataFrame:
+    """A1 as state: per group the exact sum, the number of values, and the least tuple of ``first``.
+
+    ``(group, total decimal, n, rep struct)``. States of drops merge
+    (``merge_means``) without rereading the drops. ``value`` may be text; bad
+    text, and a number of 10^18 or more, is skipped like a null.
+    """
+    firsts, g = list(first), out_group or group
+    key = F.upper(_c(group)) if upper_group else _c(group)
+    number = _c(value).cast("string").try_cast(_EXACT)
+    names = [f"__f{i}" for i in range(len(firsts))]
+    # Two levels, as in group_avg_first: the least struct meets the distinct tuples only.
+    tuples = df.groupBy(key.alias(g), *[_c(f).alias(n) for f, n in zip(firsts, names, strict=True)]).agg(
+        F.sum(number).alias("__sum"), F.count(number).alias("__n"))
+    rep = F.min(F.when(F.col(names[0]).isNotNull(), F.struct(*[F.col(n).alias(f) for f, n in zip(firsts, names, strict=True)])))
+    return tuples.groupBy(g).agg(F.sum("__sum").cast("decimal(38,10)").alias("total"), F.sum("__n").alias("n"), rep.alias("rep"))
+
+
+def merge_means(states: DataFrame, group: str) -> DataFrame:
+    """One state per group from the states of any number of drops."""
+    return states.groupBy(_c(group)).agg(
+        F.sum("total").cast("decimal(38,10)").alias("total"), F.sum("n").alias("n"), F.min("rep").alias("rep"))
+
+
+def means(states: DataFrame, group: str, out_value: str) -> DataFrame:
+    """(group, mean, columns of the least tuple): bit-equal however the rows were dealt over drops and partitions."""
+    merged = merge_means(states, group)
+    first = [f.name for f in states.schema["rep"].dataType.fields]
+    mean = F.col("total").cast("double") / F.nullif(F.col("n"), F.lit(0))
+    return merged.select(_c(group), mean.alias(out_value), *[F.col("rep")[c].alias(c) for c in first])

@@ -195,3 +195,59 @@ def decode_roles(
     for code_col, out in roles.items():
         df = _join_prepared(df, code_col, prepared, [out], key_type, default, keep_code)
     return df
+
+
+def frequent_codes(df: DataFrame, code: Column, share: float, tracked: int = 10_000) -> list:
+    """The codes that may hold at least ``share`` of the rows, by a frequent-items sketch: at most ``1 / share`` of them.
+
+    One pass over the code column; a sketch of ``tracked`` items per task crosses
+    the network. A sketch may name a few codes that are somewhat rarer.
+    """
+    n = int(1 / share)
+    top = df.where(code.isNotNull()).select(code.alias("__code")).agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(__code, {n}, {max(tracked, n)})").alias("top")).first()
+    return [item for item, count in top.top or () if count >= share * top.rows]
+
+
+def decode_hybrid(
+    df: DataFrame,
+    code_col: str,
+    lookup: DataFrame,
+    out: str | list[str],
+    *,
+    lookup_code: str = "code",
+    lookup_label: str | list[str] = "label",
+    key_type: str = "int",
+    default: str | None = None,
+    keep_code: bool = False,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    share: float = 0.01,
+) -> DataFrame:
+    """``decode`` for a book beyond the broadcast bound and a fact with hot codes.
+
+    Rows whose code holds ``share`` of the fact or more are decoded by a
+    broadcast of those codes' book rows alone (at most ``1 / share`` of them) and
+    are never shuffled; the other rows are joined with the book by shuffle, where
+    no key is hot any more. Same rows and labels as ``decode``. A book within
+    the bound is broadcast as a whole.
+    """
+    outs, labels = ([x] if isinstance(x, str) else list(x) for x in (out, lookup_label))
+    keyed = lookup.select(
+        _key(F.col(f"`{lookup_code}`"), key_type, field_type(lookup.schema, lookup_code).simpleString()).alias("__code"),
+        *[F.col(f"`{x}`").alias(f"__label{i}") for i, x in enumerate(labels)],
+    ).where(F.col("__code").isNotNull())
+    plain = {"lookup_code": "__code", "lookup_label": [f"__label{i}" for i in range(len(labels))], "key_type": key_type,
+             "default": default, "keep_code": keep_code}
+    if fits_broadcast(keyed, max_broadcast_rows):
+        return decode(df, code_col, keyed, outs, max_broadcast_rows=max_broadcast_rows, **plain)
+    code = _key(F.col(f"`{code_col}`"), key_type, field_type(df.schema, code_col).simpleString())
+    hot = frequent_codes(df, code, share)
+    if not hot:
+        return decode(df, code_col, keyed, outs, max_broadcast_rows=0, **plain)
+    is_hot = F.coalesce(code.isin(hot), F.lit(False))
+    # No more book rows than hot codes: one is left per code before the broadcast.
+    hot_book = keyed.where(F.col("__code").isin(hot)).groupBy("__code").agg(
+        *[F.min(f"__label{i}").alias(f"__label{i}") for i in range(len(labels))])
+    by_broadcast = decode(df.where(is_hot), code_col, hot_book, outs, known_rows=len(hot), unique_codes=True, **plain)
+    by_shuffle = decode(df.where(~is_hot), code_col, keyed, outs, max_broadcast_rows=0, **plain)
+    return by_broadcast.unionByName(by_shuffle)

@@ -3,18 +3,18 @@
 Each build is one lazy DataFrame plan: scan -> rename -> filter -> convert ->
 decode -> conform. Building a plan runs small jobs only: the first line of each
 raw file, and the size of each code book that is not a fixed one. The data
-moves in the writes of ``publish`` and in its quality report.
+moves in ``publish``: computed once into a stage, checked there, then released.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,12 @@ from arrivals.functions.columns import day_number_to_date, substring_from, text_
 from arrivals.operators.aggregate import group_avg_first
 from arrivals.operators.clean import drop_columns, drop_missing, filter_equals, rename_columns
 from arrivals.operators.decode import decode, decode_roles
-from arrivals.operators.quality import key_summary, require, unmatched_codes
+from arrivals.operators.key_index import (
+    MONTH, key_index, keys_across_months, read_key_index, shared_key_count, write_key_index)
+from arrivals.operators.quality import invalid_label, key_summary, require, unmatched_codes
 from arrivals.plans.codebooks import MODE_CODES, OTHER_STATE, VISA_CODES, mode_lookup, visa_lookup
+from arrivals.plans.ledger import REPORT, Load, interrupted, keys_path, record
+from arrivals.plans.month_states import month_states, state_path
 from arrivals.schemas import (
     AIRPORTS,
     ARRIVALS,
@@ -41,7 +45,8 @@ from arrivals.schemas import (
     sql_string,
 )
 from arrivals.sources.readers import read_lookup, read_parquet, read_table
-from arrivals.sources.sinks import conform, read_rejects, refresh_months, write_parquet
+from arrivals.session import scratch_path
+from arrivals.sources.sinks import conform, refresh_months, write_parquet
 
 # Raw header name -> contract column name.
 ARRIVALS_RENAMES = {
@@ -97,7 +102,22 @@ class Lookups:
         return cls(country=rd(country), mode=rd(mode), visa=rd(visa), port=rd(port), state=rd(state))
 
 
-def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False, decode_state: bool = False) -> DataFrame:
+# Beside the fact's columns, a staged fact has a column per decode with one of these states.
+FLAG = "__decode_"
+FOUND, NULL_CODE, UNMATCHED, INVALID = 0, 1, 2, 3
+
+
+def _flag(code: Column, label: Column) -> Column:
+    """How a decode ended: the states that ``unmatched_codes`` counts."""
+    return (
+        F.when(code.isNull(), F.lit(NULL_CODE)).when(label.isNull(), F.lit(UNMATCHED))
+        .when(invalid_label(label), F.lit(INVALID)).otherwise(F.lit(FOUND)).cast("tinyint")
+    )
+
+
+def build_arrivals(
+    raw: DataFrame, lookups: Lookups, decode_port: bool = False, decode_state: bool = False, flags: bool = False
+) -> DataFrame:
     """Raw arrivals (text columns by header name) -> fact table contract.
 
     Rows without a state of arrival are dropped; codes for mode, visa and the
@@ -107,6 +127,10 @@ def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False,
     use the port and state books: the port code is replaced by its label, the
     state code is kept (the star links by it) and its name (unknown: other) is
     added as ``arrival_state_name``.
+
+    ``flags`` adds a column ``__decode_<label>`` per decode (also of a port or
+    state book that is only given, not used) with how it ended, so ``publish``
+    reports the decodes without reading the raw rows again.
     """
     spark = raw.sparkSession
     # The fixed books are in memory and their size is known: no counting job.
@@ -117,9 +141,20 @@ def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False,
     df = drop_columns(df, UNUSED_ARRIVALS_COLUMNS)
     df = drop_missing(df, ["arrival_state"])
     # The fixed books have one row per code by construction.
-    df = decode(df, "mode_code", mode, "Mode", key_type="int", known_rows=mode_rows, unique_codes=mode_rows is not None)
-    df = decode(df, "visa_code", visa, "visa", key_type="int", known_rows=visa_rows, unique_codes=visa_rows is not None)
-    df = df.withColumns({
+    df = decode(df, "mode_code", mode, "Mode", key_type="int", keep_code=True,
+                known_rows=mode_rows, unique_codes=mode_rows is not None)
+    df = decode(df, "visa_code", visa, "visa", key_type="int", keep_code=True,
+                known_rows=visa_rows, unique_codes=visa_rows is not None)
+    df = decode_roles(df, lookups.country, {"i94cit": "native_country", "i94res": "residence_country"}, key_type="int",
+                      keep_code=True)
+    pairs = [("mode_code", "Mode"), ("visa_code", "visa"), ("i94cit", "native_country"), ("i94res", "residence_country")]
+    for code, book, label, used in (("port_of_admission", lookups.port, "port", decode_port),
+                                    ("arrival_state", lookups.state, "state", decode_state)):
+        if book is not None and (used or flags):
+            df = decode(df, code, book, label, key_type="string", keep_code=True)
+            pairs.append((code, label))
+    marked = {f"{FLAG}{label}": _flag(F.col(code), F.col(label)) for code, label in pairs} if flags else {}
+    df = df.withColumns(marked | {
         "ID": text_to_int("ID"),
         "year": text_to_int("year"),
         "month": text_to_int("month"),
@@ -127,14 +162,14 @@ def build_arrivals(raw: DataFrame, lookups: Lookups, decode_port: bool = False,
         "age": text_to_int("age"),
         "arrival_date": day_number_to_date("arrdate"),
         "departure_date": day_number_to_date("depdate"),
-    }).drop("arrdate", "depdate")
-    df = decode_roles(df, lookups.country, {"i94cit": "native_country", "i94res": "residence_country"}, key_type="int")
-    if decode_port and lookups.port is not None:
-        df = decode(df, "port_of_admission", lookups.port, "port_of_admission", key_type="string")
+    })
+    fields = [*ARRIVALS.schema.fields]
     if decode_state and lookups.state is not None:
-        df = decode(df, "arrival_state", lookups.state, STATE_NAME, key_type="string", default=OTHER_STATE, keep_code=True)
-        return conform(df, T.StructType([*ARRIVALS.schema.fields, T.StructField(STATE_NAME, T.StringType())]))
-    return conform(df, ARRIVALS)
+        df = df.withColumn(STATE_NAME, F.coalesce("state", F.lit(OTHER_STATE)))
+        fields.append(T.StructField(STATE_NAME, T.StringType()))
+    if decode_port and lookups.port is not None:
+        df = df.withColumn("port_of_admission", F.col("port"))
+    return conform(df, T.StructType([*fields, *[T.StructField(c, T.ByteType()) for c in marked]]))
 
 
 def arrivals_decode_report(raw: DataFrame, lookups: Lookups) -> DataFrame:
@@ -214,14 +249,15 @@ def read_raw_arrivals(spark: SparkSession, path: str | list[str], fmt: str = "cs
 
 
 def build_all(
-    spark: SparkSession, inputs: RawInputs, lookups: Lookups, decode_port: bool = False, decode_state: bool = False
+    spark: SparkSession, inputs: RawInputs, lookups: Lookups, decode_port: bool = False, decode_state: bool = False,
+    flags: bool = False,
 ) -> dict[str, DataFrame]:
-    """The four builds from raw files (the format is a parameter, S3)."""
+    """The four builds from raw files (the format is a parameter, S3); ``flags`` as in ``build_arrivals``."""
     rd = lambda p, cols, **o: read_table(spark, p, inputs.fmt, columns=cols, **o)
     sep = {"sep": ";"} if inputs.fmt == "csv" else {}
     raw = read_raw_arrivals(spark, inputs.arrivals, inputs.fmt)
     return {
-        ARRIVALS.name: build_arrivals(raw, lookups, decode_port=decode_port, decode_state=decode_state),
+        ARRIVALS.name: build_arrivals(raw, lookups, decode_port, decode_state, flags),
         DEMOGRAPHICS.name: build_demographics(rd(inputs.demographics, RAW_DEMOGRAPHICS_COLUMNS, **sep)),
         TEMPERATURE.name: build_temperature(rd(inputs.temperature, RAW_TEMPERATURE_COLUMNS)),
         AIRPORTS.name: build_airports(
@@ -257,20 +293,6 @@ def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     return conform(df, _contract_schema(name, df.columns), strict=True)
 
 
-def _write_table(spark: SparkSession, name: str, df: DataFrame, root: str, fact: str, replace_fact: bool) -> DataFrame:
-    """Write a table; the committed rows of this run come back."""
-    path = f"{root.rstrip('/')}/{name}"
-    schema = _contract_schema(name, df.columns)
-    out = conform(df, schema) if schema is not None else df
-    if name != fact:
-        write_parquet(out, path)
-        return read_published(spark, root, name)
-    refresh_months(out, path, ("year", "month"), load="publish", replace=replace_fact)
-    months = out.select("year", "month").where("year IS NOT NULL AND month IS NOT NULL").distinct()
-    # The months of this run: all their committed rows are this run's (they were replaced).
-    return read_published(spark, root, name).join(F.broadcast(months), ["year", "month"], "left_semi")
-
-
 def _report_rows(table: str, check: str, counts: DataFrame, *columns: tuple[str, str]) -> DataFrame:
     """(table_name, check_name, column_name, n_rows, passed): one row per (count column, reported column)."""
     parts = ", ".join(f"{sql_string(shown)}, CAST({c} AS BIGINT)" for c, shown in columns)
@@ -280,36 +302,76 @@ def _report_rows(table: str, check: str, counts: DataFrame, *columns: tuple[str,
                        passed.alias("passed"))
 
 
-def published_report(
-    spark: SparkSession, written: Mapping[str, DataFrame], root: str, fact: str = ARRIVALS.name,
-    decodes: DataFrame | None = None,
-) -> DataFrame:
-    """Q1, Q2 and Q4 of one run: (table_name, check_name, column_name, n_rows, passed).
+def _key_rows(name: str, df: DataFrame) -> DataFrame:
+    """Q1 and Q2 of one table."""
+    key = list(CONTRACTS[name].key) if name in CONTRACTS else []
+    if not key:
+        return _report_rows(name, "rows", df.agg(F.count(F.lit(1)).alias("n")), ("n", ""))
+    summary, shown = key_summary(df, key), ", ".join(key)
+    return reduce(DataFrame.unionAll, [_report_rows(name, check, summary, (f"coalesce({c}, 0)", x)) for check, c, x in (
+        ("rows", "n_rows", ""), ("null_keys", "n_null_key_rows", shown), ("duplicate_keys", "n_duplicate_keys", shown))])
 
-    ``rows`` counts what this run committed; ``null_keys`` and
-    ``duplicate_keys`` count over each contract's key; ``rejected`` counts the
-    fact rows without a month; ``unmatched`` and ``invalid`` count the codes of
-    this run's input that found no or an invalid label. Only ``rows`` is
-    required to pass; the others pass at zero.
+
+def _stage_table(name: str, df: DataFrame, stage: str) -> DataFrame:
+    """Conform a table and write it to the run's stage, the decode flags of a fact beside its columns."""
+    schema = _contract_schema(name, df.columns)
+    if schema is not None:
+        flags = [f for f in df.schema.fields if f.name.startswith(FLAG)]
+        df = conform(df, T.StructType([*schema.fields, *flags]))
+    df.write.parquet(f"{stage}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{stage}/{name}")
+
+
+HAS_MONTH = "year IS NOT NULL AND month IS NOT NULL"
+
+
+def _fact_facts(fact: DataFrame) -> Row:
+    """One pass over a staged fact: rows, rejected rows, months, decode states, and a fingerprint of the content.
+
+    The fingerprint is a sum and a parity of row hashes, so neither order nor partitioning matters.
     """
-    parts = []
-    for name, df in written.items():
-        key = list(CONTRACTS[name].key) if name in CONTRACTS else []
-        if not key:
-            parts.append(_report_rows(name, "rows", df.agg(F.count(F.lit(1)).alias("n")), ("n", "")))
-            continue
-        summary, shown = key_summary(df, key), ", ".join(key)
-        parts += [_report_rows(name, check, summary, (f"coalesce({c}, 0)", x)) for check, c, x in (
-            ("rows", "n_rows", ""), ("null_keys", "n_null_key_rows", shown), ("duplicate_keys", "n_duplicate_keys", shown))]
-        if name == fact:
-            rejects = read_rejects(spark, f"{root.rstrip('/')}/{name}", CONTRACTS[name].schema).where("load = 'publish'")
-            parts.append(_report_rows(name, "rejected", rejects.agg(F.count(F.lit(1)).alias("n")), ("n", "year, month")))
-    if decodes is not None:
-        for check, c in (("unmatched", "n_unmatched"), ("invalid", "n_invalid")):
-            parts.append(decodes.select(
-                F.lit(fact).alias("table_name"), F.lit(check).alias("check_name"), "column_name",
-                F.col(c).cast("long").alias("n_rows"), (F.col(c) == 0).alias("passed")))
-    return reduce(DataFrame.unionAll, parts)
+    month = F.when(F.expr(HAS_MONTH), F.struct("year", "month"))
+    columns = [F.col(f"`{c}`") for c in fact.columns]
+    nulls = reduce(lambda a, b: a + b, [c.isNull().cast("long") * (1 << i) for i, c in enumerate(columns)])
+    row = F.xxhash64(nulls, *columns)  # the hash alone passes over nulls
+    aggs = [
+        F.count(F.lit(1)).alias("n_all"), F.count(month).alias("n_rows"), F.collect_set(month).alias("months"),
+        F.bit_xor(row).alias("parity"), F.sum(row.bitwiseAND(F.lit((1 << 31) - 1))).alias("total"),
+    ]
+    for c in fact.columns:
+        if c.startswith(FLAG):
+            aggs += [F.count_if(F.col(c) == state).alias(f"{c}{state}") for state in (UNMATCHED, INVALID)]
+    return fact.agg(*aggs).first()
+
+
+def _fact_rows(name: str, fact: DataFrame, facts: Row, n_shared: int) -> list[tuple]:
+    """The report's rows that only a fact has."""
+    key = ", ".join(CONTRACTS[name].key)
+    rows = [(name, "rejected", "year, month", facts.n_all - facts.n_rows), (name, "keys_in_other_months", key, n_shared)]
+    rows += [(name, check, c.removeprefix(FLAG), facts[f"{c}{state}"])
+             for c in fact.columns if c.startswith(FLAG) for check, state in (("unmatched", UNMATCHED), ("invalid", INVALID))]
+    return [(*r, r[-1] == 0) for r in rows]
+
+
+def _shared_keys(spark: SparkSession, index: DataFrame, path: str, months: list[tuple[int, int]]) -> int:
+    """How many keys of this load the stored months it does not replace hold."""
+    try:
+        stored = read_key_index(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    when = 100 * F.col("year").cast("long") + F.col("month")
+    return shared_key_count(index, stored.where(~when.isin([100 * y + m for y, m in months]))).first().n_shared
+
+
+def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], object]], parallel: bool) -> dict:
+    """Run independent jobs side by side: none reads what another writes."""
+    if not parallel or len(jobs) < 2:
+        return {name: job() for name, job in jobs.items()}
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def publish(
@@ -321,31 +383,115 @@ def publish(
     parallel: bool = True,
     replace_fact: bool = False,
     decodes: DataFrame | None = None,
+    load: str | None = None,
+    states: bool = False,
 ) -> DataFrame:
-    """T5: write every table under ``root`` and check what this run wrote.
-
-    The fact table is refreshed month-wise (dynamic partition overwrite, so a
-    re-run replaces its months instead of appending duplicates), or replaced
-    as a whole with ``replace_fact``; dimensions are replaced. The tables share
-    no data, so with ``parallel`` their write jobs are submitted together from a
-    small thread pool and run side by side on the cluster.
-
-    The report (``published_report``) counts the rows of what this run
-    committed, read back from storage: for the fact only the months of this
-    run, so an empty load fails even where older months exist. With ``check``
-    it raises naming every table without rows. ``decodes`` is the fact's
-    ``arrivals_decode_report``. Counting the committed copy stays exact when
-    tasks are retried after an executor loss, which a metric observed during
-    the write would not.
+    """T5: stage every table, check the stage, then release it under ``root``.
+
+    1. Stage: every table is computed once and written to a folder of this run
+       under the shared scratch folder; a fact built with ``flags`` carries the
+       state of its decodes.
+    2. Check: the report is made from the stage. ``rows`` counts what the run
+       will release; ``null_keys`` and ``duplicate_keys`` are over each
+       contract's key; ``rejected`` counts the fact rows without a month,
+       ``keys_in_other_months`` the keys that stored months this run does not
+       replace hold too (from the bitmap index, not from the fact);
+       ``unmatched`` and ``invalid`` count the codes that found no or an invalid
+       label. Only ``rows`` is required: with ``check`` a table without rows
+       raises, naming it, and the warehouse stays as it was.
+    3. Release: dimensions are replaced, the fact is refreshed month by month
+       (dynamic partition overwrite: a re-run replaces its months), or as a whole
+       with ``replace_fact``. Rejects are kept per ``load``, by default named by
+       the content: repeating a load replaces its rejects, also when it has none
+       any more, and touches no other load's. A release that was interrupted is
+       completed by ``complete_releases``.
+
+    Every step is in the ledger (``arrivals.plans.ledger``). The returned report
+    is the run's entry there (at most some 40 rows). ``states`` also keeps the
+    small per-month states of ``arrivals.plans.month_states``. ``decodes`` adds the rows
+    of an ``arrivals_decode_report`` for a fact built without flags. The tables
+    share no data, so with ``parallel`` their jobs run side by side. Counts come
+    from committed files, so they stay exact when tasks are retried after an
+    executor loss.
     """
-    names = list(tables)
-    if parallel and len(names) > 1:
-        with ThreadPoolExecutor(max_workers=len(names)) as pool:
-            futures = {n: pool.submit(_write_table, spark, n, tables[n], root, fact, replace_fact) for n in names}
-            written = {n: futures[n].result() for n in names}
-    else:
-        written = {n: _write_table(spark, n, tables[n], root, fact, replace_fact) for n in names}
-    report = published_report(spark, written, root, fact, decodes)
+    names, stage = list(tables), scratch_path(spark, "stage")
+    staged = _together(spark, {n: lambda n=n: _stage_table(n, tables[n], stage) for n in names}, parallel)
+    keyed = {n: df.where(HAS_MONTH) if n == fact else df for n, df in staged.items()}
+    jobs = {n: lambda n=n: [tuple(r) for r in _key_rows(n, df=keyed[n]).collect()] for n in names}
+    if fact in staged:
+        jobs["__facts"] = lambda: _fact_facts(staged[fact])
+        if fact in CONTRACTS:
+            jobs["__keys"] = lambda: write_parquet(key_index(staged[fact], *CONTRACTS[fact].key), f"{stage}/{fact}_keys")
+        if states:
+            kept = month_states(staged[fact], [c for c in staged[fact].columns if not c.startswith(FLAG)])
+            for name, df in kept.items():
+                jobs[f"__{name}"] = lambda name=name, df=df: write_parquet(df, f"{stage}/{fact}_{name}")
+    if decodes is not None:
+        jobs["__decodes"] = decodes.collect
+    done = _together(spark, jobs, parallel)
+
+    run = Load("", "", stage, replace_fact, names, [], 0, 0)
+    if states and fact in staged:
+        run.states = sorted(kept)
+    for n in names:
+        run.report += done[n]
+        if n == fact:
+            facts = done["__facts"]
+            run.months, run.n_rows = sorted(tuple(m) for m in facts.months), facts.n_rows
+            run.n_rejected = facts.n_all - facts.n_rows
+            run.fingerprint = f"{facts.n_all}-{(facts.parity or 0) % (1 << 64):016x}-{facts.total or 0:x}"
+            if fact in CONTRACTS:
+                index = read_key_index(spark, f"{stage}/{fact}_keys")
+                shared = 0 if replace_fact else _shared_keys(spark, index, keys_path(root, fact), run.months)
+                run.report += _fact_rows(n, staged[n], facts, shared)
+    for r in done.get("__decodes", ()):
+        run.report += [(fact, check_name, r.column_name, r[c], r[c] == 0)
+                       for check_name, c in (("unmatched", "n_unmatched"), ("invalid", "n_invalid"))]
+    run.load = load or f"content-{run.fingerprint}"
+    report = spark.createDataFrame(run.report, REPORT)
+    record(spark, root, run, "staged")
     if check:
-        require(report.where("check_name = 'rows'"))
+        try:
+            require(report.where("check_name = 'rows'"))
+        except ValueError:
+            record(spark, root, run, "failed")
+            raise
+    release(spark, root, run, fact, parallel)
     return report
+
+
+def release(spark: SparkSession, root: str, run: Load, fact: str = ARRIVALS.name, parallel: bool = True) -> None:
+    """Move a staged run into the warehouse. Doing it again gives the same tables."""
+    root = root.rstrip("/")
+
+    def move(name: str) -> None:
+        df = read_parquet(spark, f"{run.stage}/{name}")
+        df = df.drop(*[c for c in df.columns if c.startswith(FLAG)])
+        if name == fact:
+            refresh_months(df, f"{root}/{name}", MONTH, load=run.load, replace=run.replace)
+        else:
+            write_parquet(df, f"{root}/{name}")
+
+    jobs: dict[str, Callable[[], object]] = {n: lambda n=n: move(n) for n in run.tables}
+    if fact in run.tables and fact in CONTRACTS:
+        jobs["__keys"] = lambda: write_key_index(
+            read_key_index(spark, f"{run.stage}/{fact}_keys"), keys_path(root, fact), run.replace)
+    for state in run.states:
+        jobs[f"__{state}"] = lambda state=state: write_parquet(
+            read_parquet(spark, f"{run.stage}/{fact}_{state}"), state_path(root, fact, state), partition_by=MONTH,
+            partition_mode="static" if run.replace else "dynamic")
+    _together(spark, jobs, parallel)
+    record(spark, root, run, "released")
+
+
+def complete_releases(spark: SparkSession, root: str, fact: str = ARRIVALS.name) -> list[str]:
+    """Release, oldest first, every run that was staged and checked but not released to the end; their loads."""
+    runs = interrupted(spark, root)
+    for run in runs:
+        release(spark, root, run, fact)
+    return [run.load for run in runs]
+
+
+def published_keys_across_months(spark: SparkSession, root: str, fact: str = ARRIVALS.name) -> DataFrame:
+    """Q2 over the whole stored fact: every key that more than one month holds, from the index alone."""
+    return keys_across_months(read_key_index(spark, keys_path(root, fact)))

@@ -258,6 +258,16 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY ALL""",
     "scan_csv_header": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "scan_csv_mixed_headers": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "scan_csv_rejects": """
+        WITH l AS (SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderstatus AS status, o_orderpriority AS priority,
+                          CASE WHEN o_orderkey % 50 = 0 OR o_orderkey % 51 = 0 THEN 'fields'
+                               WHEN o_orderkey % 53 = 0 THEN 'quote' END AS problem,
+                          CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',extra'
+                               WHEN o_orderkey % 51 = 0 THEN o_orderkey || ',' || o_orderstatus
+                               WHEN o_orderkey % 53 = 0 THEN o_orderkey || ',' || o_orderstatus || ',"' || o_orderpriority END AS line
+                   FROM orders)
+        SELECT CASE WHEN problem IS NULL THEN key END AS key, CASE WHEN problem IS NULL THEN status END AS status,
+               CASE WHEN problem IS NULL THEN priority END AS priority, problem, line FROM l""",
     "scan_csv_semicolon": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "scan_by_format": " UNION ALL ".join(
         f"SELECT '{f}' AS format, s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
@@ -423,6 +433,7 @@ ORACLE_SQL: dict[str, str] = {
     "publish_report": " UNION ALL ".join([
         *_published("immigration", BUILD_FACT, ["ID"]),
         """SELECT 'immigration', 'rejected', 'year, month', CAST(0 AS BIGINT), true""",
+        """SELECT 'immigration', 'keys_in_other_months', 'ID', CAST(0 AS BIGINT), true""",
         *_published("demographics", BUILD_DIMENSION_STATE, ["City", "State_code", "Race"]),
         *_published("temperature", TEMPERATURE_UNROUNDED, ["Country"]),
         *_published("airports", BUILD_DIMENSION_FILTERED, ["ident"]),
@@ -430,6 +441,25 @@ ORACLE_SQL: dict[str, str] = {
               WITH d AS ({FACT_DECODED}) {_ALL_DECODES})"""
           for check, c in (("unmatched", "n_unmatched"), ("invalid", "n_invalid"))],
     ]),
+    "load_tables_checked": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, 2 * count(*) AS row_count, count(*) > 0 AS passed FROM ({sql})"
+        for name, sql in (("immigration", BUILD_FACT), ("demographics", BUILD_DIMENSION_STATE),
+                          ("temperature", TEMPERATURE_UNROUNDED), ("airports", BUILD_DIMENSION_FILTERED))),
+    "publish_loads": f"""
+        WITH f AS (SELECT * FROM ({BUILD_FACT}) WHERE "ID" IS NOT NULL),
+        l AS (SELECT 'odd' AS load, f.*, false AS lost FROM f WHERE month % 2 = 1
+              UNION ALL SELECT 'even', f.*, "ID" % 40 = 0 FROM f WHERE month % 2 = 0)
+        SELECT load, CAST(count(DISTINCT (year, month)) FILTER (NOT lost) AS INTEGER) AS n_months,
+               count(*) FILTER (NOT lost) AS n_rows, count(*) FILTER (lost) AS n_rejected,
+               count(*) FILTER (lost) AS n_stored_rejects,
+               (SELECT count(*) FROM l WHERE NOT lost) AS n_fact_rows
+        FROM l GROUP BY load""",
+    "quality_keys_across_months": f"""
+        WITH f AS (SELECT "ID", year, month FROM ({BUILD_FACT}) WHERE "ID" IS NOT NULL),
+        t AS (SELECT * FROM f UNION ALL SELECT "ID", year, month + 1 FROM f WHERE "ID" % 10 = 0 AND month < 12)
+        SELECT CAST("ID" AS BIGINT) AS "ID", count(DISTINCT (year, month)) AS n_months,
+               min(100 * year + month) AS first_month, max(100 * year + month) AS last_month
+        FROM t GROUP BY "ID" HAVING count(DISTINCT (year, month)) > 1""",
     "star_enriched": f"""
         WITH {STAR_LINKS}
         SELECT 'code' AS linked_by, f."ID", f.arrival_state, c.population AS "Total_population", c.n_cities,
@@ -447,4 +477,27 @@ ORACLE_SQL: dict[str, str] = {
                max(a.n_airports) AS n_airports
         FROM f LEFT JOIN by_code c ON f.arrival_state = c.k LEFT JOIN a ON f.arrival_state = a.k
         GROUP BY ALL""",
+    "star_state_month_refreshed": f"""
+        WITH {STAR_LINKS}
+        SELECT f.arrival_state, f.year, f.month, count(*) AS n_arrivals, max(c.population) AS state_population,
+               max(a.n_airports) AS n_airports
+        FROM f LEFT JOIN by_code c ON f.arrival_state = c.k LEFT JOIN a ON f.arrival_state = a.k
+        GROUP BY ALL""",
+    "profile_merged": f"WITH f AS ({BUILD_FACT}) " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count("{c}") AS n_null,
+            min(CAST("{c}" AS VARCHAR)) AS least, max(CAST("{c}" AS VARCHAR)) AS greatest, '{t}' AS narrowest_type FROM f"""
+        for c, t in (("ID", "int"), ("native_country", "string"), ("residence_country", "string"),
+                     ("port_of_admission", "string"), ("arrival_state", "string"), ("arrival_date", "date"),
+                     ("departure_date", "date"), ("visa", "string"), ("age", "int"), ("birth_year", "int"),
+                     ("gender", "string"), ("airline", "int"), ("Mode", "string"), ("visatype", "string"))),
+    "group_avg_merged": """
+        SELECT segment, total / n AS avg_acctbal, rep.c_name AS c_name, rep.c_custkey AS c_custkey
+        FROM (SELECT upper(c_mktsegment) AS segment, CAST(sum(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(28, 10))) AS DOUBLE) AS total,
+                     count(c_acctbal) AS n,
+                     min(CASE WHEN c_name IS NOT NULL THEN struct_pack(c_name := c_name, c_custkey := c_custkey) END) AS rep
+              FROM customer GROUP BY 1)""",
+    "decode_hot_codes": """
+        SELECT l_orderkey, l_linenumber, CAST(k AS VARCHAR) AS l_partkey, p_brand AS brand, p_size AS size
+        FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS k FROM lineitem)
+        LEFT JOIN part ON k = p_partkey""",
 }

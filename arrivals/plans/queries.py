@@ -27,6 +27,8 @@ from arrivals.functions.columns import (
 from arrivals.operators.aggregate import (
     aggregate_by_state,
     group_avg_first,
+    mean_states,
+    means,
     null_profile,
     row_count,
     sum_by_state_and_group,
@@ -39,7 +41,7 @@ from arrivals.operators.clean import (
     rename_columns,
     select_columns,
 )
-from arrivals.operators.decode import checked_broadcast, decode, decode_roles
+from arrivals.operators.decode import checked_broadcast, decode, decode_hybrid, decode_roles
 from arrivals.operators.quality import (
     contract_key_report,
     duplicate_keys,
@@ -60,11 +62,18 @@ from arrivals.plans.builds import (
     build_demographics,
     build_temperature,
     publish,
+    published_keys_across_months,
+    read_published,
 )
 from arrivals.plans.codebooks import MODE_CODES, MODE_RECODE, VISA_RECODE, lookup_frame, mode_lookup
+from arrivals.plans.ledger import applied_loads
+from arrivals.plans.load import load_tables
+from arrivals.plans.month_states import published_profile, published_state_month
 from arrivals.plans.star_views import arrivals_by_state_month, enriched_arrivals
 from arrivals.session import scratch_path, unique_table_name
 from arrivals.streaming.monthly import load_new_drops
+from arrivals.sources.checked import read_checked
+from arrivals.sources.checked import split as split_checked
 from arrivals.sources.readers import read_delimited, read_inferred, read_lookup, read_parquet, read_table
 from arrivals.sources.sinks import (
     append_by_name,
@@ -73,6 +82,7 @@ from arrivals.sources.sinks import (
     read_rejects,
     refresh_months,
     replace_table,
+    staged,
     write_parquet,
 )
 
@@ -141,6 +151,28 @@ def scan_csv_mixed_headers(spark, sf_dir):
     return conform(read_delimited(spark, path, src.columns), src.schema)
 
 
+def scan_csv_rejects(spark, sf_dir):
+    """S1 with its reject channel: orders as CSV lines, some with a field too many, one too few, or a quote that does
+    not end. One row per line: the good ones' columns, the malformed ones' problem and raw text."""
+    key = F.col("o_orderkey")
+    fields = [key.cast("string"), F.col("o_orderstatus"), F.col("o_orderpriority")]
+    line = (
+        F.when(key % 50 == 0, F.concat_ws(",", *fields, F.lit("extra"))).when(key % 51 == 0, F.concat_ws(",", *fields[:2]))
+        .when(key % 53 == 0, F.concat_ws(",", *fields[:2], F.concat(F.lit('"'), fields[2])))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    path = scratch_path(spark, "csv_rejects")
+    columns = ["key", "status", "priority"]
+    # One text column, unquoted, whose name is the header line.
+    T(spark, sf_dir, "orders").select(line.alias(",".join(columns))).write.options(
+        header="true", sep="\x01", quote="\0").csv(path)
+    checked = staged(read_checked(spark, path, columns), "csv_checked")
+    good, rejects = split_checked(checked)
+    none = F.lit(None).cast("string")
+    return good.select(*columns, none.alias("problem"), none.alias("line")).unionByName(
+        rejects.select(*[none.alias(c) for c in columns], "problem", "line"))
+
+
 def scan_csv_semicolon(spark, sf_dir):
     src = T(spark, sf_dir, "nation")
     path = scratch_path(spark, "scan_csv_semicolon")
@@ -594,21 +626,118 @@ def stream_monthly_drops(spark, sf_dir):
     return read_parquet(spark, target)
 
 
-def publish_report(spark, sf_dir):
-    """All four tables written and checked: rows, keys, rejects and codes."""
-    tables = {
-        "immigration": build_fact(spark, sf_dir),
+def _published_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    return {
+        "immigration": build_arrivals(dt.raw_arrivals(spark, sf_dir), _marked_lookups(spark, sf_dir), flags=True),
         "demographics": build_dimension_state(spark, sf_dir),
         "temperature": build_temperature(dt.raw_temperature(spark, sf_dir)),
         "airports": build_dimension_filtered(spark, sf_dir),
     }
-    return publish(spark, tables, scratch_path(spark, "publish"), decodes=quality_fact_decodes(spark, sf_dir))
+
+
+def publish_report(spark, sf_dir):
+    """All four tables staged, checked and released: rows, keys, rejects and codes."""
+    return publish(spark, _published_tables(spark, sf_dir), scratch_path(spark, "publish"))
+
+
+def publish_loads(spark, sf_dir):
+    """Three loads into one warehouse: the odd months with rows without a month, a correction of them without any
+    under the same name, and the even months with some; then a load without rows, which must change nothing.
+
+    One row per applied load (what the ledger says) and, from the stored tables, its rejects and all fact rows.
+    """
+    root = scratch_path(spark, "publish-loads")
+    tables = _published_tables(spark, sf_dir)
+    fact = tables["immigration"].where("ID IS NOT NULL")
+    lose = lambda df, n: df.withColumn("month", F.when(F.col("ID") % n != 0, F.col("month")))
+    odd, even = fact.where("month % 2 = 1"), fact.where("month % 2 = 0")
+    for load, df in (("odd", lose(odd, 50)), ("even", lose(even, 40)), ("odd", odd)):
+        publish(spark, tables | {"immigration": df}, root, load=load)
+    try:
+        publish(spark, tables | {"immigration": fact.where("ID < 0")}, root, load="nothing")
+    except ValueError:
+        pass  # refused: the tables stay
+    rejects = read_rejects(spark, f"{root}/immigration", CONTRACTS["immigration"].schema).groupBy("load").agg(
+        F.count(F.lit(1)).alias("n_stored_rejects"))
+    n_fact_rows = read_published(spark, root, "immigration").count()
+    return applied_loads(spark, root).join(rejects, "load", "left").select(
+        "load", F.size("months").alias("n_months"), "n_rows", "n_rejected",
+        F.coalesce("n_stored_rejects", F.lit(0)).alias("n_stored_rejects"), F.lit(n_fact_rows).cast("long").alias("n_fact_rows"))
+
+
+def quality_keys_across_months(spark, sf_dir):
+    """Q2 over the months of a warehouse: odd and even months are published one after the other, and every tenth
+    arrival of a month comes again in the month after; the index names the keys that two months hold."""
+    root = scratch_path(spark, "publish-keys")
+    tables = _published_tables(spark, sf_dir)
+    fact = tables["immigration"]
+    late = fact.where("ID % 10 = 0 AND month < 12").withColumn("month", F.col("month") + 1)
+    twice = fact.unionByName(late)
+    for parity in (1, 0):
+        publish(spark, {"immigration": twice.where(F.col("month") % 2 == parity)}, root)
+    return published_keys_across_months(spark, root).withColumnRenamed("key", "ID")
+
+
+def load_tables_checked(spark, sf_dir):
+    """The four tables published, loaded twice into catalog tables (the second load appends), and checked by name."""
+    root = scratch_path(spark, "publish-load")
+    publish(spark, _published_tables(spark, sf_dir), root)
+    database = unique_table_name("warehouse")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    load_tables(spark, root, database=database)
+    report = load_tables(spark, root, database=database).select(
+        F.substring_index("table_name", ".", -1).alias("table_name"), "row_count", "passed")
+    report = staged(report, "load-report")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return report
+
+
+def star_state_month_refreshed(spark, sf_dir):
+    """J6/J7 from per-month partial counts: the odd months are published with rows of other states, then the even
+    months, then the odd months corrected; the report reads the months' states, not the fact."""
+    fact, demographics, airports, _ = _star_tables(spark, sf_dir, decode_state=False)
+    root = scratch_path(spark, "publish-star")
+    odd, even = F.col("month") % 2 == 1, F.col("month") % 2 == 0
+    for df in (fact.where(odd).withColumn("arrival_state", F.lit("S99")), fact.where(even), fact.where(odd)):
+        publish(spark, {"immigration": df}, root, states=True)
+    return published_state_month(spark, root, demographics, airports)
+
+
+def profile_merged(spark, sf_dir):
+    """A4/Q3 over all months of a fact whose months were loaded one after the other: merged from stored states."""
+    fact = build_fact(spark, sf_dir)
+    root = scratch_path(spark, "publish-profile")
+    for parity in (0, 1):
+        publish(spark, {"immigration": fact.where(F.col("month") % 2 == parity)}, root, states=True)
+    return published_profile(spark, root).drop("n_distinct")
+
+
+def group_avg_merged(spark, sf_dir):
+    """A1 from the states of three drops of unequal size, each stored on its own."""
+    c = T(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 10
+    paths = []
+    for drop in (k < 1, (k >= 1) & (k < 4), k >= 4):
+        state = mean_states(c.where(drop), "c_mktsegment", "c_acctbal", ["c_name", "c_custkey"], out_group="segment")
+        paths.append(scratch_path(spark, "mean-state"))
+        write_parquet(state, paths[-1])
+    return means(read_parquet(spark, paths), "segment", "avg_acctbal")
+
+
+def decode_hot_codes(spark, sf_dir):
+    """J1 with a book beyond the broadcast bound and a third of the rows on one code."""
+    li = T(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey")).cast("string").alias("l_partkey"))
+    return decode_hybrid(li, "l_partkey", T(spark, sf_dir, "part"), ["brand", "size"], lookup_code="p_partkey",
+                         lookup_label=["p_brand", "p_size"], keep_code=True, max_broadcast_rows=100)
 
 
 QUERIES: dict[str, Query] = {
     "arrivals_by_nation_month": arrivals_by_nation_month,
     "scan_csv_header": scan_csv_header,
     "scan_csv_mixed_headers": scan_csv_mixed_headers,
+    "scan_csv_rejects": scan_csv_rejects,
     "scan_csv_semicolon": scan_csv_semicolon,
     "scan_by_format": scan_by_format,
     "scan_csv_inferred": scan_csv_inferred,
@@ -661,5 +790,12 @@ QUERIES: dict[str, Query] = {
     "build_dimension_country": build_dimension_country,
     "build_dimension_filtered": build_dimension_filtered,
     "publish_report": publish_report,
+    "publish_loads": publish_loads,
+    "load_tables_checked": load_tables_checked,
+    "star_state_month_refreshed": star_state_month_refreshed,
+    "profile_merged": profile_merged,
+    "group_avg_merged": group_avg_merged,
+    "decode_hot_codes": decode_hot_codes,
+    "quality_keys_across_months": quality_keys_across_months,
     "stream_monthly_drops": stream_monthly_drops,
 }

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from arrivals.plans.builds import (
     Lookups,
     RawInputs,
-    arrivals_decode_report,
     build_airports,
     build_all,
     build_arrivals,
@@ -34,7 +33,7 @@ from arrivals.schemas import (
 )
 from arrivals.session import apply_cluster_conf
 from arrivals.sources.readers import read_table
-from arrivals.sources.sinks import refresh_months, write_parquet
+from arrivals.sources.sinks import refresh_months, staged, write_parquet
 
 
 def run_etl(
@@ -45,18 +44,19 @@ def run_etl(
     decode_port: bool = False,
     decode_state: bool = False,
     replace_fact: bool = False,
+    load: str | None = None,
 ) -> DataFrame:
-    """Build the four tables, write them under ``output_root`` and return the
+    """Build the four tables, publish them under ``output_root`` and return the
     (already checked) quality report of this run: rows, keys, rejected rows, and
     codes without a valid label. ``replace_fact`` replaces the fact as a whole
-    (a corrected full load) instead of month by month."""
-    tables = build_all(spark, inputs, lookups, decode_port=decode_port, decode_state=decode_state)
-    decodes = arrivals_decode_report(read_raw_arrivals(spark, inputs.arrivals, inputs.fmt), lookups)
-    return publish(spark, tables, output_root, replace_fact=replace_fact, decodes=decodes)
+    (a corrected full load) instead of month by month; ``load`` names the input
+    in the ledger (by default by its content). The raw arrivals are read once."""
+    tables = build_all(spark, inputs, lookups, decode_port=decode_port, decode_state=decode_state, flags=True)
+    return publish(spark, tables, output_root, replace_fact=replace_fact, load=load, states=True)
 
 
 # --- one call per dataset: (spark, input_path, output_path, input_format) -------------
-# Fixed names: the public entry points that callers of the original use.
+# Fixed names: the public entry points that callers of the original use, ``imput_format`` (their spelling) included.
 
 def process_immigration(
     spark: SparkSession,
@@ -64,12 +64,13 @@ def process_immigration(
     output_path: str,
     input_format: str = "csv",
     *,
-    country_lookup: str,
+    country_lookup: str = "lookup/country.csv",
     mode_lookup: str | None = None,
     visa_lookup: str | None = None,
     port_lookup: str | None = None,
     state_lookup: str | None = None,
     replace: bool = False,
+    imput_format: str | None = None,
 ) -> None:
     """Raw arrivals -> fact table at ``output_path`` (months refreshed, not appended; ``replace`` replaces all).
 
@@ -77,29 +78,36 @@ def process_immigration(
     mode and visa default to the fixed books, port and state are decoded where
     their book is given.
     """
-    raw = read_raw_arrivals(spark, input_path, input_format)
+    raw = read_raw_arrivals(spark, input_path, imput_format or input_format)
     lookups = Lookups.from_files(spark, country=country_lookup, mode=mode_lookup, visa=visa_lookup,
                                  port=port_lookup, state=state_lookup)
     fact = build_arrivals(raw, lookups, decode_port=port_lookup is not None, decode_state=state_lookup is not None)
-    refresh_months(fact, output_path, load=input_path, replace=replace)
+    refresh_months(staged(fact, "immigration"), output_path, load=input_path, replace=replace)
 
 
-def process_demographics(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
+def process_demographics(
+    spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv", *, imput_format: str | None = None
+) -> None:
     """Raw city demographics (``;``-separated when CSV) -> demographics table."""
-    opts = {"sep": ";"} if input_format == "csv" else {}
-    raw = read_table(spark, input_path, input_format, columns=RAW_DEMOGRAPHICS_COLUMNS, **opts)
+    fmt = imput_format or input_format
+    opts = {"sep": ";"} if fmt == "csv" else {}
+    raw = read_table(spark, input_path, fmt, columns=RAW_DEMOGRAPHICS_COLUMNS, **opts)
     write_parquet(build_demographics(raw), output_path)
 
 
-def process_temperature(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
+def process_temperature(
+    spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv", *, imput_format: str | None = None
+) -> None:
     """Raw city temperatures -> one row per country."""
-    raw = read_table(spark, input_path, input_format, columns=RAW_TEMPERATURE_COLUMNS)
+    raw = read_table(spark, input_path, imput_format or input_format, columns=RAW_TEMPERATURE_COLUMNS)
     write_parquet(build_temperature(raw), output_path)
 
 
-def process_airports(spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv") -> None:
+def process_airports(
+    spark: SparkSession, input_path: str, output_path: str, input_format: str = "csv", *, imput_format: str | None = None
+) -> None:
     """Raw airport codes -> US airports with a state column."""
-    raw = read_table(spark, input_path, input_format, columns=RAW_AIRPORTS_COLUMNS,
+    raw = read_table(spark, input_path, imput_format or input_format, columns=RAW_AIRPORTS_COLUMNS,
                      allow_missing=OPTIONAL_AIRPORTS_COLUMNS)
     write_parquet(build_airports(raw), output_path)
 
@@ -112,6 +120,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument(f"--{name}")
     p.add_argument("--format", default="csv")
     p.add_argument("--replace-fact", action="store_true")
+    p.add_argument("--load", help="name of this input in the ledger of loads")
     p.add_argument("--input-gb", type=float, help="raw input size; sizes the shuffles")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("arrivals-build").getOrCreate()
@@ -120,7 +129,8 @@ def main(argv: list[str] | None = None) -> None:
                                  port=a.port_lookup, state=a.state_lookup)
     inputs = RawInputs(a.arrivals, a.demographics, a.temperature, a.airports, a.format)
     report = run_etl(spark, inputs, lookups, a.output,
-                     decode_port=a.port_lookup is not None, decode_state=a.state_lookup is not None, replace_fact=a.replace_fact)
+                     decode_port=a.port_lookup is not None, decode_state=a.state_lookup is not None, replace_fact=a.replace_fact,
+                     load=a.load)
     report.show(200, truncate=False)
 
 

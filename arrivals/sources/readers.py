@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals.functions.columns import normalise_text
+from arrivals.operators.profile import infer_types
 
 FILE = "__file"
 
@@ -45,7 +46,7 @@ def file_headers(spark: SparkSession, path: str | list[str], **options: str) ->
                 yield batch.slice(0, 1)
                 return
 
-    reader = spark.read.options(**{k: v for k, v in options.items() if k in _FILE_OPTIONS})
+    reader = spark.read.options(**{k: v for k, v in options.items() if k in FILE_OPTIONS})
     lines = reader.text(_paths(path)).select(F.col("_metadata.file_path").alias("file"), "value")
     before = {k: spark.conf.get(k) for k in _SPLITTING}
     for k in _SPLITTING:
@@ -62,7 +63,7 @@ def file_headers(spark: SparkSession, path: str | list[str], **options: str) ->
 
 
 _SPLITTING = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-_FILE_OPTIONS = ("encoding", "pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter")
+FILE_OPTIONS = ("encoding", "pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter")
 
 
 def _find(names: list[str], wanted: str) -> str | None:
@@ -75,11 +76,12 @@ def _find(names: list[str], wanted: str) -> str | None:
     return same[0] if same else None
 
 
-def _select_by_name(
+def select_by_name(
     df: DataFrame, columns: Iterable[str] | None, allow_missing: bool | Iterable[str], source: str = "the input",
-    names: list[str] | None = None,
+    names: list[str] | None = None, keep: Iterable[str] = (),
 ) -> DataFrame:
-    """The wanted columns in order; missing ones are null if allowed, else an error that names the source."""
+    """The wanted columns in order, then those of ``keep``; missing ones are null if allowed, else an error that
+    names the source."""
     names = df.columns if names is None else names
     if columns is None:
         return df.select(*[F.col(f"`{n}`") for n in names])
@@ -93,7 +95,7 @@ def _select_by_name(
             cols.append(F.lit(None).cast("string").alias(name))
         else:
             raise ValueError(f"column {name!r} not found in {source}; it has {names}")
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def _named_cells(df: DataFrame, header: str, sep: str) -> list[str]:
@@ -128,7 +130,7 @@ def read_delimited(
     parts = []
     for header, files in headers.items():
         df = spark.read.options(header="true", sep=sep, **options).csv([literal_path(f) for f in files])
-        part = _select_by_name(df, columns, allow_missing, files[0], _named_cells(df, header, sep))
+        part = select_by_name(df, columns, allow_missing, files[0], _named_cells(df, header, sep))
         parts.append(part.withColumn(FILE, F.col("_metadata.file_path")) if with_file else part)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
@@ -156,22 +158,23 @@ def read_table(
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.options(**options).load(path)
-    out = _select_by_name(df, columns, allow_missing, str(path))
+    out = select_by_name(df, columns, allow_missing, str(path))
     return out.withColumn(FILE, F.col("_metadata.file_path")) if with_file else out
 
 
 def read_inferred(spark: SparkSession, path: str | list[str], sep: str = ",", sampling_ratio: float = 1.0) -> DataFrame:
-    """Header CSV with type inference (an extra pass over the data; use a
-    sampling ratio below 1 on large inputs, or better, a contract).
-
-    The files must share one header: types are inferred over all of them.
+    """Header CSV with type inference: the narrowest type that holds every value of a column.
+
+    Columns are found by name, so files may have different headers; one scan
+    counts for all columns of all files how many values each type holds, and the
+    picked types do not depend on partitioning or file order. That scan is an
+    extra pass over the data: a contract (``read_delimited``) saves it, and a
+    sampling ratio below 1 shortens it (a value that does not fit the type
+    found on the sample then reads as null).
     """
-    headers = file_headers(spark, path)
-    if len(headers) != 1:
-        raise ValueError(f"{len(headers)} different headers in {path!r}; read it with read_delimited and a contract")
-    df = (spark.read.option("header", "true").option("sep", sep)
-          .option("inferSchema", "true").option("samplingRatio", str(sampling_ratio)).csv(path))
-    return _select_by_name(df, None, False, names=_named_cells(df, next(iter(headers)), sep))
+    text = read_delimited(spark, path, sep=sep)
+    schema = infer_types(text if sampling_ratio >= 1 else text.sample(sampling_ratio, seed=41))
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_lookup(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:

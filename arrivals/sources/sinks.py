@@ -16,11 +16,14 @@ from pyspark.sql import types as T
 
 from arrivals.functions.columns import text_to_double, text_to_int
 from arrivals.schemas import Contract
+from arrivals.session import scratch_path
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Iterable[str] = ()) -> None:
-    """Parquet, overwrite by default."""
-    writer = df.write.mode(mode)
+def write_parquet(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Iterable[str] = (), partition_mode: str = "static"
+) -> None:
+    """Parquet, overwrite by default (with ``partition_mode="dynamic"`` only the partitions that ``df`` has)."""
+    writer = df.write.mode(mode).option("partitionOverwriteMode", partition_mode)
     cols = list(partition_by)
     if cols:
         writer = writer.partitionBy(*cols)
@@ -113,6 +116,27 @@ def rejects_path(path: str) -> str:
     return path.rstrip("/") + "_rejects"
 
 
+# Characters that Spark writes as %XX in the name of a partition folder.
+_ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(c) for c in range(1, 32)}
+
+
+def partition_folder(column: str, value: str) -> str:
+    """``column=value`` as Spark names the folder of a partition."""
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+
+def write_rejects(rejects: DataFrame, path: str, load: str, replace: bool = False) -> None:
+    """Replace the rejects of ``load`` beside the table at ``path``, also when there are none now.
+
+    ``replace`` removes those of all other loads too.
+    """
+    if replace:  # an empty frame empties the whole folder
+        nothing = rejects.where(F.lit(False)).withColumn("load", F.lit(load))
+        nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("load").parquet(
+            rejects_path(path))
+    rejects.write.mode("overwrite").parquet(f"{rejects_path(path)}/{partition_folder('load', load)}")
+
+
 def refresh_months(
     df: DataFrame,
     path: str,
@@ -130,7 +154,9 @@ def refresh_months(
 
     Rows without a year or month belong to no month. They are kept beside the
     table (``rejects_path``) in a partition per ``load``, a name for this input:
-    repeating a load replaces its own rejects, and no load replaces another's.
+    repeating a load replaces its own rejects, also when it has none any more, and
+    no load replaces another's. Both writes read ``df``: give a stored frame
+    (``staged``) if computing it is expensive.
 
     With ``rebalance`` (default) the rows are clustered by month through the
     ``REBALANCE`` hint before writing: AQE sizes the writer partitions to the
@@ -146,10 +172,15 @@ def refresh_months(
         good = good.hint("rebalance", *cols)
     mode = "static" if replace else "dynamic"
     good.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*cols).parquet(path)
-    (
-        df.where(bad).withColumn("load", F.lit(load or uuid.uuid4().hex))
-        .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("load").parquet(rejects_path(path))
-    )
+    write_rejects(df.where(bad), path, load or uuid.uuid4().hex, replace)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back, for work that needs it several times."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

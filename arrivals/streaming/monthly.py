@@ -19,10 +19,15 @@ one month may be spread over any number of them. A later call's files replace
 the months they contain: a drop carries whole months. A file whose name
 declares a month (``2016_05``, ``2016-05``) and that holds rows of another
 month is an error, as a stray row would replace that other month.
+
+    python -m arrivals.streaming.monthly --drops D --target T --checkpoint C --country-lookup L
+
+loads what is new and ends, so any scheduler can call it monthly.
 """
 
 from __future__ import annotations
 
+import argparse
 import re
 from collections.abc import Callable
 from urllib.parse import unquote
@@ -32,9 +37,9 @@ from pyspark.sql import functions as F
 
 from arrivals.functions.columns import text_to_int
 from arrivals.plans.builds import Lookups, build_arrivals, read_raw_arrivals
-from arrivals.session import scratch_path
+from arrivals.session import apply_cluster_conf, scratch_path
 from arrivals.sources.readers import FILE, literal_path
-from arrivals.sources.sinks import refresh_months
+from arrivals.sources.sinks import refresh_months, staged
 
 # Fixed schema of Spark's binaryFile source (a streaming source needs it up front).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -69,7 +74,10 @@ def _batch_writer(
             return
         raw = read_raw_arrivals(spark, [literal_path(f) for f in files], fmt, with_file=True, **options)
         _check_declared(raw)
-        refresh_months(build_arrivals(raw.drop(FILE), lookups), target, load=f"batch-{batch_id}")
+        # Batches are numbered anew by every checkpoint: the stream's own id keeps their rejects apart.
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        fact = staged(build_arrivals(raw.drop(FILE), lookups), "drops")
+        refresh_months(fact, target, load=f"{stream}-batch-{batch_id}")
 
     return write
 
@@ -105,3 +113,23 @@ def load_new_drops(
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"monthly load failed: {exc}")
+
+
+def main(argv: list[str] | None = None) -> None:
+    p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    for name in ("drops", "target", "checkpoint", "country-lookup"):
+        p.add_argument(f"--{name}", required=True)
+    for name in ("mode-lookup", "visa-lookup"):
+        p.add_argument(f"--{name}")
+    p.add_argument("--format", default="csv")
+    p.add_argument("--sep", default=",")
+    p.add_argument("--input-gb", type=float, help="size of the new drops; sizes the shuffles")
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("arrivals-drops").getOrCreate()
+    apply_cluster_conf(spark, a.input_gb)
+    lookups = Lookups.from_files(spark, country=a.country_lookup, mode=a.mode_lookup, visa=a.visa_lookup)
+    load_new_drops(spark, a.drops, lookups, a.target, a.checkpoint, sep=a.sep, fmt=a.format)
+
+
+if __name__ == "__main__":
+    main()

@@ -94,6 +94,21 @@ def test_only_blank_header_cells_are_dropped(spark, tmp_path, write_text):
     assert read_delimited(spark, write_text("n.csv", "_c0,,_city\n1,2,3\n")).columns == ["_c0", "_city"]
 
 
-def test_inferred_scan_refuses_mixed_headers(spark, tmp_path):
-    with pytest.raises(ValueError, match="2 different headers"):
-        read_inferred(spark, _folder(tmp_path, {"a.csv": "a,b\n1,2\n", "b.csv": "b,a\n1,2\n"}))
+def test_mixed_headers_infer_in_one_scan(spark, tmp_path):
+    """Types by column name over all files, narrowest first; the same on any partitioning."""
+    d = _folder(tmp_path, {
+        "a.csv": "a,b,c,d\n1,2,x,2020-01-02\n,3000000000,,2020-01-03\n",
+        "b.csv": "b,a,e,f\n2,1.5,true,2020-01-02 03:04:05\n,2,FALSE,2020-01-02\n",
+        "c.csv": "g,h,i\n12345678901234567890,,007\n5,,-8\n",
+    })
+    df = read_inferred(spark, d)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert types == {"a": "double", "b": "bigint", "c": "string", "d": "date", "e": "boolean", "f": "timestamp",
+                     "g": "decimal(38,0)", "h": "string", "i": "int"}
+    assert sorted((r.a, r.b) for r in df.where("a is not null and b is not null").collect()) == [(1.0, 2), (1.5, 2)]
+    assert [int(r.g) for r in df.where("g is not null").orderBy("g").collect()] == [5, 12345678901234567890]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        assert read_inferred(spark, d).schema == df.schema
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
