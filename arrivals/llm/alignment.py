@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from arrivals.llm.common import text_or_empty, written
 from arrivals.llm.vocabularies import (
-    LONG_PIECE, PLAIN, SPACED_RUNS, Remembered, byte_letters, read_vocabulary, speller)
+    LONG_PIECE, PLAIN, SPACED_RUNS, Remembered, byte_letters, kept_in_worker, read_vocabulary, speller)
 
 POSTINGS = 1 << 21     # (document, pair) entries of a block, about
 DOCUMENTS = 1 << 16    # documents of a block: their numbers fit 16 bits
@@ -162,7 +162,7 @@ class Aligner:
         known.trim()
         split = [(_CUT.split(t) if self.by_word else [t]) if t else [] for t in texts]
         if self.by_word:
-            new = set(chain.from_iterable(split)).difference(known)
+            new = known.new_of(set(chain.from_iterable(split)))
             plain = [w for w in new if len(w) <= LONG_PIECE and PLAIN.fullmatch(w)]
             if plain:
                 self._learn(plain)
@@ -255,7 +255,7 @@ def _block_batch(block: int, docs: list[tuple], postings: list[tuple[np.ndarray,
 
 def _index(vocabulary_a: bytes, vocabulary_b: bytes, most_postings: int, most_docs: int):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(vocabulary_a, vocabulary_b)
+        aligner = kept_in_worker(Aligner, vocabulary_a, vocabulary_b)
         docs, postings, held, number, part = [], [], 0, 0, 0
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
@@ -343,7 +343,7 @@ def token_groups(docs: DataFrame, path_a: str | None = None, path_b: str | None
     a, b = read_vocabulary("byte_bpe_50k.json", path_a), read_vocabulary("piece_bpe_32k.model", path_b)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(a, b)
+        aligner = kept_in_worker(Aligner, a, b)
         for batch in batches:
             groups = [x[3] for texts in _some(batch.column("text")) for x in aligner.align_all(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(groups, pa.string())], names=["doc_id", "groups"])

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrivals.llm.common import hash_sample, text_or_empty
-from arrivals.llm.vocabularies import WordEncoder, read_vocabulary
+from arrivals.llm.vocabularies import WordEncoder, kept_in_worker, read_vocabulary
 
 # Fixed values of the zstandard frame format: the magic number of skippable frames.
 _SKIP = b"\x50\x2a\x4d\x18"
@@ -122,7 +122,7 @@ def _encode_shards(vocabulary: bytes, end_id: int, content: bytes, shard_bytes:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encoder, end = WordEncoder(vocabulary), struct.pack("<I", end_id)
+        encoder, end = kept_in_worker(WordEncoder, vocabulary), struct.pack("<I", end_id)
         compressor = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(content))
         shard, number = None, 0
         for batch in batches:
@@ -145,7 +145,7 @@ def _encode_shards(vocabulary: bytes, end_id: int, content: bytes, shard_bytes:
 
 def _sample_ids(vocabulary: bytes, most: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        encoder = kept_in_worker(WordEncoder, vocabulary)
         for batch in batches:
             ids = [encoder.encode(t.as_py())[:most] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])

@@ -12,9 +12,11 @@ so executors need not have them.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
+import types
 from array import array
 from pathlib import Path
 
@@ -66,23 +68,48 @@ def speller() -> dict[int, str]:
 
 
 class Remembered(dict):
-    """piece -> value, computed when missing; long pieces are computed each time."""
+    """piece -> value, computed when missing; long pieces are computed each time.
+
+    Two generations of half of ``PIECES``: when the young one is full it becomes
+    the old one, and an old piece that is asked for again is young again, so
+    frequent pieces stay.
+    """
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.old = compute, {}
 
     def __missing__(self, piece):
-        value = self.compute(piece)
+        value = self.old[piece] if piece in self.old else self.compute(piece)
         if len(piece) <= LONG_PIECE:
             self[piece] = value
         return value
 
+    def new_of(self, pieces: set[str]) -> list[str]:
+        """Those of ``pieces`` that no generation holds."""
+        absent = pieces.difference(self)
+        for piece in absent.intersection(self.old):
+            self[piece] = self.old[piece]
+        return list(absent.difference(self))
+
     def trim(self):
-        if len(self) > PIECES:
+        if len(self) > PIECES // 2:
+            self.old = dict(self)
             self.clear()
 
 
+def kept_in_worker(kind: type, *vocabularies: bytes):
+    """``kind(*vocabularies)``, kept for later tasks of this Python worker: loaded tokenizers and remembered pieces.
+
+    Only the last one is kept. It is a cache: a new worker starts without it and gets the same results.
+    """
+    state = sys.modules.setdefault("arrivals_worker_state", types.ModuleType("arrivals_worker_state"))
+    key = kind.__name__, *(hashlib.sha256(v).hexdigest() for v in vocabularies)
+    if getattr(state, "key", None) != key:
+        state.value, state.key = kind(*vocabularies), key
+    return state.value
+
+
 class WordEncoder:
     """Texts to little-endian unsigned 32-bit ids (without special tokens added)."""
 
@@ -101,8 +128,7 @@ class WordEncoder:
                         for t in added)
         )
         self.model, self.spelled = self.tokenizer.model, speller()
-        self.words, self.parts = Remembered(self._whole), Remembered(self._part)
-        self.words[""] = b""
+        self.words, self.parts = Remembered(lambda w: self._whole(w) if w else b""), Remembered(self._part)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

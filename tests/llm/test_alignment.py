@@ -147,3 +147,15 @@ def test_planes_hold_sparse_and_dense_pairs():
 def test_clashing_columns_and_empty_table(spark):
     assert result(align_documents(edge_docs(spark, ("part", "block", "pair", "n_links")))) == brute(edge_rows())[0]
     assert align_documents(empty_docs(spark)).count() == 0
+
+
+def test_remembered_words_survive_generations(monkeypatch):
+    from arrivals.llm import vocabularies
+
+    monkeypatch.setattr(vocabularies, "PIECES", 4)
+    aligner = Aligner(read_vocabulary("byte_bpe_50k.json"), read_vocabulary("piece_bpe_32k.model"))
+    texts = [f"the word{i % 5} of don't l'été ▁x {'y' * 70} word{i % 3}" if i % 4 else f"the word{i % 5},\nnext of" for i in range(30)]
+    for _ in range(2):
+        for text, (_, _, _, groups) in zip(texts, aligner.align_all(texts), strict=True):
+            want = brute_groups(text)
+            assert groups == (spelled(want) if want else "")

@@ -140,3 +140,18 @@ def test_dictionary_repeats_and_pays(spark):
     shared = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(one))
     plain = zstandard.ZstdCompressor(level=3)
     assert sum(len(shared.compress(x)) for x in short) < 0.9 * sum(len(plain.compress(x)) for x in short)
+
+
+def test_remembered_pieces_survive_generations(monkeypatch):
+    """With room for a few pieces only, and a worker's encoder used again, ids stay the same."""
+    from arrivals.llm import vocabularies
+
+    monkeypatch.setattr(vocabularies, "PIECES", 6)
+    encoder = vocabularies.kept_in_worker(WordEncoder, VOCABULARY)
+    rng = random.Random(6)
+    for _ in range(60):
+        text = " ".join(rng.choice(["the", "of", "don't", "l'été", "x" * 70, "été.", f"w{rng.randrange(40)}"]) for _ in range(9))
+        assert encoder.encode(text) == packed(ids(text)[:-1])
+        assert vocabularies.kept_in_worker(WordEncoder, VOCABULARY) is encoder
+    assert len(encoder.parts) + len(encoder.parts.old) < 60
+    assert vocabularies.kept_in_worker(WordEncoder, read_vocabulary("byte_bpe_50k.json")) is not encoder
