@@ -64,13 +64,13 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """(line, first, holder, lid, len): each distinct line with its first place and the hash of the one text there
-    that holds it (should two texts share a place's 30 bits, either of them)."""
+    """(line, first, holder, n, lid, len): each distinct line with its first place, the hash of the one text there
+    that holds it (should two texts share a place's 30 bits, either of them), and how often it occurs."""
     place = _place(F.col("doc_id"), F.col("pos"), F.col("doc_hash")).alias("place")
     return (
         occurrences(docs).select("line", "doc_hash", place)
-        .groupBy("line").agg(F.min("place").alias("first"), F.min_by("doc_hash", "place").alias("holder"))
-        .select("line", "first", "holder", F.xxhash64("line").alias("lid"), F.length("line").alias("len"))
+        .groupBy("line").agg(F.min("place").alias("first"), F.min_by("doc_hash", "place").alias("holder"), F.count("*").alias("n"))
+        .select("line", "first", "holder", "n", F.xxhash64("line").alias("lid"), F.length("line").alias("len"))
     )
 
 
@@ -226,9 +226,10 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """``docs`` plus ``n_lines, n_removed`` (long, lines with a word) and ``kept_text``."""
     lines = written(distinct_lines(docs), "lines-distinct")
     linked = line_links(lines, p).distinct().withColumn("linked", F.lit(True))
+    # A line that occurs once and has no near line before it stays: most lines need no verdict.
     verdicts = written(
-        lines.select("lid", _second_id(F.col("line")).alias("lid2"), "first", "holder").join(linked, ["lid", "lid2"], "left")
-        .withColumn("linked", F.coalesce("linked", F.lit(False))),
+        lines.select("lid", _second_id(F.col("line")).alias("lid2"), "first", "holder", "n").join(linked, ["lid", "lid2"], "left")
+        .withColumn("linked", F.coalesce("linked", F.lit(False))).filter("linked or n > 1").drop("n"),
         "lines-verdicts")
     seen = occurrences(docs).select(
         F.col("doc_id").alias("__llm_doc"), F.col("doc_hash").alias("__llm_hash"), "pos",
