@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.llm.common import BLANKS, bind, text_or_empty, written
+from arrivals.operators.key_index import bit_of
 
 
 # Letters whose counts make the profile: common ones of the Latin alphabet, and the blank.
@@ -106,6 +107,21 @@ def _may_be_near(a: Column, b: Column, threshold: int) -> Column:
     return apart <= 2 * threshold
 
 
+def _with_ids(lines: DataFrame, ids: DataFrame, most_bits: int = 1 << 29) -> DataFrame:
+    """``lines`` whose lid is among ``ids``: a bitmap of hashed ids drops nearly all other lines before the semi-join
+    moves any text. It has 16 bits an id, 64 MB at most (beyond, it lets more lines pass), and is broadcast."""
+    bits = 1 << 15
+    while bits < min(16 * ids.count(), most_bits):
+        bits *= 2
+    slot = lambda lid: F.pmod(F.xxhash64(F.lit(3), lid), F.lit(bits))
+    bitmap = ids.select(slot(F.col("lid")).alias("slot")).groupBy(F.expr("slot div 32768").alias("part")).agg(
+        F.bitmap_construct_agg(F.col("slot") % 32768).alias("bitmap"))
+    slotted = lines.withColumn("slot", slot(F.col("lid")))
+    maybe = slotted.join(F.broadcast(bitmap), F.expr("slot div 32768") == F.col("part")).filter(
+        bit_of(F.col("bitmap"), F.col("slot") % 32768))
+    return maybe.select(*lines.columns).join(ids, "lid", "left_semi")
+
+
 def _pieces(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) -> DataFrame:
     """(lid, text, target, i, start, size) from rows (lid, text, len): one row per line and shape, not yet cut.
 
@@ -151,8 +167,8 @@ def candidate_pairs(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame
     hot_rows = [
         written(_keyed(x.join(spots, ["target", "i"], "left_semi")).join(hot, "key", "left_semi").select("lid", "key"),
                 "lines-hot-rows") for x in pieces]
-    ids = hot_rows[0].select("lid").union(hot_rows[1].select("lid")).distinct()
-    signed = written(lines.join(ids, "lid", "left_semi").select("lid", profile(F.col("line")).alias("profile")), "lines-signed")
+    ids = written(hot_rows[0].select("lid").union(hot_rows[1].select("lid")).distinct(), "lines-hot-ids")
+    signed = written(_with_ids(lines, ids).select("lid", profile(F.col("line")).alias("profile")), "lines-signed")
     near = _may_be_near(F.col("profile_a"), F.col("profile_b"), p.threshold)
     return cold.union(_paired(*[x.join(signed, "lid") for x in hot_rows], near)).distinct()
 
@@ -209,8 +225,8 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
 def line_links(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """(lid, lid2): the lines with a different line within the threshold before them (at one place: of a smaller id)."""
     pairs = written(candidate_pairs(lines, p), "lines-candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
-    texts = lines.join(ids, "lid", "left_semi").select("lid", "line", "first", profile(F.col("line")).alias("profile"))
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct(), "lines-paired")
+    texts = _with_ids(lines, ids).select("lid", "line", "first", profile(F.col("line")).alias("profile"))
     texts = written(texts, "lines-texts")
     a, b = (texts.select(F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("line", "first", "profile")])
             for c in ("a", "b"))

@@ -120,3 +120,14 @@ def test_automaton_agrees_with_edit_distance(spark):
     df = spark.createDataFrame(pairs, "a string, b string")
     for k in (1, 2, 3):
         assert df.filter(within_edits(F.col("a"), F.col("b"), k) != (F.levenshtein("a", "b") <= k)).count() == 0
+
+
+def test_the_bitmap_of_ids_loses_no_line(spark):
+    from arrivals.llm.lines import _with_ids
+
+    lines = spark.range(-5000, 5000).select(F.xxhash64("id").alias("lid"), F.col("id").cast("string").alias("line"))
+    for n in (0, 1, 3000):
+        ids = lines.limit(n).select("lid")
+        want = {r.lid for r in ids.collect()}
+        for most_bits in (1 << 15, 1 << 29):
+            assert {r.lid for r in _with_ids(lines, ids, most_bits).collect()} == want
