@@ -166,7 +166,9 @@ def clean_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 def quality_stage(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """The documents that pass, with their failing lines removed and ``n_chars`` (if present) of the new text."""
     columns = docs.columns
-    kept = clean_lines(docs, rules).filter("kept").withColumn("text", F.col("cleaned_text"))
+    # Each text is judged once: a filter beside a projection would repeat the verdict, a list of none or one does not.
+    verdict = F.filter(F.array(document_verdict(text_or_empty(F.col("text")), rules)), lambda v: v["kept"])
+    kept = docs.select("*", F.explode(verdict).alias("__llm_q")).withColumn("text", F.col("__llm_q")["cleaned_text"])
     if "n_chars" in columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*columns)
