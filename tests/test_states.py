@@ -43,6 +43,41 @@ def test_merged_profiles_equal_a_full_pass(spark):
     assert column_profile(profile_state(df.where("false"), ["part"])).count() == 0
 
 
+def test_a_profile_has_one_aggregate_for_any_number_of_columns(spark):
+    """A wide aggregate, with its dozen expressions per column, is neither compiled as a whole nor cheap per row."""
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "5000")
+    try:
+        counts = []
+        for n in (2, 20):
+            df = spark.range(3).select(*[F.col("id").cast("string").alias(f"c{i}") for i in range(n)], "id")
+            plan = profile_state(df, ["id"])._jdf.queryExecution().optimizedPlan().toString().lower()
+            counts.append(plan.replace("_", "").count("hllsketchagg("))
+        assert counts[0] == counts[1] > 0
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+
+
+def test_casts_that_would_fail_are_not_tried_and_hold_the_same(spark):
+    odd = [*VALUES[1:], "+5", "--1", "1.", ".5", "1e", "1L", "0x1p3", "0x1.8P-2d", "2F", "+nan", "-INF", "Infinity", "infin",
+           "2147483647", "2147483648", "-2147483648", "-2147483649", "9223372036854775807", "9223372036854775808",
+           "-9223372036854775808", "-9223372036854775809", "9" * 18, "1" + "0" * 18, "0" * 30 + "12", "1" * 39, "0" * 50,
+           "\t-7\n", "\x001", "1\x7f", "1\u00a0", "\u0661", "1 2", "12:30", "1995", "-1995", "99999"]
+    df = spark.createDataFrame([(v,) for v in odd], "v string")
+    tried = {r.v: r for r in df.select("v", *[
+        F.col("v").try_cast(t).isNotNull().cast("int").alias(t) for t in ("int", "long", "double")]).collect()}
+    got = {r.v: r for r in profile_state(df.withColumn("w", F.col("v")), ["v"]).collect()}
+    for v in odd:
+        assert [got[v][f"n_{t}"] for t in ("int", "long", "double")] == [tried[v][t] for t in ("int", "long", "double")], repr(v)
+
+
+def test_a_profile_of_no_rows(spark):
+    empty = spark.createDataFrame([], "v string, n int")
+    assert rows(column_profile(profile_state(empty)), *EXACT) == [
+        ("n", 0, 0, None, None, "string"), ("v", 0, 0, None, None, "string")]
+    assert [f.dataType.simpleString() for f in infer_types(empty.select("v")).fields] == ["string"]
+
+
 def test_types_climb_the_lattice(spark):
     cases = {"int": ["1", "-2"], "bigint": ["1", "3000000000"], "decimal(38,0)": ["1", "99999999999999999999"],
              "double": ["1", "1.5"], "date": ["2020-01-02"], "timestamp": ["2020-01-02", "2020-01-02 03:04:05"],
