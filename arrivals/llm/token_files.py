@@ -127,11 +127,12 @@ def _encode_shards(vocabulary: bytes, end_id: int, content: bytes, shard_bytes:
         shard, number = None, 0
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            texts = encoder.encode_each(t.as_py() for t in batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
                 if shard is None:
                     shard = _Shard(f"{part:08d}-{number:06d}", dict_hash, row_bytes)
                     number += 1
-                ids = encoder.encode(text.as_py()) + end
+                ids += end
                 for row in shard.add_document(doc_id, len(ids) // 4, compressor.compress(ids)):
                     yield _row_batch([row])
                 if shard.size >= shard_bytes:
@@ -147,7 +148,7 @@ def _sample_ids(vocabulary: bytes, most: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_in_worker(WordEncoder, vocabulary)
         for batch in batches:
-            ids = [encoder.encode(t.as_py())[:most] for t in batch.column("text")]
+            ids = [x[:most] for x in encoder.encode_each(t.as_py() for t in batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
 
     return encode

@@ -18,12 +18,15 @@ import re
 import sys
 import types
 from array import array
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 
 PIECES = 1 << 18   # remembered pieces, at most
-LONG_PIECE = 64    # characters; longer pieces are not remembered
+LONG_PIECE = 64    # characters or bytes; longer pieces are not remembered
+STRETCH = 1 << 20  # characters of text that are cut and looked up together
 
 # The rules of a tokenizer that lower-cases and drops white space (as its file states them).
 _WORD_NORMALIZERS = [
@@ -38,7 +41,12 @@ _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIGNS = "!-&(-/:;=>?@\\[-`{-~"
 _ODD = re.compile(f"[^{_LETTERS}0-9{_SIGNS} \n\t\r]")
-_PARTS = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
+# The same in UTF-8, where all bytes from 128 on belong to letters: the kinds of bytes, and a table that lower-cases (the
+# second bytes of À to Þ, too) and makes every blank a space. A part is a run of one kind, but each digit is its own.
+_BLANK, _LETTER, _SIGN, _DIGIT = range(4)
+_KINDS = np.array([_BLANK if b in b" \n\t\r" else _DIGIT if b in b"0123456789" else
+                   _LETTER if b > 127 or chr(b).isalpha() else _SIGN for b in range(256)], np.uint8)
+_LOWER = bytes(32 if b in b" \n\t\r" else b + 32 if 65 <= b <= 90 or 128 <= b <= 158 else b for b in range(256))
 # What a byte-level pattern makes of text of these characters, and stretches of it that end in no blank.
 SPACED_RUNS = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+|\s+(?!\S)|\s+")
 PLAIN = re.compile(f"[{_LETTERS}0-9{_SIGNS}](?:[{_LETTERS}0-9{_SIGNS} \n]*[{_LETTERS}0-9{_SIGNS}])?")
@@ -133,20 +141,86 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _part(self, part: str) -> bytes:
-        spelled = part.lower() if part.isascii() else part.lower().translate(self.spelled)
+    def _part(self, part: bytes) -> bytes:
+        if part.isspace():
+            return b""
+        spelled = part.decode() if part.isascii() else part.decode().translate(self.spelled)
         return _packed([t.id for t in self.model.tokenize(spelled)])
 
     def encode(self, text: str) -> bytes:
+        return next(self.encode_each([text]))
+
+    def encode_each(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of every text, in order; about ``STRETCH`` characters are worked on at a time."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= STRETCH:
+                yield from self._encoded(held)
+                held, size = [], 0
+        if held:
+            yield from self._encoded(held)
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
         if not self.by_word:
-            return self._whole(text)
-        if _ODD.search(text) is None:
-            self.parts.trim()
-            return b"".join(map(self.parts.__getitem__, _PARTS.findall(text)))
+            yield from map(self._whole, texts)
+            return
+        odd = [_ODD.search(t) is not None for t in texts]
+        plain = self._by_kind([t for t, is_odd in zip(texts, odd, strict=True) if not is_odd])
+        for text, is_odd in zip(texts, odd, strict=True):
+            yield self._by_blanks(text) if is_odd else next(plain)
+
+    def _by_blanks(self, text: str) -> bytes:
         self.words.trim()
         blank = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
         return b"".join(map(self.words.__getitem__, blank.split(" ")))
 
+    def _by_kind(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of plain texts. A long one is cut at blanks, so the arrays stay small."""
+        cut = [list(_stretches(t.encode().translate(_LOWER))) for t in texts]
+        if all(len(c) == 1 for c in cut):
+            yield from self._joined([c[0] for c in cut]) if cut else ()
+            return
+        for stretches in cut:
+            yield b"".join(ids for s in stretches for ids in self._joined([s]))
+
+    def _joined(self, texts: list[bytes]) -> Iterator[bytes]:
+        """All parts of the texts in one array; every distinct part is looked up once, its ids are copied to its places."""
+        data = b"".join([t + b" " for t in texts])
+        kinds = _KINDS[np.frombuffer(data, np.uint8)]
+        cuts = np.flatnonzero((kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)) + 1
+        bounds = np.concatenate(([0], cuts, [len(data)])).astype(np.int32)
+        parts = pa.Array.from_buffers(
+            pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        self.parts.trim()
+        known = list(map(self.parts.__getitem__, parts.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        which = parts.indices.to_numpy()
+        counts = sizes[which]
+        ends = np.cumsum(counts)
+        from_start = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - counts), counts)
+        ids = np.frombuffer(b"".join(known), "<u4")[from_start + np.arange(len(from_start))]
+        before = np.concatenate(([0], ends))
+        text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        at = 0
+        for to in before[np.searchsorted(bounds[:-1], text_ends)].tolist():
+            yield ids[at:to].tobytes()
+            at = to
+
+
+def _stretches(data: bytes) -> Iterator[bytes]:
+    """``data`` cut at spaces into stretches of ``STRETCH`` bytes at most, or of one word."""
+    at = 0
+    while len(data) - at > STRETCH:
+        to = data.rfind(b" ", at, at + STRETCH)
+        to = to if to > at else data.find(b" ", at + STRETCH)
+        if to < 0:
+            break
+        yield data[at:to]
+        at = to
+    yield data[at:]
+
 
 def _packed(ids: list[int]) -> bytes:
     out = array("I", ids)

@@ -155,3 +155,26 @@ def test_remembered_pieces_survive_generations(monkeypatch):
         assert vocabularies.kept_in_worker(WordEncoder, VOCABULARY) is encoder
     assert len(encoder.parts) + len(encoder.parts.old) < 60
     assert vocabularies.kept_in_worker(WordEncoder, read_vocabulary("byte_bpe_50k.json")) is not encoder
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 100, 1 << 20])
+def test_texts_in_bulk_have_the_ids_of_each(monkeypatch, stretch):
+    """Plain, odd and blank texts in one batch, cut anywhere between words: the ids of each text by itself, in order."""
+    from arrivals.llm import vocabularies
+
+    monkeypatch.setattr(vocabularies, "STRETCH", stretch)
+    rng = random.Random(8)
+    words = ["the", "Été", "ÀÖÞß", "a1b22c", "--", "x.y!?", "3.14", "don't", "日本", "été.", "word" * 9, "\n\n", "\t", " "]
+    texts = [" ".join(rng.choices(words[:7] + words[9:] if k % 3 else words, k=rng.randrange(12))) for k in range(60)]
+    texts = ["", " ", *texts, "\n", *ODD, ""]
+    assert list(ENCODER.encode_each(texts)) == [packed(ids(t)[:-1]) for t in texts]
+    assert list(ENCODER.encode_each([])) == []
+
+
+def test_a_part_is_merged_once_for_all_its_places(monkeypatch):
+    encoder, seen = WordEncoder(VOCABULARY), []
+    compute = encoder.parts.compute
+    encoder.parts.compute = lambda part: seen.append(part) or compute(part)
+    texts = ["The theatre été", "THE theatre ÉTÉ the", "the  été\nThe"] * 20
+    assert list(encoder.encode_each(texts)) == [packed(ids(t)[:-1]) for t in texts]
+    assert len([p for p in seen if p.strip()]) == 3
