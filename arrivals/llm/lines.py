@@ -57,11 +57,15 @@ def _place(doc_id: Column, pos: Column, doc_hash: Column) -> Column:
     return (doc * F.lit(2**61).cast("decimal(19,0)") + within.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
+def _has_word(text: Column) -> Column:
+    return F.ltrim(text, F.lit(BLANKS)) != ""  # unlike trim, it stops at the first other character
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_hash, pos, line) of every line with a word."""
     text = text_or_empty(F.col("text"))
     rows = docs.select("doc_id", F.xxhash64(text).alias("doc_hash"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    return rows.filter(F.trim(F.col("line"), F.lit(BLANKS)) != "")
+    return rows.filter(_has_word(F.col("line")))
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
@@ -108,8 +112,8 @@ def _may_be_near(a: Column, b: Column, threshold: int) -> Column:
 
 
 def _with_ids(lines: DataFrame, ids: DataFrame, most_bits: int = 1 << 29) -> DataFrame:
-    """``lines`` whose lid is among ``ids``: a bitmap of hashed ids drops nearly all other lines before the semi-join
-    moves any text. It has 16 bits an id, 64 MB at most (beyond, it lets more lines pass), and is broadcast."""
+    """``lines`` whose lid is among the distinct ``ids``: a bitmap of hashed ids drops nearly all other lines before the
+    join moves any text. It has 16 bits an id, 64 MB at most (beyond, it lets more lines pass), and is broadcast."""
     bits = 1 << 15
     while bits < min(16 * ids.count(), most_bits):
         bits *= 2
@@ -119,16 +123,17 @@ def _with_ids(lines: DataFrame, ids: DataFrame, most_bits: int = 1 << 29) -> Dat
     slotted = lines.withColumn("slot", slot(F.col("lid")))
     maybe = slotted.join(F.broadcast(bitmap), F.expr("slot div 32768") == F.col("part")).filter(
         bit_of(F.col("bitmap"), F.col("slot") % 32768))
-    return maybe.select(*lines.columns).join(ids, "lid", "left_semi")
+    # An inner join: Spark would push a semi-join below the bitmap, and every text would move.
+    return maybe.select(*lines.columns).join(ids, "lid")
 
 
 def _pieces(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) -> DataFrame:
-    """(lid, text, target, i, start, size) from rows (lid, text, len): one row per line and shape, not yet cut.
+    """(lid, chars, target, i, start, size) from rows (lid, chars, len): one row per line and shape, not yet cut.
 
     A segment is an even share of the line; the last ``length mod parts`` segments are one character longer.
     """
     listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("shorter"), F.lit(s).alias("shift")) for i, d, s in shapes])
-    df = rows.withColumn("shape", F.explode(listed)).select("lid", "text", "len", "shape.*")
+    df = rows.withColumn("shape", F.explode(listed)).select("lid", "chars", "len", "shape.*")
     df = df.withColumn("target", F.col("len") - F.col("shorter"))
     longer = F.col("target") % parts
     base = F.expr(f"target div {parts}").cast("int")
@@ -136,12 +141,12 @@ def _pieces(rows: DataFrame, shapes: list[tuple[int, int, int]], parts: int) ->
     size = base + (longer >= parts - F.col("i")).cast("int")
     df = df.withColumns({"start": start, "size": size})
     df = df.filter((F.col("target") >= parts) & (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("len")))
-    return df.select("lid", "text", "target", "i", "start", "size")
+    return df.select("lid", "chars", "target", "i", "start", "size")
 
 
 def _keyed(pieces: DataFrame) -> DataFrame:
     """(lid, target, i, key): the pieces cut and hashed."""
-    piece = F.substring("text", F.col("start") + 1, F.col("size"))
+    piece = F.substring("chars", 4 * F.col("start") + 1, 4 * F.col("size"))
     return pieces.select("lid", "target", "i", F.xxhash64("target", "i", piece).alias("key"))
 
 
@@ -154,7 +159,8 @@ def _paired(index: DataFrame, probes: DataFrame, near: Column) -> DataFrame:
 
 def candidate_pairs(lines: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """Distinct (a, b) line ids that share an indexed segment (and, on hot segments, have near profiles)."""
-    rows = lines.filter(F.col("len") >= p.min_fuzzy).select("lid", F.col("line").alias("text"), "len")
+    # Four bytes a character: a piece is a slice of bytes, where a string would be searched for its start.
+    rows = lines.filter(F.col("len") >= p.min_fuzzy).select("lid", F.encode("line", "UTF-32").alias("chars"), "len")
     pieces = [_pieces(rows, shapes(p.threshold), p.threshold + 1) for shapes in (_index_shapes, _probe_shapes)]
     index, probes = (_keyed(x).select("lid", "key") for x in pieces)
     crowded = F.col("count") * F.col("count") > p.hot_pairs
@@ -268,7 +274,7 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
         flags(F.col("__llm_gone")),
         lambda removed: F.array_join(
             F.filter(F.split("__llm_text", "\n"), lambda _, i: ~F.coalesce(F.get(removed, i), F.lit(False))), "\n")))
-    n_lines = F.size(F.filter(F.split("__llm_text", "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != ""))
+    n_lines = F.size(F.filter(F.split("__llm_text", "\n"), _has_word))
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed", "kept_text")]
     return joined.select(
         *own, n_lines.cast("long").alias("n_lines"),
@@ -280,4 +286,4 @@ def line_stage(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     out = dedup_lines(docs, p).withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.filter(F.trim("text", F.lit(BLANKS)) != "").select(*docs.columns)
+    return out.filter(_has_word(F.col("text"))).select(*docs.columns)

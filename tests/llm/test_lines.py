@@ -131,3 +131,31 @@ def test_the_bitmap_of_ids_loses_no_line(spark):
         want = {r.lid for r in ids.collect()}
         for most_bits in (1 << 15, 1 << 29):
             assert {r.lid for r in _with_ids(lines, ids, most_bits).collect()} == want
+
+
+def test_texts_meet_the_bitmap_before_they_move(spark):
+    """Only lines that pass the bitmap may reach the join with the ids, also where the ids are too many for a broadcast."""
+    from arrivals.llm.lines import _with_ids
+
+    lines = spark.range(3000).select(F.xxhash64("id").alias("lid"), F.col("id").cast("string").alias("line"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = _with_ids(lines, lines.limit(100).select("lid"))
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [x for x in plan.splitlines() if "Join" in x]
+    assert len(joins) == 2 and "lid#" in joins[0] and "part#" in joins[1]
+
+
+def test_pieces_are_cut_by_characters(spark):
+    """Characters of one to four bytes, and bytes that are no text, stand in the pieces as one character each."""
+    stem = "a line of ordinary letters with é, 日本 and 👍🏽 in the middle of it"
+    rows = [(0, stem), (1, stem.replace("é", "e")), (2, stem.replace("👍", "")), (3, "𝄞" + stem), (4, stem[:-1] + "日"),
+            (5, stem.replace("日本", "xy")), (6, stem.replace("日本", "xyz")), (7, "👍" * 40), (8, "👍" * 38)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert order([(r.doc_id, r.kept_text) for r in dedup_lines(docs).collect()]) == order(brute(rows, LineParams()))
+    broken = spark.sql("select 1L as doc_id, cast(unhex(repeat('C328', 40)) as string) as text")
+    assert [r.n_removed for r in dedup_lines(broken).collect()] == [0]
